@@ -102,6 +102,10 @@ def keyed_candidates(s1: DataFrame, targets: DataFrame, config: BlockingConfig =
     return combined([keyed_blocking(s1, KeyIndex.of(targets, key_config), config, key_config, score)], config.most_candidates)
 
 
+def _slices(w: Column, n: int) -> Column:
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.length(w) - n + 1, F.lit(1))), lambda i: F.substring(w, i, F.lit(n)))
+
+
 def word_grams(x: Column, least: int, most: int) -> Column:
     """Character n-grams inside words: each word stands between spaces; one shorter than n counts once as a whole."""
 
@@ -109,9 +113,8 @@ def word_grams(x: Column, least: int, most: int) -> Column:
         w = F.concat(F.lit(" "), word, F.lit(" "))
         each = []
         for n in range(least, most + 1):
-            grams = F.transform(F.sequence(F.lit(1), F.greatest(F.length(w) - n + 1, F.lit(1))), lambda i, n=n: F.substring(w, i, F.lit(n)))
             # lengths beyond a short word repeat it, and count once only
-            each.append(F.when(F.lit(n == least) | (F.length(w) >= n), grams).otherwise(F.array().cast("array<string>")))
+            each.append(F.when(F.lit(n == least) | (F.length(w) >= n), _slices(w, n)).otherwise(F.array().cast("array<string>")))
         return F.concat(*each)
 
     return F.flatten(F.transform(token_list(F.lower(x)), of_word))
