@@ -200,9 +200,9 @@ def exact_groups(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataF
 
 def drop_copies(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``df`` that stay, one of each group, with their columns."""
-    keys = owners(df, id, text).select("key_sha256", "keep_id")
+    keys = owners(df, id, text).select(F.col("key_sha256").alias("_key"), F.col("keep_id").alias("_keep"))
     rows = df.withColumn("_sha", F.sha2(F.encode(normalised(text_of(text)), "UTF-8"), 256)).withColumn("_n", F.length(text_of(text)))
-    found = rows.join(keys, (F.col("_sha") == F.col("key_sha256")) & F.col(id).eqNullSafe(F.col("keep_id"))).drop("key_sha256", "keep_id")
+    found = rows.join(keys, (F.col("_sha") == F.col("_key")) & F.col(id).eqNullSafe(F.col("_keep")))
     # rows that repeat the id that stays lie together after the join
     best = F.row_number().over(Window.partitionBy("_sha", id).orderBy(F.col("_n").desc(), text))
     return found.withColumn("_at", best).where("_at = 1").select(*df.columns)
