@@ -122,29 +122,44 @@ class OwnerTrie:
         self.bytes = sum(sizes.values()) - sizes[b]
 
     def items(self) -> Iterator[tuple[bytes, tuple]]:
-        """All strings with their owners. Spilled subtrees are split by a further byte range of a hash until each part fits."""
+        """All strings with their owners; what was spilled is merged again, in parts that fit."""
         for b, f in self.files.items():
             if b in self.root.children:
                 f.seek(0, os.SEEK_END)
                 for item in self._walk(self.root.children.pop(b), b""):
                     pickle.dump(item, f)
-            parts = 1 + f.tell() * 2 // self.held
-            for part in range(parts):
-                f.seek(0)
-                sub = OwnerTrie(1 << 62)
-                while True:
-                    try:
-                        key, owner = pickle.load(f)
-                    except EOFError:
-                        break
-                    if hash(key) % parts == part:
-                        sub.insert(key, owner)
-                yield from self._walk(sub.root, b"")
-            f.close()
+            yield from self._merged(f, 0)
         self.files = {}
         yield from self._walk(self.root, b"")
         self.root = _Node(b"")
 
+    def _merged(self, f, depth: int) -> Iterator[tuple[bytes, tuple]]:
+        """The strings of a file: in a trie of their own if they fit, else dealt by hash to further files."""
+        f.seek(0, os.SEEK_END)
+        parts = min(64, 1 + 2 * f.tell() // self.held) if depth < 6 else 1
+        if parts == 1:
+            sub = OwnerTrie(1 << 62)
+            for key, owner in _loaded(f):
+                sub.insert(key, owner)
+            yield from self._walk(sub.root, b"")
+        else:
+            files = [tempfile.TemporaryFile() for _ in range(parts)]
+            for item in _loaded(f):
+                pickle.dump(item, files[hash((depth, item[0])) % parts])
+            f.close()
+            for g in files:
+                yield from self._merged(g, depth + 1)
+        f.close()
+
+
+def _loaded(f) -> Iterator[tuple[bytes, tuple]]:
+    f.seek(0)
+    while True:
+        try:
+            yield pickle.load(f)
+        except EOFError:
+            return
+
 
 def normalised(text: Column) -> Column:
     return F.regexp_replace(text, SPACE, "")

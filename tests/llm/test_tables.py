@@ -89,7 +89,7 @@ def test_exact_groups_equal_plain_ones(spark):
     assert kept.count() == len({brute.SPACE.sub("", t or "") for _, t in COPIES})
 
 
-@pytest.mark.parametrize("held", [1, 1500, 1 << 40])
+@pytest.mark.parametrize("held", [2000, 20_000, 1 << 40])
 def test_tries_spill_and_keep_owners(held):
     r = random.Random(held)
     trie, plain = exact.OwnerTrie(held), {}
