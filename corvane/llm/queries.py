@@ -182,8 +182,30 @@ FROM owned
 """
 
 
+def _secret_sql(ord: int, rule: secrets.Rule) -> str:
+    p = "'" + rule.pattern.replace("'", "''") + "'"
+    lengths = lambda x: f"list_transform({x}, lambda x: length(x))"
+    return f"SELECT doc_id, {ord} AS ord, '{rule.kind}' AS kind, {rule.least} AS least, {lengths(f'regexp_split_to_array(t, {p})')} AS g, {lengths(f'regexp_extract_all(t, {p}, 0)')} AS l, {lengths(f'regexp_extract_all(t, {p}, {rule.group})')} AS k FROM docs"
+
+
+OP3_SQL = f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+matched AS ({' UNION ALL '.join(_secret_sql(k, r) for k, r in enumerate(secrets.RULES))}),
+each AS (SELECT doc_id, ord, kind, least, unnest(g[1:len(l)]) AS gap, unnest(l) AS n, unnest(k) AS kept, generate_subscripts(l, 1) AS pos FROM matched WHERE len(l) > 0),
+placed AS (SELECT *, sum(gap + n) OVER (PARTITION BY doc_id, ord ORDER BY pos) AS e FROM each),
+spans AS (
+    SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+        string_agg(kind || ':' || (e - n)::BIGINT || ':' || e::BIGINT, ',' ORDER BY e - n, ord) FILTER (ord < {len(secrets.BASE)}) AS base,
+        string_agg(kind || ':' || (e - n)::BIGINT || ':' || e::BIGINT, ',' ORDER BY e - n, ord) AS spans
+    FROM placed WHERE kept >= least GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs d LEFT JOIN spans USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    found = {"op1_chat_format": OP1_SQL, "op4_mix_sources": OP4_SQL, "op5_exact_dedup": OP5_SQL, "op9_warc": OP9_SQL}
+    found = {"op1_chat_format": OP1_SQL, "op3_secret_scan": OP3_SQL, "op4_mix_sources": OP4_SQL, "op5_exact_dedup": OP5_SQL, "op9_warc": OP9_SQL}
     import corpus_pipeline
 
     return found | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
