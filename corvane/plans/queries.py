@@ -933,6 +933,138 @@ def stream_event_counts(spark, sf):
     return incremental.event_counts(table(spark, sf, "events"))
 
 
+# single parts of the above, by their place in the inventory
+
+
+def _one_kind(number: int, kind: str):
+    def run(spark, sf):
+        _, tgt = sides(spark, sf)
+        found = keys.keys(norm(spark, sf), keys.token_frequency(tgt)).where(F.col("kind") == kind)
+        return found.groupBy("entity_id", "country_norm", "value").agg(F.count("*").alias("n"))
+
+    run.__name__ = f"b{number:02d}_{kind}"
+    query(f"SELECT entity_id, country_norm, value, count(*) AS n FROM allkeys WHERE kind = '{kind}' GROUP BY ALL", f"{NORM}, {KEYS}")(run)
+
+
+KINDS = ("name_compact", "name_prefix", "name_first_token", "name_sorted", "name_first2", "name_token", "name_soundex", "addr_token", "addr_num", "name_num", "addr_num_street", "name_city", "num_city")
+for _k, _kind in enumerate(KINDS, 1):
+    _one_kind(_k, _kind)
+
+
+@query("SELECT s AS source1_entity_id, unnest(string_split(l, ',')) AS id FROM (SELECT s, string_agg(c, ',' ORDER BY c) AS l FROM truth GROUP BY 1)", NORM)
+def s05_id_list(spark, sf):
+    return truth_table(*sides(spark, sf)).select(S_ID, F.explode(tables.id_list(F.col("matched_entity_ids"))).alias("id"))
+
+
+@query("SELECT entity_id, country_norm, name_norm FROM norm", NORM)
+def s12_parquet_parts(spark, sf):
+    import uuid
+
+    folder = f"{_scratch(spark)}/parts-{uuid.uuid4().hex}"
+    tables.write_parts(norm(spark, sf), folder)
+    return tables.read_parts(spark, folder).select("entity_id", "country_norm", "name_norm")
+
+
+@query("SELECT a.entity_id || chr(9) || coalesce(string_agg(t.c, ',' ORDER BY t.c), '') AS line FROM s1 a LEFT JOIN truth t ON t.s = a.entity_id GROUP BY a.entity_id", NORM)
+def k01_list_lines(spark, sf):
+    import uuid
+
+    folder = f"{_scratch(spark)}/lists-{uuid.uuid4().hex}"
+    s1, tgt = sides(spark, sf)
+    tables.write_lists(tables.lists_sorted(truth_of(s1, tgt), s1), folder)
+    return spark.read.text(folder).where("value not like 'source1_entity_id%'").select(F.col("value").alias("line"))
+
+
+@query(f"SELECT entity_id, len(list_distinct({PIPE('address_numbers')})) AS n FROM norm", NORM)
+def n12_pipe_set(spark, sf):
+    return norm(spark, sf).select("entity_id", F.size(X.pipe_set(F.col("address_numbers"))).cast("long").alias("n"))
+
+
+@query(f"SELECT {PAIR_SQL}, {_I(_SA, _CA)} AS shared FROM pairs", FP)
+def f02_overlap_count(spark, sf):
+    return both_texts(spark, sf).select(*PAIR, S.shared(X.token_set(F.col("s_address_norm")), X.token_set(F.col("c_address_norm"))).cast("long").alias("shared"))
+
+
+@query(f"SELECT {PAIR_SQL}, {_O(_SN, _CN)} AS coefficient FROM pairs", FP)
+def f03_overlap_coefficient(spark, sf):
+    return both_texts(spark, sf).select(*PAIR, S.overlap_coefficient(X.token_set(F.col("s_name_norm")), X.token_set(F.col("c_name_norm"))).alias("coefficient"))
+
+
+@query()
+def j02_index_reuse(spark, sf):
+    """One index, two sets of S1 records."""
+    s1, tgt = sides(spark, sf)
+    index = blocking.KeyIndex.of(tgt).persisted()
+    odd = F.col("country_norm") == "en"
+    return blocking.keyed_blocking(s1.where(odd), index).unionByName(blocking.keyed_blocking(s1.where(~odd), index))
+
+
+@query()
+def w06_running_budget(spark, sf):
+    s1, tgt = sides(spark, sf)
+    index = blocking.KeyIndex.of(tgt)
+    return blocking.within_budget(keys.keys(s1, index.frequency), index, 10).select(F.col("s1").alias(S_ID), C_ID, "first_bucket")
+
+
+@query(f"SELECT country_norm, token, count(*) AS n FROM (SELECT country_norm, unnest({SET('name_norm')}) AS token FROM s1) GROUP BY 1, 2", NORM)
+def a08_token_frequency(spark, sf):
+    s1, _ = sides(spark, sf)
+    return s1.select("country_norm", F.explode(X.token_set(F.col("name_norm"))).alias("token")).groupBy("country_norm", "token").agg(F.count("*").alias("n"))
+
+
+@query()
+def d04_source_thresholds(spark, sf):
+    s1, tgt = sides(spark, sf)
+    r = decision.source_thresholds(decision.scored_pairs(ranked_pairs(s1, tgt)).persist(), truth_of(s1, tgt), s1.withColumnRenamed("entity_id", S_ID), 3, decision.THRESHOLDS[::4])
+    return spark.createDataFrame([(r["threshold_s2"], r["threshold_s3"], round(r["score"], 9))], "threshold_s2 double, threshold_s3 double, score double")
+
+
+@query(f"SELECT {PAIR_SQL} FROM (SELECT *, row_number() OVER (PARTITION BY c ORDER BY p DESC, s) AS k FROM scored WHERE p >= 0.3 AND prob_rank <= 2) WHERE k = 1", FP)
+def d06_overridden_rule(spark, sf):
+    rule = tables.read_rule('{"mode": "source_specific", "threshold_s2": 0.9, "threshold_s3": 0.8, "cap": 8, "bipartite": true}')
+    return decision.decide(decision.scored_pairs(ranked_pairs(*sides(spark, sf))), decision.overridden(rule, 0.3, 2)).select(*PAIR)
+
+
+@query(f"""SELECT bip, round(avg({_F('coalesce(g.tp, 0)', 'coalesce(g.np, 0)', 'nt.nt')}), 9) AS score FROM (VALUES (false), (true)) v(bip) CROSS JOIN nt LEFT JOIN (
+    SELECT b AS bip2, s, count(*) AS np, count(tt.c) AS tp FROM (SELECT false AS b, s, c FROM kept UNION ALL SELECT true, s, c FROM kept WHERE k = 1) LEFT JOIN truth tt USING (s, c) GROUP BY 1, 2) g ON g.bip2 = bip AND g.s = nt.s GROUP BY 1""",
+    f"{FP}, {GRID}, kept AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY p DESC, s) AS k FROM scored WHERE p >= 0.4)")
+def d07_rule_evaluation(spark, sf):
+    s1, tgt = sides(spark, sf)
+    ids, truth, kept = s1.withColumnRenamed("entity_id", S_ID), truth_of(s1, tgt), decision.decided(decision.scored_pairs(ranked_pairs(s1, tgt)), 0.4)
+    one = lambda rows, b: metrics.macro_fbeta(ids, rows, truth).select(F.lit(b).alias("bip"), F.round("score", 9).alias("score"))
+    return one(kept, False).unionByName(one(decision.exclusive(kept), True))
+
+
+def _labelled(spark, sf):
+    s1, tgt = sides(spark, sf)
+    rows = features.labelled(features.pair_features(ranked_pairs(s1, tgt), s1, tgt, arrow=False), truth_of(s1, tgt))
+    return rows.join(s1.select(F.col("entity_id").alias(S_ID), "country_norm"), S_ID)
+
+
+@query()
+def m09_transfer(spark, sf):
+    rows = _labelled(spark, sf).persist()
+    en = F.col("country_norm") == "en"
+    return model.transferred(rows.where(en), rows.where(~en)).select(*PAIR, "label", "probability")
+
+
+@query()
+def m11_feature_cache(spark, sf):
+    import uuid
+
+    folder = f"{_scratch(spark)}/features-{uuid.uuid4().hex}"
+    tables.write_parts(_labelled(spark, sf), folder)
+    return tables.read_parts(spark, folder)
+
+
+@query()
+def m12_recall_measurement(spark, sf):
+    s1, tgt = sides(spark, sf)
+    found = blocking.keyed_candidates(s1, tgt).persist()
+    ids, truth = s1.withColumnRenamed("entity_id", S_ID), truth_of(s1, tgt)
+    return metrics.blocking_audit(ids, found, truth).crossJoin(metrics.miss_breakdown(ids, found, truth))
+
+
 def queries():
     return dict(QUERIES)
 
