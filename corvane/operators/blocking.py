@@ -163,10 +163,9 @@ def token_blocking(s1: DataFrame, targets: DataFrame, columns: tuple[str, ...] =
     pairs = pairs.join(targets.select(F.col("entity_id").alias("candidate_entity_id"), "target_source"), "candidate_entity_id")
     pairs = pairs.withColumn("at", F.row_number().over(short)).where(F.col("at") <= 20 * top_k)
     # tokens too frequent for the index aren't counted as common, but they are in the union
-    frequent_both = F.lit(0)
-    if_known = a.select(F.col("entity_id").alias("source1_entity_id"), F.col("tokens").alias("ts")), b.select(F.col("entity_id").alias("candidate_entity_id"), F.col("tokens").alias("tc"))
-    pairs = pairs.join(if_known[0], "source1_entity_id").join(if_known[1], "candidate_entity_id")
-    pairs = pairs.withColumn("score", F.col("both") / (F.size(F.array_union("ts", "tc")) + frequent_both))
+    pairs = pairs.join(a.select(F.col("entity_id").alias("source1_entity_id"), F.col("tokens").alias("ts")), "source1_entity_id")
+    pairs = pairs.join(b.select(F.col("entity_id").alias("candidate_entity_id"), F.col("tokens").alias("tc")), "candidate_entity_id")
+    pairs = pairs.withColumn("score", F.col("both") / F.size(F.array_union("ts", "tc")))
     return _ranked(pairs.drop("target_source"), targets, F.col("score").desc(), top_k, blocker, descending_ties=True)
 
 
