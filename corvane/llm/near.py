@@ -188,7 +188,9 @@ def verified(pairs: DataFrame, sets: DataFrame, least: float = SIMILARITY) -> Da
             on = [k for k in range(len(a)) if min(len(x[k]), len(y[k])) >= (least - 1e-9) * max(len(x[k]), len(y[k])) and similarity(np.frombuffer(x[k], np.uint32), np.frombuffer(y[k], np.uint32)) >= least - 1e-12]
             yield pa.RecordBatch.from_arrays([pa.array([a[k] for k in on], pa.int64()), pa.array([b[k] for k in on], pa.int64())], names=["a", "b"])
 
-    found = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
+    # sorted merges at every size, so that what moves grows in proportion
+    side = lambda id, c: sets.select(F.col("id").alias(id), F.col("set").alias(c)).hint("merge")
+    found = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
     return found.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
@@ -226,7 +228,7 @@ def near_groups(df: DataFrame, id: str = "doc_id", text: str = "text", least: fl
     members = written(members.join(buckets, "bucket").select("bucket", "rep", "pivot").distinct())
     wanted = members.select(F.col("rep").alias("id")).distinct()
     texts = df.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    sets = written(shingle_sets(texts.join(wanted, "id")))
+    sets = written(shingle_sets(texts.join(wanted.hint("merge"), "id")))
     pairs = members.where("rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
     links = written(verified(pairs, sets, least))
     classes = written(components(links))
