@@ -11,11 +11,12 @@ agree in a coordinate with the (weighted) Jaccard similarity as probability.
 ``ROWS`` coordinates make a band, and documents that share a band are candidates:
 at similarity 0.8 a pair is missed with probability (1 - 0.8**6)**24, under 0.001.
 Candidates are verified by their whole shingle sets, and verified links joined into
-classes.  In a bucket, all members are compared with its smallest member; where the
-bucket still holds several classes, all but that pivot are compared with further
-pivots, four times as many in each round, until the pivots are used up or one class is
-left.  No pair of a bucket in different classes is left out, and no pair within a class
-need be made, so a bucket of n copies costs some n comparisons, not their square.
+classes.  First each document is compared with the smallest id that it shares a bucket
+with.  A bucket that then still holds several classes takes its smallest member as
+pivot and compares it with all members of other classes, and so on with four times as
+many further pivots in each round, until one class is left or the pivots are used up.
+No pair of a bucket in different classes is left out, and no pair within a class need
+be made, so a bucket of n copies costs some n comparisons, not their square.
 
 Copies of a word sequence collapse into their smallest id before that.
 
@@ -40,8 +41,8 @@ from .common import written
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 6
-#: Pivots of a bucket in the second round.
-PIVOTS = 16
+#: Each round takes so many times the pivots of the round before.
+STEP = 4
 
 _U = np.uint64
 
@@ -218,43 +219,69 @@ def components(edges: DataFrame) -> DataFrame:
     return now.groupBy("a").agg(F.min("b").alias("least")).select(F.col("a").alias("id"), "least")
 
 
+def roots(parents: DataFrame) -> DataFrame:
+    """(id, least) of a forest (id, parent) with smaller parents, by pointer jumping: a row for each id that is no root."""
+    now, before = parents.select("id", F.col("parent").alias("least")), None
+    while True:
+        now = written(now)
+        sign = now.select(F.count("*"), F.sum(F.xxhash64("id", "least").cast("decimal(38,0)"))).first()
+        if sign == before:
+            return now
+        before = sign
+        above = now.select(F.col("id").alias("p"), F.col("least").alias("q"))
+        now = now.join(above, F.col("least") == F.col("p"), "left").select("id", F.coalesce("q", "least").alias("least"))
+
+
+def _class_of(rows: DataFrame, classes: DataFrame, of: str, name: str) -> DataFrame:
+    """Add ``name``: the class of the id in column ``of``, which is the id itself where no link is known."""
+    known = classes.select(F.col("id").alias("_id"), F.col("least").alias("_least"))
+    return rows.join(known, F.col(of) == F.col("_id"), "left").withColumn(name, F.coalesce("_least", of)).drop("_id", "_least")
+
+
+def _joined(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """Classes after further links (a, b): whole classes are linked, so only their ids are worked on."""
+    ends = _class_of(_class_of(links, classes, "a", "x"), classes, "b", "y").where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    merged = written(components(ends))
+    moved = _class_of(classes.withColumnRenamed("least", "old"), merged, "old", "least").select("id", "least")
+    # a root has no row of its own until its class goes into another
+    return written(moved.unionByName(merged.where("id <> least")))
+
+
 def near_groups(df: DataFrame, id: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
     """One row per row of ``df``: ``id``, ``class_id`` (the smallest id of its class), ``kept`` (whether it is that one)."""
     rows = written(signed(df, id, text))
     first = rows.groupBy("key").agg(F.min("id").alias("rep"))
-    reps = written(rows.where("bands is not null and id is not null").join(first.withColumnRenamed("key", "k"), (F.col("key") == F.col("k")) & (F.col("id") == F.col("rep"))).select("rep", "bands"))
-    members = reps.select("rep", F.explode("bands").alias("bucket"))
+    reps = rows.where("bands is not null and id is not null").join(first.withColumnRenamed("key", "k"), (F.col("key") == F.col("k")) & (F.col("id") == F.col("rep")))
+    members = written(reps.select("rep", F.explode("bands").alias("bucket")))
     buckets = members.groupBy("bucket").agg(F.min("rep").alias("pivot"), F.max("rep").alias("last")).where("pivot < last").select("bucket", "pivot")
     members = written(members.join(buckets, "bucket").select("bucket", "rep", "pivot").distinct())
     wanted = members.select(F.col("rep").alias("id")).distinct()
     texts = df.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     sets = written(shingle_sets(texts.join(wanted.hint("merge"), "id")))
-    pairs = members.where("rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
-    links = written(verified(pairs, sets, least))
-    classes = written(components(links))
-    left, most = members.where("rep <> pivot").select("bucket", "rep"), PIVOTS
+    # one comparison for each document first: with the smallest id that it shares a bucket with
+    pairs = members.where("rep <> pivot").groupBy(F.col("rep").alias("a")).agg(F.min("pivot").alias("b"))
+    classes = roots(verified(pairs, sets, least).groupBy(F.col("a").alias("id")).agg(F.min("b").alias("parent")))
+    left, most = members.select("bucket", "rep"), 1
     while True:
         left = _unsettled(left, classes)
         if left.isEmpty():
             break
         ranked = left.withColumn("at", F.row_number().over(Window.partitionBy("bucket").orderBy("rep")))
-        pivots = ranked.where(F.col("at") <= most)
-        other = left.withColumnsRenamed({"rep": "r", "class": "c"})
-        found = pivots.join(other, (pivots["bucket"] == other["bucket"]) & (F.col("rep") < F.col("r")) & (F.col("class") != F.col("c")))
+        pivots = written(ranked.where(F.col("at") <= most).drop("at"))
+        other = left.select(F.col("bucket").alias("k"), F.col("rep").alias("r"), F.col("class").alias("c"))
+        found = pivots.join(other, (F.col("bucket") == F.col("k")) & (F.col("rep") < F.col("r")) & (F.col("class") != F.col("c")))
         more = written(verified(found.select(F.col("r").alias("a"), F.col("rep").alias("b")).distinct(), sets, least))
         left = left.join(pivots.select("bucket", "rep"), ["bucket", "rep"], "left_anti").select("bucket", "rep")
         if not more.isEmpty():
-            links = links.unionByName(more)
-            classes = written(components(links))
-        most *= 4
-    named = rows.select("id", "key").join(first, "key")
-    named = named.join(classes.select(F.col("id").alias("rep"), "least"), "rep", "left").select(F.col("id").alias(id), F.when(F.col("id").isNotNull(), F.coalesce("least", "rep")).alias("class_id"))
+            classes = _joined(classes, more)
+        most *= STEP
+    named = _class_of(rows.select("id", "key").join(first, "key"), classes, "rep", "class").select(F.col("id").alias(id), F.when(F.col("id").isNotNull(), F.col("class")).alias("class_id"))
     return named.withColumn("kept", F.col(id).isNull() | (F.col(id) == F.col("class_id")))
 
 
 def _unsettled(members: DataFrame, classes: DataFrame) -> DataFrame:
     """The members (bucket, rep) of buckets that hold several classes, with their class."""
-    rows = members.join(classes.select(F.col("id").alias("rep"), "least"), "rep", "left").select("bucket", "rep", F.coalesce("least", "rep").alias("class"))
+    rows = _class_of(members.select("bucket", "rep"), classes, "rep", "class")
     open_ = rows.groupBy("bucket").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x < y").select("bucket")
     return written(rows.join(open_, "bucket").select("bucket", "rep", "class"))
 
