@@ -18,13 +18,14 @@ import hashlib
 import struct
 from array import array
 from collections.abc import Iterator
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 #: Pre-tokens kept with their ids in each worker; when full, the store starts anew.
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 250_000
 #: Only pre-tokens up to this many characters are kept.
 CACHE_CHARS = 64
 
@@ -100,16 +101,20 @@ class Codec:
 
     def __init__(self, data: bytes, pattern: str) -> None:
         import regex
-        import sentencepiece
 
-        ranks = read_ranks(data)
-        self.model = sentencepiece.SentencePieceProcessor(model_proto=model_bytes(ranks))
-        self.whole = ranks
-        self.inverse = sorted(ranks, key=ranks.__getitem__)
+        self.whole = read_ranks(data)
+        self.inverse = sorted(self.whole, key=self.whole.__getitem__)
         self.to_chars = dict(enumerate(byte_map())) | {0xFF: "\n"}
         self.split = regex.compile(pattern)
         self.store: dict[str, bytes] = {}
 
+    @cached_property
+    def model(self):
+        """Made when first encoded with; decoding needs none."""
+        import sentencepiece
+
+        return sentencepiece.SentencePieceProcessor(model_proto=model_bytes(self.whole))
+
     @classmethod
     def of(cls, data: bytes, pattern: str) -> Codec:
         key = (hashlib.sha256(data).digest(), pattern)
@@ -155,7 +160,7 @@ def _vocabulary(df: DataFrame, path: str):
         return df.sparkSession.sparkContext.broadcast(f.read())
 
 
-def _slices(batch: pa.RecordBatch, of: int, most: int = 32 << 20) -> Iterator[pa.RecordBatch]:
+def _slices(batch: pa.RecordBatch, of: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about ``most`` bytes in column ``of``, one row at least."""
     start, held = 0, 0
     for k, n in enumerate(pa.compute.binary_length(batch.column(of)).to_pylist()):
