@@ -37,6 +37,8 @@ MAX_TEXTS = 4_000
 MOST_TRIGRAMS = 150
 #: Weight of the level above in counts of pages, from host to domain, suffix, and all.
 STRENGTH = 5.0
+#: A table of declared values with at most as many rows is broadcast; a larger one is joined by a shuffle.
+SMALL = 10_000
 _HIDDEN = re.compile(r"<(script|style|nav|footer|aside|noscript|template)\b.*?</\1\s*>|<!--.*?-->", re.S | re.I)
 _TAG = re.compile(r"<[^>]*>")
 _ENTITY = re.compile(r"&#?\w+;")
@@ -151,6 +153,8 @@ def identified(pages: DataFrame, model: TextModel, id: str = "page_id", url: str
     add = lambda *names: F.transform(F.arrays_zip(*names), lambda x: sum((x[c] for c in names[1:]), x[names[0]]))
     for column in ("markup", "suffix", "segment"):
         t = _trust(base, column, n)
+        if t.limit(SMALL + 1).count() <= SMALL:
+            t = F.broadcast(t)
         base = base.join(t, F.col(column) == F.col(f"_{column}"), "left").drop(f"_{column}")
         base = base.withColumn(f"{column}_log", F.coalesce(f"{column}_log", F.array(*[zero] * n)))
     said = base.withColumn("said", add("text", "markup_log", "suffix_log", "segment_log")).withColumn("post", _softmax(F.col("said")))
