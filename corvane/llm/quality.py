@@ -33,7 +33,7 @@ BUCKETS = 1 << 17
 DIMENSIONS = 8
 GRAMS = (3, 4)
 #: Texts that the model is trained on at most, chosen by a hash of their id.
-MAX_TEXTS = 4_000
+MAX_TEXTS = 3_000
 EPOCHS = 6
 RATE = 0.2
 #: Buckets set apart for how words and lines repeat.
@@ -41,23 +41,42 @@ SAME_WORD, SAME_LINE, UPPER, SYMBOLS = range(4)
 _APART = 16
 
 
-def word_buckets(word: bytes) -> list[int]:
-    """The buckets of a word: itself, its character n-grams, and marks for capitals and symbols only."""
+def word_grams(word: bytes) -> tuple[set[str], list[int]]:
+    """A word and its character n-grams, and the buckets of its marks for capitals and symbols only."""
     text = word.decode("utf-8", "replace")
     marked = f"<{text[:40]}>"
-    grams = {marked, *(marked[i : i + n] for n in GRAMS for i in range(len(marked) - n + 1))}
-    out = [_APART + zlib.crc32(g.encode()) % (BUCKETS - _APART) for g in sorted(grams)]
+    grams = {marked[i : i + n] for n in GRAMS for i in range(len(marked) - n + 1)}
+    grams.add(marked)
+    marks = []
     if len(text) > 1 and text.isupper():
-        out.append(UPPER)
-    if not any(c.isalnum() for c in text):
-        out.append(SYMBOLS)
-    return out
+        marks.append(UPPER)
+    if not text.isalnum() and not any(c.isalnum() for c in text):
+        marks.append(SYMBOLS)
+    return grams, marks
+
+
+def gram_bucket(gram: str) -> int:
+    return _APART + zlib.crc32(gram.encode()) % (BUCKETS - _APART)
+
+
+class _GramWeights(dict):
+    """The number of each n-gram's bucket; n-grams beyond some are worked out each time."""
+
+    def __init__(self, weights: np.ndarray) -> None:
+        super().__init__()
+        self.weights = weights
+
+    def __missing__(self, gram: str) -> float:
+        found = float(self.weights[gram_bucket(gram)])
+        if len(self) < 300_000:
+            self[gram] = found
+        return found
 
 
 class Features:
     """Buckets of whole texts; word numbers, their buckets and hashes are kept and start anew when many."""
 
-    def __init__(self, most: int = 400_000) -> None:
+    def __init__(self, most: int = 250_000) -> None:
         self.most = most
         self.clear()
 
@@ -103,7 +122,8 @@ class _Training(Features):
         self.of_word: list[np.ndarray] = []
 
     def new(self, k: int, word: bytes) -> None:
-        self.of_word.append(np.array(word_buckets(word), np.int64))
+        grams, marks = word_grams(word)
+        self.of_word.append(np.array([*map(gram_bucket, sorted(grams)), *marks], np.int64))
 
     def counted(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """The text's buckets and how often each occurs."""
@@ -135,19 +155,21 @@ class Scorer(Features):
     """Scores texts with a model; keeps for each word the sum of its buckets' numbers."""
 
     def __init__(self, model: Model) -> None:
-        super().__init__()
         self.model = model
         self.weights = model.weights.astype(float)
+        super().__init__()
 
     def clear(self) -> None:
         super().clear()
+        self.of_gram = _GramWeights(self.model.weights.astype(float))
         self.sums, self.sizes = np.zeros(1024), np.zeros(1024)
 
     def new(self, k: int, word: bytes) -> None:
         if k == len(self.sums):
             self.sums, self.sizes = (np.concatenate([a, np.zeros_like(a)]) for a in (self.sums, self.sizes))
-        b = word_buckets(word)
-        self.sums[k], self.sizes[k] = self.weights[b].sum(), len(b)
+        grams, marks = word_grams(word)
+        self.sums[k] = sum(map(self.of_gram.__getitem__, grams)) + sum(self.weights[m] for m in marks)
+        self.sizes[k] = len(grams) + len(marks)
 
     def score(self, text: str) -> float:
         if len(self.number) > self.most:
