@@ -15,8 +15,15 @@ classes.  First each document is compared with the smallest id that it shares a
 with.  A bucket that then still holds several classes takes its smallest member as
 pivot and compares it with all members of other classes, and so on with four times as
 many further pivots in each round, until one class is left or the pivots are used up.
-No pair of a bucket in different classes is left out, and no pair within a class need
-be made, so a bucket of n copies costs some n comparisons, not their square.
+No pair within a class need be made, so a bucket of n copies costs some n comparisons,
+not their square.
+
+In a large group of texts just below the threshold most pairs are not near, and a bound
+rules them out before they are made.  A shingle is rare if three undecided documents
+have it at most.  Pairs that share a rare shingle are few, and compared first.  Two other
+sets of n and m shingles, r and s of them not rare, share min(r, s) at most, and are no
+link if that is under ``least`` / (1 + ``least``) of n + m.  No link is lost by this.
+A pair that shares several buckets is made in one of them.
 
 Copies of a word sequence collapse into their smallest id before that.
 
@@ -33,7 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
@@ -167,16 +174,44 @@ def signed(df: DataFrame, id: str = "doc_id", text: str = "text", weighting: str
 
 
 def shingle_sets(df: DataFrame) -> DataFrame:
-    """(id, set) from (id, text): 32 bits of each shingle's hash, sorted, without repeats."""
+    """(id, set, n) from (id, text): 32 bits of each shingle's hash, sorted, without repeats, and how many shingles differ."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store = Words()
         for batch in batches:
             for ids, texts in _parts(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                sets = [np.unique((shingles((t or "").encode().split(), store) >> _U(32)).astype(np.uint32)).tobytes() for t in texts]
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], names=["id", "set"])
+                whole = [np.unique(shingles((t or "").encode().split(), store)) for t in texts]
+                sets = [np.unique((h >> _U(32)).astype(np.uint32)).tobytes() for h in whole]
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary()), pa.array([len(h) for h in whole], pa.int64())], names=["id", "set", "n"])
+
+    return df.mapInArrow(run, "id long, set binary, n long")
+
+
+def rare_shingles(df: DataFrame) -> DataFrame:
+    """(ids, met) from (id, text): for each one, two or three ids how many shingles are in the texts of just these rows.
 
-    return df.mapInArrow(run, "id long, set binary")
+    Of each shingle only its count, smallest and largest id and the exclusive or of its
+    ids are kept, so that a frequent one is never gathered: the third id follows.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store = Words()
+        for batch in batches:
+            for ids, texts in _parts(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                sets = [np.unique(shingles((t or "").encode().split(), store)) for t in texts]
+                h, owner = np.concatenate(sets), np.repeat(np.array(ids, np.int64), [len(x) for x in sets])
+                order = np.lexsort((owner, h))
+                h, owner = h[order], owner[order]
+                starts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]][: len(h)])
+                if len(starts):
+                    ends = np.r_[starts[1:], len(h)]
+                    columns = [h[starts].view(np.int64), ends - starts, owner[starts], owner[ends - 1], np.bitwise_xor.reduceat(owner, starts)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h", "rows", "lo", "hi", "odd"])
+
+    met = df.mapInArrow(run, "h long, rows long, lo long, hi long, odd long").groupBy("h")
+    met = met.agg(F.sum("rows").alias("rows"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.bit_xor("odd").alias("odd")).where("rows <= 3")
+    third = F.when(F.col("rows") == 3, F.col("odd").bitwiseXOR(F.col("lo")).bitwiseXOR(F.col("hi"))).otherwise(F.col("lo"))
+    return met.groupBy(F.array_distinct(F.array("lo", third, "hi")).alias("ids")).agg(F.count("*").alias("met"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -261,17 +296,26 @@ def near_groups(df: DataFrame, id: str = "doc_id", text: str = "text", least: fl
     # one comparison for each document first: with the smallest id that it shares a bucket with
     pairs = members.where("rep <> pivot").groupBy(F.col("rep").alias("a")).agg(F.min("pivot").alias("b"))
     classes = roots(verified(pairs, sets, least).groupBy(F.col("a").alias("id")).agg(F.min("b").alias("parent")))
-    left, most = members.select("bucket", "rep"), 1
+    left, most = _unsettled(members.select("bucket", "rep"), classes), 1
+    undecided = written(left.groupBy(F.col("rep").alias("id")).agg(F.collect_set("bucket").alias("among")))
+    rare = written(rare_shingles(texts.join(undecided.select("id").hint("merge"), "id")))
+    sizes = written(_sizes(sets.select("id", "n").join(undecided.select("id"), "id"), rare))
+    more = written(verified(_rare_pairs(rare, sizes, classes, least), sets, least))
+    if not more.isEmpty():
+        classes = _joined(classes, more)
+    left = left.select("bucket", "rep").join(sizes.join(undecided, "id").withColumnRenamed("id", "rep"), "rep")
     while True:
-        left = _unsettled(left, classes)
+        left = _unsettled(left, classes, least)
         if left.isEmpty():
             break
         ranked = left.withColumn("at", F.row_number().over(Window.partitionBy("bucket").orderBy("rep")))
         pivots = written(ranked.where(F.col("at") <= most).drop("at"))
-        other = left.select(F.col("bucket").alias("k"), F.col("rep").alias("r"), F.col("class").alias("c"))
-        found = pivots.join(other, (F.col("bucket") == F.col("k")) & (F.col("rep") < F.col("r")) & (F.col("class") != F.col("c")))
-        more = written(verified(found.select(F.col("r").alias("a"), F.col("rep").alias("b")).distinct(), sets, least))
-        left = left.join(pivots.select("bucket", "rep"), ["bucket", "rep"], "left_anti").select("bucket", "rep")
+        other = left.select(F.col("bucket").alias("k"), F.col("rep").alias("a"), F.col("class").alias("c"), F.col("n").alias("m"), F.col("r").alias("s"), F.col("among").alias("with"))
+        # of all buckets that a pair shares one makes it
+        near = _reaches(F.least("r", "s"), F.col("n") + F.col("m"), least) & (F.array_min(F.array_intersect("among", "with")) == F.col("bucket"))
+        found = pivots.join(other, (F.col("bucket") == F.col("k")) & (F.col("rep") < F.col("a")) & (F.col("class") != F.col("c")) & near)
+        more = written(verified(found.select("a", F.col("rep").alias("b")), sets, least))
+        left = left.join(pivots.select("bucket", "rep"), ["bucket", "rep"], "left_anti").select("bucket", "rep", "n", "r", "among")
         if not more.isEmpty():
             classes = _joined(classes, more)
         most *= STEP
@@ -279,11 +323,43 @@ def near_groups(df: DataFrame, id: str = "doc_id", text: str = "text", least: fl
     return named.withColumn("kept", F.col(id).isNull() | (F.col(id) == F.col("class_id")))
 
 
-def _unsettled(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """The members (bucket, rep) of buckets that hold several classes, with their class."""
-    rows = _class_of(members.select("bucket", "rep"), classes, "rep", "class")
-    open_ = rows.groupBy("bucket").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x < y").select("bucket")
-    return written(rows.join(open_, "bucket").select("bucket", "rep", "class"))
+def _reaches(shared: Column, both: Column, least: float) -> Column:
+    """Whether two sets that share so many elements, and have ``both`` together, can have the least similarity."""
+    return shared * (1 + least) >= both * least - 1e-6
+
+
+def _sizes(sets: DataFrame, rare: DataFrame) -> DataFrame:
+    """(id, n, r): shingles, and those of them that are not rare; of an id with several texts ``n`` is the least and ``r`` the most."""
+    own = rare.select(F.explode("ids").alias("id"), "met").groupBy("id").agg(F.sum("met").alias("own"))
+    sizes = sets.groupBy("id").agg(F.min("n").alias("n"), F.max("n").alias("top"), F.count("*").alias("texts"))
+    return sizes.join(own, "id", "left").select("id", "n", F.when(F.col("texts") > 1, F.col("top")).otherwise(F.col("n") - F.coalesce("own", F.lit(0))).alias("r"))
+
+
+def _rare_pairs(rare: DataFrame, sizes: DataFrame, classes: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b) of different classes that share rare shingles, and enough of them or of others to be a link."""
+    two = lambda i, j: F.struct(F.col("ids")[j].alias("a"), F.col("ids")[i].alias("b"))
+    pairs = F.when(F.size("ids") == 2, F.array(two(0, 1))).otherwise(F.array(two(0, 1), two(1, 2), two(0, 2)))
+    met = rare.where(F.size("ids") > 1).select(F.explode(pairs).alias("p"), "met").groupBy("p.a", "p.b").agg(F.sum("met").alias("met"))
+    met = _class_of(_class_of(met, classes, "a", "x"), classes, "b", "y").where("x <> y")
+    met = met.join(sizes.withColumnRenamed("id", "a"), "a").join(sizes.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("r").alias("s")), "b")
+    return met.where(_reaches(F.col("met") + F.least("r", "s"), F.col("n") + F.col("m"), least)).select("a", "b")
+
+
+def _unsettled(members: DataFrame, classes: DataFrame, least: float | None = None) -> DataFrame:
+    """The members of buckets that hold several classes, with their class.
+
+    With ``least``, members have ``n`` and ``r``, and those that reach no size of text
+    from the bucket's smallest on go too.
+    """
+    rows = _class_of(members, classes, "rep", "class")
+    if least is not None:
+        rows = rows.where(F.col("r") >= F.col("n") * least - 1e-6)
+    low = [F.min("n").alias("low")] if least is not None else []
+    open_ = rows.groupBy("bucket").agg(F.min("class").alias("x"), F.max("class").alias("y"), *low).where("x < y").drop("x", "y")
+    rows = rows.join(open_, "bucket")
+    if least is not None:
+        rows = rows.where(_reaches(F.col("r"), F.col("n") + F.col("low"), least)).drop("low")
+    return written(rows)
 
 
 def drop_near_copies(df: DataFrame, id: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:

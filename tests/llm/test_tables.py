@@ -136,6 +136,30 @@ def test_near_classes_equal_all_pairs(spark):
     assert near.near_groups(made.where("false")).count() == 0
 
 
+def test_a_group_about_the_threshold_loses_no_link(spark):
+    """Copies with edits from few words, so that some of their shingles are in one, two, three or more of them."""
+    r = random.Random(5)
+    base, rows = [f"b{k}" for k in range(150)], []
+    for k in range(150):
+        copy = list(base)
+        for _ in range(r.randrange(2, 7)):
+            copy[r.randrange(150)] = f"e{r.randrange(4)}"
+        rows.append((k, " ".join(copy[: r.choice((150, 150, 140, 125))])))
+    rows += [rows[3], (4, rows[9][1] + " and more")]  # a repeated row; an id of two texts
+    wanted = brute.near(rows)
+    assert 1 < len(set(wanted.values())) < 150
+    got = {x["doc_id"]: x["class_id"] for x in near.near_groups(documents(spark, rows)).collect()}
+    assert got == wanted
+
+
+def test_rare_shingles_name_up_to_three_ids(spark):
+    texts = {1: "a b c d e", 2: "a b c d e f", 3: "a b c d e f g", 4: "x y", 5: "b c d e f g", 6: "x y"}
+    df = spark.createDataFrame(list(texts.items()), "id long, text string").repartition(4)
+    got = {tuple(sorted(x["ids"])): x["met"] for x in near.rare_shingles(df).collect()}
+    assert got == {(1, 2, 3): 1, (2, 3, 5): 1, (3, 5): 1, (4, 6): 1}
+    assert near.rare_shingles(df.where("false")).count() == 0
+
+
 def test_links_across_pivots_are_found(spark):
     """A chain: neighbours are near, the ends are not, so that no single pivot reaches all."""
     base = [f"c{k}" for k in range(100)]
