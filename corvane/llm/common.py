@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +15,26 @@ SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Bytes of an Arrow batch on its way to Python and back, where the session has the default (64 MB).
+BATCH_BYTES = 8 << 20
+_DEFAULT_BATCH_BYTES = 64 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches, which a task holds several times, in both processes; a setting of the session's own stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name).rstrip("b") == str(_DEFAULT_BATCH_BYTES):
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
+def released() -> None:
+    """Give back what Arrow holds for later: workers are used again by other stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

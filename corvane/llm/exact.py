@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, text_of
+from .common import SPACE, released, text_of
 
 #: Bytes of strings that a trie holds before subtrees are spilled.
 HELD = 96 << 20
@@ -185,6 +185,7 @@ def _through_tries(rows: DataFrame) -> DataFrame:
                 held, out = 0, []
         if out:
             yield _batch(out)
+        released()
 
     return rows.mapInArrow(run, _FIELDS)
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_rows
+from .common import bounded_rows, released
 
 BUCKETS = 1 << 17
 DIMENSIONS = 8
@@ -237,9 +237,11 @@ def scored(df: DataFrame, model: Model, text: str = "text", score: str = "score"
     sent = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = sent.value.scorer()
+        scorer, batch = sent.value.scorer(), None
         for batch in batches:
             made = [scorer.score(t or "") for t in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.float64())], names=[*batch.schema.names, score])
+        del scorer, batch
+        released()
 
     return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(score, T.DoubleType())]))
