@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
+import os
 import tempfile
 import uuid
 
@@ -28,9 +30,12 @@ def bounded_batches(spark: SparkSession) -> None:
 
 
 def released() -> None:
-    """Give back what Arrow holds for later: workers are used again by other stages."""
+    """Give back memory that Arrow and the allocator hold for later: processes go on with other stages."""
     gc.collect()
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if os.name == "posix" else None
+    if trim:
+        trim(0)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -190,7 +190,9 @@ def train(texts: list[str], labels: list[int], seed: int = 3) -> Model:
     if not 0 < share < 1:
         return Model(np.zeros(BUCKETS, np.float32), float(np.log((share + 1e-3) / (1 - share + 1e-3))))
     features, rng = _Training(), np.random.default_rng(seed)
-    data = [features.counted(t) for t in texts]
+    # whole counts and buckets fit in 32 bits, half the driver's memory
+    data = [(b.astype(np.int32), n.astype(np.float32)) for b, n in map(features.counted, texts)]
+    del features
     vectors = (rng.random((BUCKETS, DIMENSIONS)) - 0.5) / DIMENSIONS
     out = np.zeros((2, DIMENSIONS))
     bias = np.array([0.0, 0.0])
@@ -200,7 +202,7 @@ def train(texts: list[str], labels: list[int], seed: int = 3) -> Model:
         for k in rng.permutation(len(data)):
             rate = RATE * (1 - done / steps)
             done += 1
-            b, n = data[k]
+            b, n = data[k][0], data[k][1].astype(float)
             part = n / n.sum() if len(b) else n
             hidden = part @ vectors[b]
             z = out @ hidden + bias
@@ -226,7 +228,12 @@ def fitted(df: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "te
     known = labels.where(F.col(label).isin(0, 1) & F.col(id).isNotNull() & ~held_out(id)).groupBy(id).agg(F.min(label).alias("_label"))
     rows = bounded_rows(df.select(id, F.col(text).cast("string").alias("_text")), known, id, bound).select(id, "_label", "_text").toPandas()
     rows = rows.fillna({"_text": ""}).sort_values([id, "_text"], kind="stable")
-    return train(rows["_text"].tolist(), rows["_label"].tolist())
+    texts, known = rows["_text"].tolist(), rows["_label"].tolist()
+    del rows
+    model = train(texts, known)
+    del texts
+    released()
+    return model
 
 
 def scored(df: DataFrame, model: Model, text: str = "text", score: str = "score") -> DataFrame:
