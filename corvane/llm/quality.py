@@ -9,6 +9,9 @@ sample of labelled texts, whole texts each.
 With a linear output, a text's logit is the average of one number for each bucket, so
 that scoring looks up a number for each word (kept by each worker) and each pair.
 
+A word is a run without white space, taken whole: its n-grams are gathered in stretches
+of ``STRETCH`` characters, so that a text in one long word needs bounded memory.
+
 Defined cases: a null or empty text has no features, its score is that of the bias.
 Repeated rows score alike, an empty table gives an empty table.  Without labels of both
 kinds, every score is the share of label 1 (0.5 without any).  Other columns are kept;
@@ -39,20 +42,30 @@ RATE = 0.2
 #: Buckets set apart for how words and lines repeat.
 SAME_WORD, SAME_LINE, UPPER, SYMBOLS = range(4)
 _APART = 16
+#: An n-gram counts once in each stretch of so many characters of a word, the stretch that it begins in.
+STRETCH = 1 << 16
+#: Bytes of words that are kept at most, beyond those of one text.
+MOST_BYTES = 8 << 20
 
 
-def word_grams(word: bytes) -> tuple[set[str], list[int]]:
-    """A word and its character n-grams, and the buckets of its marks for capitals and symbols only."""
+def word_grams(word: bytes) -> tuple[Iterator[set[str]], list[int]]:
+    """The character n-grams of each stretch of a word, and the buckets of the whole word and its marks for capitals and symbols only."""
     text = word.decode("utf-8", "replace")
-    marked = f"<{text[:40]}>"
-    grams = {marked[i : i + n] for n in GRAMS for i in range(len(marked) - n + 1)}
-    grams.add(marked)
     marks = []
+    # a word that is one n-gram with its ends is among them
+    if len(text) + 2 not in GRAMS:
+        marks.append(_APART + zlib.crc32(b">", zlib.crc32(word, zlib.crc32(b"<"))) % (BUCKETS - _APART))
     if len(text) > 1 and text.isupper():
         marks.append(UPPER)
     if not text.isalnum() and not any(c.isalnum() for c in text):
         marks.append(SYMBOLS)
-    return grams, marks
+    return _stretches(f"<{text}>"), marks
+
+
+def _stretches(marked: str) -> Iterator[set[str]]:
+    for at in range(0, len(marked), STRETCH):
+        part = marked[at : at + STRETCH + GRAMS[-1] - 1]
+        yield {part[i : i + n] for n in GRAMS for i in range(min(STRETCH, len(part) - n + 1))}
 
 
 def gram_bucket(gram: str) -> int:
@@ -81,11 +94,14 @@ class Features:
         self.clear()
 
     def clear(self) -> None:
+        self.held = 0
         self.number: dict[bytes, int] = {}
         self.crc = np.zeros(1024, np.int64)
 
     def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray, int, int]:
         """Word numbers in order, buckets of the pairs, repeated words, words in repeated lines."""
+        if len(self.number) > self.most or self.held > MOST_BYTES:
+            self.clear()
         raw = text.encode()
         words = raw.split()
         number = self.number
@@ -95,6 +111,7 @@ class Features:
             for w in words:
                 if w not in number:
                     k = number[w] = len(number)
+                    self.held += len(w)
                     if k == len(self.crc):
                         self.crc = np.concatenate([self.crc, np.zeros_like(self.crc)])
                     self.crc[k] = zlib.crc32(w)
@@ -117,21 +134,31 @@ class Features:
 
 
 class _Training(Features):
-    def __init__(self) -> None:
-        super().__init__()
-        self.of_word: list[np.ndarray] = []
+    def clear(self) -> None:
+        super().clear()
+        self.of_word: list[tuple[np.ndarray, np.ndarray]] = []
 
     def new(self, k: int, word: bytes) -> None:
-        grams, marks = word_grams(word)
-        self.of_word.append(np.array([*map(gram_bucket, sorted(grams)), *marks], np.int64))
+        """Keep the word's buckets and how often each occurs."""
+        stretches, marks = word_grams(word)
+        if len(word) + 2 <= STRETCH:
+            buckets = np.array([*map(gram_bucket, next(stretches)), *marks], np.int32)
+            counts = np.ones(len(buckets), np.int32)
+        else:
+            every = np.bincount(marks, minlength=BUCKETS)
+            for grams in stretches:
+                every += np.bincount(np.fromiter(map(gram_bucket, grams), np.int64, len(grams)), minlength=BUCKETS)
+            buckets = np.flatnonzero(every).astype(np.int32)
+            counts = every[buckets].astype(np.int32)
+        self.of_word.append((buckets, counts))
 
     def counted(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """The text's buckets and how often each occurs."""
         ids, pairs, same, again = self(text)
         which, times = np.unique(ids, return_counts=True)
         parts = [self.of_word[k] for k in which]
-        buckets = np.concatenate([*parts, pairs, [SAME_WORD, SAME_LINE]]).astype(np.int64)
-        counts = np.concatenate([np.repeat(times, [len(p) for p in parts]), np.ones(len(pairs)), [REPEAT_WEIGHT * same, REPEAT_WEIGHT * again]])
+        buckets = np.concatenate([*[b for b, _ in parts], pairs, [SAME_WORD, SAME_LINE]]).astype(np.int64)
+        counts = np.concatenate([*[n * t for (_, n), t in zip(parts, times)], np.ones(len(pairs)), [REPEAT_WEIGHT * same, REPEAT_WEIGHT * again]])
         found, where = np.unique(buckets[counts > 0], return_inverse=True)
         return found, np.bincount(where, counts[counts > 0], len(found))
 
@@ -167,13 +194,14 @@ class Scorer(Features):
     def new(self, k: int, word: bytes) -> None:
         if k == len(self.sums):
             self.sums, self.sizes = (np.concatenate([a, np.zeros_like(a)]) for a in (self.sums, self.sizes))
-        grams, marks = word_grams(word)
-        self.sums[k] = sum(map(self.of_gram.__getitem__, grams)) + sum(self.weights[m] for m in marks)
-        self.sizes[k] = len(grams) + len(marks)
+        stretches, marks = word_grams(word)
+        total, size = sum(self.weights[m] for m in marks), len(marks)
+        for grams in stretches:
+            total += sum(map(self.of_gram.__getitem__, grams))
+            size += len(grams)
+        self.sums[k], self.sizes[k] = total, size
 
     def score(self, text: str) -> float:
-        if len(self.number) > self.most:
-            self.clear()
         ids, pairs, same, again = self(text)
         total = self.sums[ids].sum() + self.weights[pairs].sum() + REPEAT_WEIGHT * (same * self.weights[SAME_WORD] + again * self.weights[SAME_LINE])
         n = self.sizes[ids].sum() + len(pairs) + REPEAT_WEIGHT * (same + again)

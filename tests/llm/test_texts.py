@@ -196,6 +196,33 @@ def test_classifier_learns(spark):
         assert abs(scorer.score(t) - 1 / (1 + np.exp(-z))) < 1e-6
 
 
+def test_long_words_count_whole(monkeypatch):
+    """Texts without spaces that differ only after character 40 are told apart, in training and in scoring."""
+    r = random.Random(7)
+    same = "漢字仮名" * 10
+    rows = [(same + "".join(r.choice("甲乙丙丁戊己" if y else "子丑寅卯辰巳") for _ in range(r.randrange(100, 300))), y) for y in (0, 1) * 60]
+    model = quality.train([t for t, _ in rows[:80]], [y for _, y in rows[:80]])
+    scorer = model.scorer()
+    assert all((scorer.score(t) >= 0.5) == (y == 1) for t, y in rows[80:])
+    a, b = (quality._Training().counted(same + c) for c in ("甲" * 5, "乙" * 5))
+    assert set(a[0]) != set(b[0])
+    # words over several stretches: no n-gram is lost between two of them, scoring agrees with training, and what is kept is bounded
+    word = "".join(chr(0x4E00 + k) for k in range(500))
+    grams = {f"<{word}>"[i : i + n] for n in quality.GRAMS for i in range(503 - n)}
+    for stretch in (1, 7, 64, 500, 501, 502, 503):
+        monkeypatch.setattr(quality, "STRETCH", stretch)
+        found = [g for part in quality.word_grams(word.encode())[0] for g in part]
+        assert len(found) == len(grams) and set(found) == grams
+    monkeypatch.setattr(quality, "STRETCH", 64)
+    monkeypatch.setattr(quality, "MOST_BYTES", 2000)
+    scorer, counted = model.scorer(), quality._Training()
+    for t, _ in rows[:40]:
+        b, n = counted.counted(t)
+        z = model.bias + model.weights[b].astype(float) @ n / n.sum()
+        assert abs(scorer.score(t) - 1 / (1 + np.exp(-z))) < 1e-6
+        assert max(len(scorer.number), len(counted.number), len(counted.of_word)) < 10
+
+
 def test_scores_of_odd_tables(spark):
     rows = spark.createDataFrame([*enumerate([*ODD, ODD[3]])], "doc_id long, text string").withColumn("score", F.lit("clash"))
     model = quality.train(["good words here", "### $$$"] * 10, [1, 0] * 10)
