@@ -881,7 +881,7 @@ def d03_grid_search(spark, sf):
 @query()
 def d05_rule_choice(spark, sf):
     s1, tgt = sides(spark, sf)
-    rule = decision.choose(decision.scored_pairs(ranked_pairs(s1, tgt)).persist(), truth_of(s1, tgt), s1.withColumnRenamed("entity_id", S_ID), decision.THRESHOLDS[::6])
+    rule = decision.choose(decision.scored_pairs(ranked_pairs(s1, tgt)).persist(), truth_of(s1, tgt), s1.withColumnRenamed("entity_id", S_ID))
     return spark.createDataFrame([(rule["mode"], rule["threshold_s2"], rule["threshold_s3"], rule["cap"], rule["bipartite"], round(rule["score"], 9))], "mode string, threshold_s2 double, threshold_s3 double, cap int, bipartite boolean, score double")
 
 
@@ -1015,7 +1015,7 @@ def a08_token_frequency(spark, sf):
 @query()
 def d04_source_thresholds(spark, sf):
     s1, tgt = sides(spark, sf)
-    r = decision.source_thresholds(decision.scored_pairs(ranked_pairs(s1, tgt)).persist(), truth_of(s1, tgt), s1.withColumnRenamed("entity_id", S_ID), 3, decision.THRESHOLDS[::4])
+    r = decision.source_thresholds(decision.scored_pairs(ranked_pairs(s1, tgt)).persist(), truth_of(s1, tgt), s1.withColumnRenamed("entity_id", S_ID), 3)
     return spark.createDataFrame([(r["threshold_s2"], r["threshold_s3"], round(r["score"], 9))], "threshold_s2 double, threshold_s3 double, score double")
 
 

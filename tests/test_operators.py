@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from corvane.functions.text import normalized
 from corvane.operators import blocking, checks, decision, features, keys, metrics, model, rules, sampling
-from corvane.plans import link
+from corvane.plans import link, queries
 from corvane.sources import tables
 from corvane.streaming import incremental
 
@@ -154,6 +154,23 @@ def test_grid_agrees_with_single_rules(spark):
             assert abs(metrics.macro_fbeta(s1, kept, truth).first()["score"] - g["score"]) < 1e-12
 
 
+@pytest.mark.parametrize(("name", "wanted"), [("d04_source_thresholds", {"threshold_s2": 0.7, "threshold_s3": 0.2}), ("d05_rule_choice", {"mode": "global", "threshold_s2": 0.64, "threshold_s3": 0.64, "cap": None, "bipartite": False})])
+def test_rules_are_tuned_over_all_thresholds(spark, monkeypatch, name, wanted):
+    """The best thresholds are .70 for S2 (S3 is bounded by the cap alone) and .64 for both, which a stride of 4 or 6 steps over."""
+    ids = [f"S1-{k}" for k in range(4)]
+    pairs = [(s, c, p, n) for s in ids for n, (c, p) in enumerate([(f"S2-{s}", 0.71), (f"S3-{s}", 0.65), (f"S2-{s}x", 0.695), (f"S3-{s}x", 0.625)], 1)]
+    if name == "d05_rule_choice":  # the last record has only a wrong candidate, which no cap drops
+        pairs = [x for x in pairs if x[1] != f"S2-{x[0]}x" and (x[0] != ids[-1] or x[1].endswith("x"))]
+    rows = spark.createDataFrame(pairs, "source1_entity_id string, candidate_entity_id string, probability double, candidate_rank int")
+    truth = rows.where("candidate_entity_id not like '%x'").select(*decision.PAIR)
+    s1 = spark.createDataFrame([(s,) for s in ids], "entity_id string")
+    monkeypatch.setattr(queries, "sides", lambda spark, sf: (s1, None))
+    monkeypatch.setattr(queries, "ranked_pairs", lambda s1, tgt: rows)
+    monkeypatch.setattr(queries, "truth_of", lambda s1, tgt: truth)
+    got = getattr(queries, name)(spark, None).first().asDict()
+    assert {k: got[k] for k in wanted} == wanted and got["score"] == 1.0
+
+
 def test_splits_and_samples(spark):
     rows = spark.createDataFrame([(f"S1-{k}", k % 5 == 0) for k in range(50)], "source1_entity_id string, matched boolean")
     counts = {(r["matched"], r["split"]): r["count"] for r in sampling.three_way_split(rows).groupBy("matched", "split").count().collect()}
