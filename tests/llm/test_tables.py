@@ -268,6 +268,15 @@ def test_languages(spark):
     assert len(none) == len(rows) and none[0]["lang"] is None
 
 
+def test_late_declarations_are_found(spark):
+    model = langid.fit_texts(list(TEXT.items()))
+    late = f'<!-- {"x" * 25_000} -->\n<html class="a" lang = " FR-ca"><p>{TEXT["fr"]}</p></html>'
+    rows = [(1, "http://a.com/", late), (2, "http://a.com/", f'<html>{"<p>" * 10_000}<HTML\nLANG=de>')]
+    got = langid.identified(spark.createDataFrame(rows, "page_id long, url string, html string"), model).collect()
+    assert {r["page_id"]: r["markup"] for r in got} == {1: "fr", 2: "de"}
+    assert langid.declared("<html " * 200_000) == langid.declared(f"<html lang={' ' * 200_000}>") == langid.declared("<html>lang=en") == ""
+
+
 # pipeline
 
 
