@@ -20,12 +20,13 @@ from array import array
 from collections.abc import Iterator
 from functools import cached_property
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-#: Pre-tokens kept with their ids in each worker; when full, the store starts anew.
-CACHE_ENTRIES = 250_000
+#: Bytes of pre-tokens and their ids that each worker keeps, about; when full, the store starts anew.
+CACHE_BYTES = 32 << 20
 #: Only pre-tokens up to this many characters are kept.
 CACHE_CHARS = 64
 
@@ -42,6 +43,18 @@ def byte_map() -> list[str]:
     return out
 
 
+def piece_of(token: bytes, chars: list[str]) -> str:
+    """The piece of a token: its bytes as characters."""
+    return "".join([chars[b] for b in token])
+
+
+def byte_of() -> np.ndarray:
+    """The inverse of ``byte_map``: the byte of each code point."""
+    out = np.zeros(max(map(ord, byte_map())) + 1, np.uint8)
+    out[[ord(c) for c in byte_map()]] = np.arange(256)
+    return out
+
+
 def read_ranks(data: bytes) -> dict[bytes, int]:
     """The ranks of a file with a base64 token and its rank in each line."""
     out = {}
@@ -83,7 +96,7 @@ def model_bytes(ranks: dict[bytes, int]) -> bytes:
         raise ValueError("each byte needs a rank")
     out = bytearray()
     for rank, token in enumerate(tokens):
-        piece = "".join(chars[b] for b in token).encode()
+        piece = piece_of(token, chars).encode()
         out += _field(1, _field(1, piece) + _field(2, float(-rank)) + _field(3, 1))
     out += _field(1, _field(1, b"<unk>") + _field(2, float(-len(tokens))) + _field(3, 2))
     # trainer: model type BPE, id of the unknown piece, no other special ids
@@ -103,10 +116,14 @@ class Codec:
         import regex
 
         self.whole = read_ranks(data)
-        self.inverse = sorted(self.whole, key=self.whole.__getitem__)
+        chars = byte_map()
+        #: The pieces of the model by id, and the byte of each of their characters.
+        self.pieces = [piece_of(t, chars) for t in sorted(self.whole, key=self.whole.__getitem__)]
+        self.byte_of = byte_of()
         self.to_chars = dict(enumerate(byte_map())) | {0xFF: "\n"}
         self.split = regex.compile(pattern)
         self.store: dict[str, bytes] = {}
+        self.held = 0
 
     @cached_property
     def model(self):
@@ -136,12 +153,15 @@ class Codec:
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers; new pre-tokens of all texts are encoded in one call."""
         split = [self.split.findall(t) for t in texts]
-        if len(self.store) > CACHE_ENTRIES:
-            self.store = {}
+        if self.held > CACHE_BYTES:
+            self.store, self.held = {}, 0
         store = self.store
         missing = set().union(*split) - store.keys()
         found = dict(self._new(list(missing)))
-        store.update((t, b) for t, b in found.items() if len(t) <= CACHE_CHARS)
+        short = {t: b for t, b in found.items() if len(t) <= CACHE_CHARS}
+        store.update(short)
+        # the text, its ids and their place
+        self.held += sum(map(len, short)) + sum(map(len, short.values())) + 180 * len(short)
         for tokens in split:
             try:
                 yield b"".join(map(store.__getitem__, tokens))
@@ -149,9 +169,9 @@ class Codec:
                 yield b"".join([store.get(t) or found[t] for t in tokens])
 
     def decode(self, ids: bytes) -> bytes:
-        import numpy as np
-
-        return b"".join(map(self.inverse.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        """The pieces of the ids, joined, with each character as the byte it stands for."""
+        mapped = "".join(map(self.pieces.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        return self.byte_of[np.frombuffer(mapped.encode("utf-16-le"), "<u2")].tobytes()
 
 
 def _vocabulary(df: DataFrame, path: str):

@@ -69,10 +69,9 @@ def visited(parts: Column) -> tuple[Column, Column]:
 def format_chats(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", parts: str | None = None, loss_role: str = "assistant") -> DataFrame:
     """One row per conversation: ``conv``, ``formatted``, ``segments`` (array of (text, loss)), ``attachments`` (array of (turn, index, kind, ref, tokens)) and ``expanded_tokens``."""
     as_text = F.array(F.struct(F.lit("text").alias("kind"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.lit(None).cast("string").alias("ref"), F.lit(None).cast("long").alias("units")))
-    if parts:
-        content, attachments = visited(F.coalesce(F.col(parts).cast(PARTS), as_text.cast(PARTS)))
-    else:
-        content, attachments = escape(F.coalesce(F.col(text), F.lit(""))), F.array().cast("array<struct<index:bigint,kind:string,ref:string,tokens:bigint>>")
+    # a message without parts is one part of text: every message goes through the visitor
+    as_text = as_text.cast(PARTS)
+    content, attachments = visited(F.coalesce(F.col(parts).cast(PARTS), as_text) if parts else as_text)
     turns = messages.select(F.col(conv).alias("c"), F.col(turn).cast("long").alias("t"), F.coalesce(F.col(role), F.lit("")).alias("r"), content.alias("x"), attachments.alias("a"))
     row = F.struct("t", "r", "x", "a")
     ordered = F.array_sort(F.collect_list(row))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import gc
 import os
+import re
 import tempfile
 import uuid
 
@@ -44,27 +45,49 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or one of our own where it is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, or one of our own where it is unset and all run on one machine."""
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not found:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="corvane-")
         sc.setCheckpointDir(found)
         found = sc.getCheckpointDir()
     return found.rstrip("/")
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame) -> DataFrame:
     """Cut the lineage: write ``df`` as a table in the shared folder and read it back."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/corvane-{uuid.uuid4().hex}"
+    path = fresh_path(spark, "corvane")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def text_of(column: str = "text") -> Column:
+def text_of(column: str | Column = "text") -> Column:
     """The text, null as empty."""
-    return F.coalesce(F.col(column).cast("string"), F.lit(""))
+    return F.coalesce((F.col(column) if isinstance(column, str) else column).cast("string"), F.lit(""))
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns of ``df`` as one struct ``row``, so that no name put beside it clashes with one of theirs."""
+    return F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in df.columns]).alias("row")
+
+
+def field(column: str) -> Column:
+    """A column of a ``whole_row``."""
+    return F.col("row").getField(column)
+
+
+def unpacked(rows: DataFrame, *more: str) -> DataFrame:
+    """The columns of each ``whole_row``, without those whose place ``more`` takes, and ``more``."""
+    names = [f.name for f in rows.schema["row"].dataType.fields if f.name not in more]
+    return rows.select(*[field(c).alias(c) for c in names], *more)
 
 
 def bounded_rows(df: DataFrame, keys: DataFrame, key: str, bound: int, seed: int = 0) -> DataFrame:
