@@ -9,13 +9,14 @@ bound, its largest subtree goes to a file of the task, and is merged with what c
 later by building the subtree again; the file goes when the task ends.
 
 The owner is the row with the most code points in the original text, then the smallest
-id.  Defined cases: a null text is empty; all empty texts are equal.  A null id loses to
-every other id.  Each repeated row counts and gets its row in the result.  An empty
+id.  Defined cases: ids are integers or strings (ordered by code point); a null text is
+empty; all empty texts are equal.  A null id loses to every other id.  Each repeated row counts and gets its row in the result.  An empty
 table gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 import os
 import pickle
 import tempfile
@@ -24,8 +25,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import SPACE, released, text_of
+from .common import SPACE, field, released, text_of, unpacked, whole_row
 
 #: Bytes of strings that a trie holds before subtrees are spilled.
 HELD = 96 << 20
@@ -56,7 +58,7 @@ def _common(a: bytes, b: bytes) -> int:
 
 def better(a: tuple, b: tuple) -> tuple:
     """Merge two owners (code points, id or None, rows)."""
-    x, y = (-a[0], a[1] is None, a[1] or 0), (-b[0], b[1] is None, b[1] or 0)
+    x, y = (-a[0], a[1] is None, a[1]), (-b[0], b[1] is None, b[1])
     first = a if x <= y else b
     return first[0], first[1], a[2] + b[2]
 
@@ -128,15 +130,17 @@ class OwnerTrie:
                 f.seek(0, os.SEEK_END)
                 for item in self._walk(self.root.children.pop(b), b""):
                     pickle.dump(item, f)
-            yield from self._merged(f, 0)
+            yield from self._merged(f, 0, math.inf)
         self.files = {}
         yield from self._walk(self.root, b"")
         self.root = _Node(b"")
 
-    def _merged(self, f, depth: int) -> Iterator[tuple[bytes, tuple]]:
+    def _merged(self, f, depth: int, above: float) -> Iterator[tuple[bytes, tuple]]:
         """The strings of a file: in a trie of their own if they fit, else dealt by hash to further files."""
         f.seek(0, os.SEEK_END)
-        parts = min(64, 1 + 2 * f.tell() // self.held) if depth < 6 else 1
+        size = f.tell()
+        # a part that no longer shrinks (a long key, or one key's rows) is merged as it is
+        parts = min(64, 1 + 2 * size // self.held) if depth < 6 and size < above else 1
         if parts == 1:
             sub = OwnerTrie(1 << 62)
             for key, owner in _loaded(f):
@@ -148,7 +152,7 @@ class OwnerTrie:
                 pickle.dump(item, files[hash((depth, item[0])) % parts])
             f.close()
             for g in files:
-                yield from self._merged(g, depth + 1)
+                yield from self._merged(g, depth + 1, size)
         f.close()
 
 
@@ -165,11 +169,10 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(text, SPACE, "")
 
 
-_FIELDS = "key binary, n_chars long, id long, n_rows long"
-
-
 def _through_tries(rows: DataFrame) -> DataFrame:
-    """Merge the rows of ``_FIELDS`` in each partition by key."""
+    """Merge the rows (key, n_chars, id, n_rows) in each partition by key."""
+    # sent as integers or text, whatever the kind of the ids
+    kind = "string" if rows.schema["id"].dataType == T.StringType() else "long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = OwnerTrie()
@@ -180,18 +183,19 @@ def _through_tries(rows: DataFrame) -> DataFrame:
         for key, owner in trie.items():
             out.append((key, *owner))
             held += len(key)
-            if held > 16 << 20 or len(out) >= 5000:
-                yield _batch(out)
+            if held > 4 << 20 or len(out) >= 5000:
+                yield _batch(out, kind)
                 held, out = 0, []
         if out:
-            yield _batch(out)
+            yield _batch(out, kind)
+        del trie, out
         released()
 
-    return rows.mapInArrow(run, _FIELDS)
+    return rows.withColumn("id", F.col("id").cast(kind)).mapInArrow(run, f"key binary, n_chars long, id {kind}, n_rows long")
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds, names = [pa.binary(), pa.int64(), pa.int64(), pa.int64()], ["key", "n_chars", "id", "n_rows"]
+def _batch(rows: list[tuple], kind: str) -> pa.RecordBatch:
+    kinds, names = [pa.binary(), pa.int64(), pa.string() if kind == "string" else pa.int64(), pa.int64()], ["key", "n_chars", "id", "n_rows"]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
 
@@ -199,7 +203,7 @@ def owners(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(key_sha256, keep_id, group_size): one row per distinct normalised text."""
     t = text_of(text)
     key = F.encode(normalised(t), "UTF-8")
-    rows = df.select(key.alias("key"), F.length(t).cast("long").alias("n_chars"), F.col(id).cast("long").alias("id"), F.lit(1).cast("long").alias("n_rows"))
+    rows = df.select(key.alias("key"), F.length(t).cast("long").alias("n_chars"), F.col(id).alias("id"), F.lit(1).cast("long").alias("n_rows"))
     merged = _through_tries(_through_tries(rows).repartition(F.octet_length("key"), F.xxhash64("key")))
     return merged.select(F.sha2("key", 256).alias("key_sha256"), F.col("id").alias("keep_id"), F.col("n_rows").alias("group_size"))
 
@@ -216,11 +220,9 @@ def exact_groups(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataF
 
 def drop_copies(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``df`` that stay, one of each group, with their columns."""
-    keys = owners(df, id, text).select(F.col("key_sha256").alias("_key"), F.col("keep_id").alias("_keep"))
-    rows = df.withColumn("_sha", F.sha2(F.encode(normalised(text_of(text)), "UTF-8"), 256)).withColumn("_n", F.length(text_of(text)))
-    found = rows.join(keys, (F.col("_sha") == F.col("_key")) & F.col(id).eqNullSafe(F.col("_keep")))
+    t = text_of(text)
+    rows = df.select(whole_row(df), F.sha2(F.encode(normalised(t), "UTF-8"), 256).alias("sha"), F.length(t).alias("n"))
+    found = rows.join(owners(df, id, text), (F.col("sha") == F.col("key_sha256")) & field(id).eqNullSafe(F.col("keep_id")))
     # rows that repeat the id that stays lie together after the join
-    best = F.row_number().over(Window.partitionBy("_sha", id).orderBy(F.col("_n").desc(), text))
-    return found.withColumn("_at", best).where("_at = 1").select(*df.columns)
-
-
+    best = F.row_number().over(Window.partitionBy("sha", "keep_id").orderBy(F.col("n").desc(), field(text)))
+    return unpacked(found.withColumn("at", best).where("at = 1"))
