@@ -20,7 +20,7 @@ texts, language and probability are null.  An empty table gives an empty table.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,19 +28,24 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_rows, written
+from .common import bounded_rows, released, written
 
 BUCKETS = 1 << 15
 #: Labelled texts that the models are fitted on at most, chosen by a hash of their id.
 MAX_TEXTS = 4_000
-#: A text counts as so many independent trigrams at most, for neighbours depend on each other.
+#: The weight of a text is that of its trigrams, up to so many: neighbouring trigrams depend on each other, and one
+#: page's text must not drown what its host says.  All trigrams count in the average that is weighed.
 MOST_TRIGRAMS = 150
+#: Trigrams that are weighed at once.
+STRETCH = 1 << 18
 #: Weight of the level above in counts of pages, from host to domain, suffix, and all.
 STRENGTH = 5.0
 #: A table of declared values with at most as many rows is broadcast; a larger one is joined by a shuffle.
 SMALL = 10_000
-_HIDDEN = re.compile(r"<(script|style|nav|footer|aside|noscript|template)\b.*?</\1\s*>|<!--.*?-->", re.S | re.I)
-_TAG = re.compile(r"<[^>]*>")
+#: Elements whose text isn't part of the page's.
+HIDDEN = ("script", "style", "nav", "footer", "aside", "noscript", "template")
+_MARK = re.compile(rf"<(?:(!--)|({'|'.join(HIDDEN)})\b)?", re.I)
+_END = {"!--": re.compile("-->")} | {name: re.compile(rf"</{name}\s*>", re.I) for name in HIDDEN}
 _ENTITY = re.compile(r"&#?\w+;")
 _OPEN = re.compile(r"<html\b", re.I)
 _LANG = re.compile(r"\blang\s*=\s*(?:[\"']\s*)?([A-Za-z]{2,3})", re.I)
@@ -49,8 +54,25 @@ _SEGMENT = re.compile(r"^[a-z][a-z0-9+.-]*://[^/?#]+/([a-z]{2})(?:[/?#.]|$)", re
 
 
 def visible(html: str) -> str:
-    """The text of a page without hidden parts, navigation and tags."""
-    return _ENTITY.sub(" ", _TAG.sub(" ", _HIDDEN.sub(" ", html)))
+    """The text of a page without hidden parts, comments and tags, in one pass.
+
+    A part that is opened and never closed is a tag like others.  Where an end was looked for in
+    vain it isn't looked for again, so time stays in proportion to the page.
+    """
+    out, at, none = [], 0, set()
+    while found := _MARK.search(html, at):
+        name, end = (found[1] or found[2] or "").lower(), None
+        if name and name not in none:
+            end = _END[name].search(html, found.end())
+            if not end:
+                none.add(name)
+        past = end.end() if end else html.find(">", found.end()) + 1
+        if not past:
+            break  # no tag ends from here on
+        out.append(html[at : found.start()])
+        at = past
+    out.append(html[at:])
+    return _ENTITY.sub(" ", " ".join(out))
 
 
 def declared(html: str) -> str:
@@ -78,29 +100,57 @@ def trigrams(text: str) -> np.ndarray:
 class TextModel:
     languages: tuple[str, ...]
     log_p: np.ndarray  # languages x buckets
+    most: int = MOST_TRIGRAMS
 
     def log_likelihood(self, text: str) -> np.ndarray:
         t = trigrams(text)
         if not len(t):
             return np.zeros(len(self.languages))
-        total = self.log_p[:, t].mean(axis=1)
-        return (total - total.max()) * min(len(t), MOST_TRIGRAMS)
+        total = np.zeros(len(self.languages))
+        for at in range(0, len(t), STRETCH):
+            total += self.log_p[:, t[at : at + STRETCH]].sum(axis=1, dtype=float)
+        return (total - total.max()) / len(t) * min(len(t), self.most)
 
 
-def fit_texts(rows: list[tuple[str, str]]) -> TextModel:
-    """From (language, text): smoothed trigram shares."""
-    languages = tuple(sorted({lang for lang, _ in rows}))
-    counts = np.full((len(languages), BUCKETS), 0.1)
+def counted(rows: Iterable[tuple[str, str]]) -> dict[str, np.ndarray]:
+    """How often each bucket occurs in the texts of a language, from (language, text)."""
+    counts: dict[str, np.ndarray] = {}
     for lang, text in rows:
-        counts[languages.index(lang)] += np.bincount(trigrams(text), minlength=BUCKETS)
-    return TextModel(languages, np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32))
+        if lang not in counts:
+            counts[lang] = np.zeros(BUCKETS, np.int64)
+        counts[lang] += np.bincount(trigrams(text), minlength=BUCKETS)
+    return counts
+
+
+def model_of(counts: dict[str, np.ndarray]) -> TextModel:
+    """Smoothed shares of the buckets, languages in order."""
+    languages = tuple(sorted(counts))
+    shares = np.array([counts[x] + 0.1 for x in languages]).reshape(len(languages), BUCKETS)
+    return TextModel(languages, np.log(shares / shares.sum(axis=1, keepdims=True)).astype(np.float32))
+
+
+def fit_texts(rows: list[tuple[str, str]]) -> TextModel:
+    return model_of(counted(rows))
 
 
 def fitted(documents: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", bound: int = MAX_TEXTS) -> TextModel:
     known = documents.where(F.col(lang).isNotNull() & F.col(id).isNotNull()).groupBy(id).agg(F.min(lang).alias("_lang"))
-    rows = bounded_rows(documents.select(id, F.col(text).cast("string").alias("_text")), known, id, bound).select(id, "_lang", "_text").toPandas()
-    rows = rows.fillna({"_text": ""}).sort_values([id, "_text"], kind="stable")
-    return fit_texts(list(zip(rows["_lang"], rows["_text"])))
+    rows = bounded_rows(documents.select(id, F.col(text).cast("string").alias("_text")), known, id, bound).select("_lang", "_text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lang, n in counted(zip(batch.column(0).to_pylist(), (t or "" for t in batch.column(1).to_pylist()))).items():
+                at = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(n[at])], names=["lang", "at", "n"])
+        released()
+
+    # executors count; what comes to the driver is a number for each language and bucket
+    found = rows.mapInArrow(run, "lang string, at long, n long").groupBy("lang", "at").agg(F.sum("n").alias("n")).groupBy("lang")
+    counts = {}
+    for r in found.agg(F.collect_list("at").alias("at"), F.collect_list("n").alias("n")).collect():
+        counts[r["lang"]] = np.zeros(BUCKETS, np.int64)
+        counts[r["lang"]][r["at"]] = r["n"]
+    return model_of(counts)
 
 
 def parts_of(url: str) -> tuple[str, str, str, str]:
@@ -125,6 +175,7 @@ def evidence(pages: DataFrame, model: TextModel, id: str = "page_id", url: str =
             text = [sent.value.log_likelihood(visible(h or "")).astype(float).tolist() for h in htmls]
             columns = list(zip(*addresses)) or [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *[pa.array(c, pa.string()) for c in columns], pa.array(markup, pa.string()), pa.array(text, pa.list_(pa.float64()))], names=names)
+        released()
 
     rows = pages.select(F.col(id).cast("long").alias(id), F.col(url).cast("string").alias("u"), F.col(html).cast("string").alias("h"))
     return rows.mapInArrow(run, f"{id} long, host string, domain string, suffix string, segment string, markup string, text array<double>")
@@ -165,7 +216,7 @@ def identified(pages: DataFrame, model: TextModel, id: str = "page_id", url: str
     base = rows.withColumn("post", _softmax(F.col("text")))
     add = lambda *names: F.transform(F.arrays_zip(*names), lambda x: sum((x[c] for c in names[1:]), x[names[0]]))
     for column in ("markup", "suffix", "segment"):
-        t = _trust(base, column, n)
+        t = written(_trust(base, column, n))
         if t.limit(SMALL + 1).count() <= SMALL:
             t = F.broadcast(t)
         base = base.join(t, F.col(column) == F.col(f"_{column}"), "left").drop(f"_{column}")
@@ -179,7 +230,8 @@ def identified(pages: DataFrame, model: TextModel, id: str = "page_id", url: str
     tree = hosts.select("host", F.col("domain").alias("d"), F.col("suffix").alias("s"), _array(n).alias("host_n"))
     tree = tree.join(domains.select(F.col("domain").alias("d"), _array(n).alias("domain_n")), "d")
     tree = tree.join(suffixes.select(F.col("suffix").alias("s"), _array(n).alias("suffix_n")), "s").crossJoin(F.broadcast(whole))
-    tree = tree.select(F.col("host").alias("h"), "host_n", "domain_n", "suffix_n", "all_n")
+    # written, so that pages are joined between plain exchanges, of which a frequent host's part can be split
+    tree = written(tree.select(F.col("host").alias("h"), "host_n", "domain_n", "suffix_n", "all_n"))
     found = said.join(tree, F.col("host") == F.col("h"))
 
     def shrunk(counts: str, above: Column) -> Column:
