@@ -79,7 +79,8 @@ def keyed_blocking(s1: DataFrame, index: KeyIndex, config: BlockingConfig = Bloc
     texts = lambda rows, id, mark: rows.select(F.col("entity_id").alias(id), F.col("name_norm").alias(f"name_{mark}"), F.col("address_norm").alias(f"address_{mark}"))
     targets = texts(index.targets, "candidate_entity_id", "c").join(index.targets.select(F.col("entity_id").alias("candidate_entity_id"), "target_source"), "candidate_entity_id")
     rows = found.join(texts(s1, "s1", "s"), "s1").join(targets, "candidate_entity_id")
-    rows = rows.withColumn("score", score(F.col("name_s"), F.col("name_c"), F.col("address_s"), F.col("address_c")))
+    # to 9 digits, so that ties don't hang on the last bit
+    rows = rows.withColumn("score", F.round(score(F.col("name_s"), F.col("name_c"), F.col("address_s"), F.col("address_c")), 9))
     best = Window.partitionBy("s1").orderBy(F.col("score").desc(), "first_bucket", *target_order())
     rows = rows.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= config.top_k)
     return rows.select(F.col("s1").alias("source1_entity_id"), "candidate_entity_id", F.col("score").alias(f"{blocker}_score"), F.col("rank").alias(f"{blocker}_rank"), F.lit(blocker).alias("blocker"))
@@ -138,8 +139,8 @@ def tfidf_blocking(s1: DataFrame, targets: DataFrame, column: str, top_k: int, b
 
     a = weighed(grams(s1)).select("country_norm", "gram", F.col("entity_id").alias("source1_entity_id"), F.col("w").alias("x"))
     b = weighed(t).select("country_norm", "gram", F.col("entity_id").alias("candidate_entity_id"), F.col("w").alias("y"))
-    pairs = a.join(b, ["country_norm", "gram"]).groupBy("source1_entity_id", "candidate_entity_id").agg(F.sum(F.col("x") * F.col("y")).alias("score"))
-    return _ranked(pairs, targets, F.round("score", 9).desc(), top_k, blocker)
+    pairs = a.join(b, ["country_norm", "gram"]).groupBy("source1_entity_id", "candidate_entity_id").agg(F.round(F.sum(F.col("x") * F.col("y")), 9).alias("score"))
+    return _ranked(pairs, targets, F.col("score").desc(), top_k, blocker)
 
 
 def _ranked(pairs: DataFrame, targets: DataFrame, by: Column, top_k: int, blocker: str, descending_ties: bool = False) -> DataFrame:

@@ -327,25 +327,54 @@ def f04_trigrams(spark, sf):
     return both_texts(spark, sf).select(*PAIR, S.jaccard(S.char_ngrams(F.col("s_name_norm")), S.char_ngrams(F.col("c_name_norm"))).alias("trigram_jaccard"))
 
 
-@query()
-def f05_sequence_ratio(spark, sf):
-    return both_texts(spark, sf).select(*PAIR, S.sequence_matcher_ratio(F.col("s_name_norm"), F.col("c_name_norm")).alias("ratio"))
+_AT = lambda x, i: f"substr({x}, {i}, 1)"
+
+
+def _lcs_sql(a: str, b: str) -> str:
+    """Length of the longest common subsequence of texts of up to 126 characters, a bit of the row for each place of ``a``."""
+    places = f"list_transform(range(1, length({b}) + 1), lambda j: list_sum(list_transform(range(1, length({a}) + 1), lambda i: CASE WHEN {_AT(a, 'i')} = {_AT(b, 'j')} THEN 1::HUGEINT << (i - 1)::INT ELSE 0::HUGEINT END)))"
+    full = f"((1::HUGEINT << length({a})::INT) - 1)"
+    row = f"list_reduce({places}, lambda w, m: ((w + (w & m)) | (w - (w & m))) & {full}, {full})"
+    return f"CASE WHEN length({a}) = 0 OR length({b}) = 0 THEN 0 ELSE length({a}) - bit_count({row}) END"
+
+
+def _indel_sql(a: str, b: str) -> str:
+    return f"CASE WHEN length({a}) + length({b}) = 0 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * ({_lcs_sql(a, b)}) / (length({a}) + length({b})) END"
 
 
 _SORTED = lambda c: f"array_to_string(list_sort({LST(c)}), ' ')"
 
 
+def _token_sort_sql(a: str, b: str) -> str:
+    return f"(SELECT {_indel_sql('u', 'v')} FROM (SELECT coalesce({_SORTED(a)}, '') AS u, coalesce({_SORTED(b)}, '') AS v))"
+
+
+def _token_set_sql(a: str, b: str) -> str:
+    """Of the shared tokens against a side, the shared tokens are all that is common."""
+    words = lambda x: f"coalesce(array_to_string(list_sort({x}), ' '), '')"
+    return f"""(SELECT CASE WHEN len(x) = 0 OR len(y) = 0 THEN 0.0::DOUBLE WHEN t <> '' AND (p = '' OR q = '') THEN 1.0::DOUBLE
+        ELSE greatest({_indel_sql('u', 'v')}, CASE WHEN t = '' THEN 0.0::DOUBLE ELSE greatest(2.0::DOUBLE * length(t) / (length(t) + length(u)), 2.0::DOUBLE * length(t) / (length(t) + length(v))) END) END
+        FROM (SELECT *, trim(t || ' ' || p) AS u, trim(t || ' ' || q) AS v FROM (
+            SELECT x, y, {words('list_intersect(x, y)')} AS t, {words('list_filter(x, lambda e: NOT list_contains(y, e))')} AS p, {words('list_filter(y, lambda e: NOT list_contains(x, e))')} AS q
+            FROM (SELECT {SET(a)} AS x, {SET(b)} AS y))))"""
+
+
 @query()
+def f05_sequence_ratio(spark, sf):
+    return both_texts(spark, sf).select(*PAIR, S.sequence_matcher_ratio(F.col("s_name_norm"), F.col("c_name_norm")).alias("ratio"))
+
+
+@query(f"SELECT {PAIR_SQL}, {_token_sort_sql('sn', 'cn')} AS ratio FROM pairs", FP)
 def f06_token_sort_ratio(spark, sf):
     return both_texts(spark, sf).select(*PAIR, S.token_sort_ratio(F.col("s_name_norm"), F.col("c_name_norm")).alias("ratio"))
 
 
-@query()
+@query(f"SELECT {PAIR_SQL}, {_token_set_sql('sn', 'cn')} AS ratio FROM pairs", FP)
 def f07_token_set_ratio(spark, sf):
     return both_texts(spark, sf).select(*PAIR, S.token_set_ratio(F.col("s_name_norm"), F.col("c_name_norm")).alias("ratio"))
 
 
-@query()
+@query(f"SELECT {PAIR_SQL}, {_indel_sql('sn', 'cn')} AS ratio FROM pairs", FP)
 def f08_indel_ratio(spark, sf):
     return both_texts(spark, sf).select(*PAIR, S.indel_ratio(F.col("s_name_norm"), F.col("c_name_norm")).alias("ratio"))
 
@@ -360,9 +389,13 @@ def f10_jaro_winkler(spark, sf):
     return both_texts(spark, sf).select(*PAIR, F.round(S.jaro_winkler_similarity(F.col("s_name_norm"), F.col("c_name_norm")), 9).alias("similarity"))
 
 
-@query()
+_BLOCKING_SCORE = lambda a, b, x, y: f"round(0.7::DOUBLE * {_token_sort_sql(a, b)} + 0.3::DOUBLE * {_token_sort_sql(x, y)}, 9)"
+
+
+@query(f"SELECT {PAIR_SQL}, {_BLOCKING_SCORE('sn', 'cn', 'sa', 'ca')} AS score FROM pairs", FP)
 def f11_blocking_score(spark, sf):
-    return both_texts(spark, sf).select(*PAIR, S.blocking_score(F.col("s_name_norm"), F.col("c_name_norm"), F.col("s_address_norm"), F.col("c_address_norm")).alias("score"))
+    score = S.blocking_score(F.col("s_name_norm"), F.col("c_name_norm"), F.col("s_address_norm"), F.col("c_address_norm"))
+    return both_texts(spark, sf).select(*PAIR, F.round(score, 9).alias("score"))
 
 
 _NO = f"len(list_intersect({_NUM('su')}, {_NUM('cu')})) > 0"
@@ -440,14 +473,51 @@ def b16_posting_sizes(spark, sf):
 # 2.6 candidates
 
 
-def _lev_score(a, b, x, y):
-    return F.round(0.7 * S.levenshtein_similarity(a, b) + 0.3 * S.levenshtein_similarity(x, y), 9)
+def _walk_sql(budget: int) -> str:
+    """The walk through a record's buckets, smallest first, as it is told: one bucket after the other, while fewer than the budget were taken."""
+    sdx = _soundex_sql("token")
+    return f"""
+num_kt AS (SELECT *, generate_subscripts(n, 1) AS i, unnest(n) AS token FROM kt WHERE target_source = 'S1'),
+adr_kt AS (SELECT *, generate_subscripts(a, 1) AS i, unnest(a) AS token FROM kt WHERE target_source = 'S1'),
+nums_kt AS (SELECT *, generate_subscripts(u, 1) AS i, unnest(u) AS num FROM kt WHERE target_source = 'S1'),
+street_kt AS (SELECT *, generate_subscripts(a, 1) AS j, unnest(a) AS street FROM nums_kt),
+placed AS (
+    SELECT entity_id, kind, value, min(ord) AS ord FROM (
+        SELECT entity_id, kind, value, CASE kind WHEN 'name_compact' THEN 1 WHEN 'name_prefix' THEN 2 WHEN 'name_first_token' THEN 3 WHEN 'name_sorted' THEN 4 WHEN 'name_first2' THEN 5 WHEN 'name_city' THEN 9 END * 1000000 AS ord
+        FROM allkeys WHERE kind IN ('name_compact', 'name_prefix', 'name_first_token', 'name_sorted', 'name_first2', 'name_city')
+        UNION ALL SELECT entity_id, 'name_token', token, 6000000 + 2 * i FROM num_kt
+        UNION ALL SELECT entity_id, 'name_soundex', {sdx}, 6000001 + 2 * i FROM num_kt WHERE length(token) >= 4
+        UNION ALL SELECT entity_id, 'addr_token', token, 7000000 + i FROM adr_kt
+        UNION ALL SELECT entity_id, 'addr_num', num, 8000000 + 1000 * i FROM nums_kt
+        UNION ALL SELECT entity_id, 'name_num', n[1] || '_' || num, 8000001 + 1000 * i FROM nums_kt
+        UNION ALL SELECT entity_id, 'addr_num_street', num || '_' || street, 8000002 + 1000 * i + j FROM street_kt
+        UNION ALL SELECT entity_id, 'num_city', num || '_' || a[-1], 10000000 + i FROM nums_kt
+    ) GROUP BY ALL
+),
+psz AS (SELECT country_norm, kind, value, count(*) AS size, list(DISTINCT entity_id) AS ids FROM allkeys WHERE entity_id NOT LIKE 'S1-%' GROUP BY ALL HAVING count(*) <= 5000),
+bk AS (
+    SELECT k.entity_id AS s, ids, row_number() OVER (PARTITION BY k.entity_id ORDER BY size, ord) AS bucket
+    FROM (SELECT DISTINCT entity_id, country_norm, kind, value FROM allkeys WHERE entity_id LIKE 'S1-%') k JOIN placed USING (entity_id, kind, value) JOIN psz USING (country_norm, kind, value)
+),
+walk AS (
+    SELECT DISTINCT s, 0::BIGINT AS bucket, []::VARCHAR[] AS taken, []::VARCHAR[] AS new FROM bk
+    UNION ALL
+    SELECT w.s, b.bucket, list_concat(w.taken, list_filter(b.ids, lambda c: NOT list_contains(w.taken, c))), list_filter(b.ids, lambda c: NOT list_contains(w.taken, c))
+    FROM walk w JOIN bk b ON b.s = w.s AND b.bucket = w.bucket + 1 WHERE len(w.taken) < {budget}
+),
+reached AS (SELECT s, unnest(new) AS c, bucket AS first_bucket FROM walk)"""
 
 
-@query()
+#: The reached pairs, scored and cut at the best 60 of each S1 record.
+KEYED = f"""{_walk_sql(150)},
+kscored AS (SELECT s, c, first_bucket, y.target_source, {_BLOCKING_SCORE('x.name_norm', 'y.name_norm', 'x.address_norm', 'y.address_norm')} AS score FROM reached JOIN norm x ON x.entity_id = s JOIN norm y ON y.entity_id = c),
+keyed AS (SELECT s, c, score, r AS rank FROM (SELECT *, row_number() OVER (PARTITION BY s ORDER BY score DESC, first_bucket, target_source, c) AS r FROM kscored) WHERE r <= 60)"""
+
+
+@query("SELECT s AS source1_entity_id, c AS candidate_entity_id, score AS keyed_score, rank AS keyed_rank, 'keyed' AS blocker FROM keyed", f"RECURSIVE {NORM}, {KEYS}, {KEYED}")
 def j01_keyed_blocking(spark, sf):
     s1, tgt = sides(spark, sf)
-    return blocking.keyed_blocking(s1, blocking.KeyIndex.of(tgt))
+    return blocking.keyed_blocking(s1, blocking.KeyIndex.of(tgt)).withColumn("keyed_rank", F.col("keyed_rank").cast("long"))
 
 
 #: Without a budget that binds, the records that share a key are the candidates.
@@ -472,24 +542,33 @@ def j01_keyed_scores(spark, sf):
     return rows.groupBy(S_ID).agg(F.count("*").alias("n"), F.round(F.max("keyed_score"), 6).alias("best"))
 
 
-@query()
+KEYED_SQL = "SELECT s AS source1_entity_id, c AS candidate_entity_id, score AS keyed_score, rank AS keyed_rank, 'keyed' AS blocker{} FROM keyed"
+
+
+@query(KEYED_SQL.format(", score AS candidate_strength, row_number() OVER (PARTITION BY s ORDER BY score DESC, c) AS candidate_rank") + " QUALIFY candidate_rank <= 80", f"RECURSIVE {NORM}, {KEYS}, {KEYED}")
 def j04_keyed_candidates(spark, sf):
     s1, tgt = sides(spark, sf)
-    return blocking.keyed_candidates(s1, tgt)
+    return blocking.keyed_candidates(s1, tgt).withColumns({c: F.col(c).cast("long") for c in ("keyed_rank", "candidate_rank")})
 
 
 _GR = lambda n: f"list_transform(range(1, greatest(length(w) - {n} + 1, 1) + 1), lambda i: substr(w, i, {n}))"
-TFIDF = f"""
-words AS (SELECT entity_id, country_norm, target_source, ' ' || unnest({LST('lower(name_norm)')}) || ' ' AS w FROM norm),
-grams AS (
-    SELECT entity_id, country_norm, target_source, unnest(list_concat({_GR(3)}, CASE WHEN length(w) >= 4 THEN {_GR(4)} ELSE [] END, CASE WHEN length(w) >= 5 THEN {_GR(5)} ELSE [] END)) AS gram FROM words),
-tf AS (SELECT entity_id, country_norm, target_source, gram, count(*) AS tf FROM grams GROUP BY ALL),
-nd AS (SELECT country_norm, count(*) AS n FROM tgt GROUP BY 1),
-idf AS (SELECT country_norm, gram, ln((any_value(nd.n) + 1.0) / (count(*) + 1.0)) + 1 AS idf FROM tf JOIN nd USING (country_norm) WHERE target_source <> 'S1' GROUP BY 1, 2 HAVING count(*) >= 2),
-w0 AS (SELECT entity_id, target_source, country_norm, gram, tf * idf AS w FROM tf JOIN idf USING (country_norm, gram)),
-w1 AS (SELECT *, w / sqrt(sum(w * w) OVER (PARTITION BY entity_id)) AS x FROM w0),
-cosine AS (SELECT a.entity_id AS s, b.entity_id AS c, sum(a.x * b.x) AS score FROM w1 a JOIN w1 b USING (country_norm, gram) WHERE a.target_source = 'S1' AND b.target_source <> 'S1' GROUP BY 1, 2),
-top AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY round(score, 9) DESC, split_part(c, '-', 1), c) AS r FROM cosine)"""
+def _tfidf_sql(column: str, k: int = 35, mark: str = "") -> str:
+    """The best ``k`` by cosine as ``top{mark}`` (s, c, score, r)."""
+    m = mark
+    return f"""
+words{m} AS (SELECT entity_id, country_norm, target_source, ' ' || unnest({LST(f'lower({column})')}) || ' ' AS w FROM norm),
+grams{m} AS (
+    SELECT entity_id, country_norm, target_source, unnest(list_concat({_GR(3)}, CASE WHEN length(w) >= 4 THEN {_GR(4)} ELSE [] END, CASE WHEN length(w) >= 5 THEN {_GR(5)} ELSE [] END)) AS gram FROM words{m}),
+tf{m} AS (SELECT entity_id, country_norm, target_source, gram, count(*) AS tf FROM grams{m} GROUP BY ALL),
+nd{m} AS (SELECT country_norm, count(*) AS n FROM tgt GROUP BY 1),
+idf{m} AS (SELECT country_norm, gram, ln((any_value(nd{m}.n) + 1.0) / (count(*) + 1.0)) + 1 AS idf FROM tf{m} JOIN nd{m} USING (country_norm) WHERE target_source <> 'S1' GROUP BY 1, 2 HAVING count(*) >= 2),
+w0{m} AS (SELECT entity_id, target_source, country_norm, gram, tf * idf AS w FROM tf{m} JOIN idf{m} USING (country_norm, gram)),
+w1{m} AS (SELECT *, w / sqrt(sum(w * w) OVER (PARTITION BY entity_id)) AS x FROM w0{m}),
+cosine{m} AS (SELECT a.entity_id AS s, b.entity_id AS c, round(sum(a.x * b.x), 9) AS score FROM w1{m} a JOIN w1{m} b USING (country_norm, gram) WHERE a.target_source = 'S1' AND b.target_source <> 'S1' GROUP BY 1, 2),
+top{m} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY s ORDER BY score DESC, split_part(c, '-', 1), c) AS r FROM cosine{m}) WHERE r <= {k})"""
+
+
+TFIDF = _tfidf_sql("name_norm")
 
 
 @query("SELECT s AS source1_entity_id, c AS candidate_entity_id, round(score, 6) AS score, r AS rank FROM top WHERE r <= 35", f"{NORM}, {TFIDF}")
@@ -515,10 +594,19 @@ def j06_token_blocking(spark, sf):
     return rows.select(*PAIR, F.col("token_score").alias("score"), F.col("token_rank").cast("long").alias("rank"))
 
 
-@query()
+_BLOCKERS = (("name_tfidf", "top_n"), ("address_tfidf", "top_a"), ("combined_tfidf", "top_c"), ("token", "best"))
+_IN_UNION = " UNION ALL ".join(f"SELECT s, c, score, r, '{name}' AS blocker FROM {rows}" + (" WHERE r <= 30" if name == "token" else "") for name, rows in _BLOCKERS)
+UNITED = f"""{_tfidf_sql('name_norm', 35, '_n')}, {_tfidf_sql('address_norm', 35, '_a')}, {_tfidf_sql('combined_norm', 45, '_c')}, {TOKENS},
+every AS ({_IN_UNION}),
+united AS (SELECT s, c, {', '.join(f"coalesce(max(score) FILTER (blocker = '{b}'), 0) AS {b}_score, coalesce(min(r) FILTER (blocker = '{b}'), 0) AS {b}_rank" for b, _ in _BLOCKERS)}, string_agg(blocker, '|' ORDER BY blocker) AS blocker, max(score) AS candidate_strength FROM every GROUP BY 1, 2)"""
+
+
+@query(f"SELECT s AS source1_entity_id, c AS candidate_entity_id, {', '.join(f'round({b}_score, 6) AS {b}_score, {b}_rank' for b, _ in _BLOCKERS)}, blocker, round(candidate_strength, 6) AS candidate_strength, row_number() OVER (PARTITION BY s ORDER BY candidate_strength DESC, c) AS candidate_rank FROM united QUALIFY candidate_rank <= 80", f"{NORM}, {UNITED}")
 def j07_blocker_union(spark, sf):
     s1, tgt = sides(spark, sf)
-    return blocking.union_candidates(s1, tgt)
+    rows = blocking.union_candidates(s1, tgt)
+    rows = rows.withColumns({c: F.round(c, 6) for c in rows.columns if c.endswith(("_score", "_strength"))})
+    return rows.withColumns({c: F.col(c).cast("long") for c in rows.columns if c.endswith("_rank")})
 
 
 EXACT = """
@@ -990,20 +1078,22 @@ def f03_overlap_coefficient(spark, sf):
     return both_texts(spark, sf).select(*PAIR, S.overlap_coefficient(X.token_set(F.col("s_name_norm")), X.token_set(F.col("c_name_norm"))).alias("coefficient"))
 
 
-@query()
+@query(KEYED_SQL.format(""), f"RECURSIVE {NORM}, {KEYS}, {KEYED}")
 def j02_index_reuse(spark, sf):
     """One index, two sets of S1 records."""
     s1, tgt = sides(spark, sf)
     index = blocking.KeyIndex.of(tgt).persisted()
     odd = F.col("country_norm") == "en"
-    return blocking.keyed_blocking(s1.where(odd), index).unionByName(blocking.keyed_blocking(s1.where(~odd), index))
+    rows = blocking.keyed_blocking(s1.where(odd), index).unionByName(blocking.keyed_blocking(s1.where(~odd), index))
+    return rows.withColumn("keyed_rank", F.col("keyed_rank").cast("long"))
 
 
-@query()
+@query("SELECT s AS source1_entity_id, c AS candidate_entity_id, first_bucket FROM reached", f"RECURSIVE {NORM}, {KEYS}, {_walk_sql(10)}")
 def w06_running_budget(spark, sf):
     s1, tgt = sides(spark, sf)
     index = blocking.KeyIndex.of(tgt)
-    return blocking.within_budget(keys.keys(s1, index.frequency), index, 10).select(F.col("s1").alias(S_ID), C_ID, "first_bucket")
+    found = blocking.within_budget(keys.keys(s1, index.frequency), index, 10)
+    return found.select(F.col("s1").alias(S_ID), C_ID, F.col("first_bucket").cast("long").alias("first_bucket"))
 
 
 @query(f"SELECT country_norm, token, count(*) AS n FROM (SELECT country_norm, unnest({SET('name_norm')}) AS token FROM s1) GROUP BY 1, 2", NORM)
@@ -1057,12 +1147,21 @@ def m11_feature_cache(spark, sf):
     return tables.read_parts(spark, folder)
 
 
-@query()
+_COUNTS = """
+kept_c AS (SELECT s, c FROM (SELECT s, c, row_number() OVER (PARTITION BY s ORDER BY score DESC, c) AS k FROM keyed) WHERE k <= 80),
+cc AS (SELECT a.entity_id AS s, (SELECT count(*) FROM kept_c k WHERE k.s = a.entity_id) AS np, (SELECT count(*) FROM truth t WHERE t.s = a.entity_id) AS nt,
+    (SELECT count(*) FROM kept_c k JOIN truth t USING (s, c) WHERE k.s = a.entity_id) AS tp FROM s1 a)"""
+
+
+@query(f"""SELECT round(sum(tp)::DOUBLE / sum(nt), 9) AS pair_recall, round(count(*) FILTER (nt > 0 AND tp = nt)::DOUBLE / count(*) FILTER (nt > 0), 9) AS full_entity_recall,
+    round(avg(np), 9) AS avg_candidates, round(avg({_F('tp', 'tp', 'nt')}), 9) AS oracle_score, count(*) FILTER (nt > 0 AND np = 0) AS zero_candidates, count(*) FILTER (nt > 0 AND np > 0 AND tp = 0) AS zero_overlap,
+    count(*) FILTER (nt > 0 AND tp > 0 AND tp < nt) AS partial, count(*) FILTER (nt > 0 AND tp = nt) AS "full" FROM cc""", f"RECURSIVE {NORM}, {KEYS}, {KEYED}, {_COUNTS}")
 def m12_recall_measurement(spark, sf):
     s1, tgt = sides(spark, sf)
-    found = blocking.keyed_candidates(s1, tgt).persist()
+    found = blocking.keyed_candidates(s1, tgt).select(*PAIR).persist()
     ids, truth = s1.withColumnRenamed("entity_id", S_ID), truth_of(s1, tgt)
-    return metrics.blocking_audit(ids, found, truth).crossJoin(metrics.miss_breakdown(ids, found, truth))
+    audit = metrics.blocking_audit(ids, found, truth)
+    return audit.select(*[F.round(c, 9).alias(c) for c in audit.columns]).crossJoin(metrics.miss_breakdown(ids, found, truth))
 
 
 def queries():
