@@ -27,7 +27,7 @@ A pair that shares several buckets is made in one of them.
 
 Copies of a word sequence collapse into their smallest id before that.
 
-Defined cases: null texts are empty; texts without a word are copies of each other.
+Defined cases: ids are integers; null texts are empty; texts without a word are copies of each other.
 Rows that share an id are one document.  Rows with a null id have a class of their
 own (null) and are kept.  An empty table gives an empty table; other columns are ignored.
 """
@@ -43,11 +43,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import field, released, unpacked, whole_row, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 6
+#: Characters of texts that are worked on at once (one text at least), and bytes of words that a worker keeps.
+PART_CHARS = 500_000
+STORE_BYTES = 16 << 20
 #: Each round takes so many times the pivots of the round before.
 STEP = 4
 
@@ -62,12 +65,20 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class Words(dict):
-    """The hash of each word; starts anew when it has grown."""
+    """The hash of each word; starts anew when it holds about ``most`` bytes."""
+
+    def __init__(self, most: int = STORE_BYTES) -> None:
+        super().__init__()
+        self.most, self.held = most, 0
 
     def __missing__(self, word: bytes) -> int:
         h = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        if len(self) < 500_000:
-            self[word] = h
+        if self.held > self.most:
+            self.clear()
+            self.held = 0
+        # the word, its hash and their place
+        self.held += len(word) + 150
+        self[word] = h
         return h
 
 
@@ -84,19 +95,21 @@ def shingles(words: list[bytes], store: Words, size: int = SHINGLE) -> np.ndarra
 
 
 def signatures(elements: list[np.ndarray], weights: list[np.ndarray] | None = None, k: int = BANDS * ROWS) -> np.ndarray:
-    """The DartMinHash signatures (documents x k, 64 bits) of sets without repeats; empty sets give zeros."""
+    """The DartMinHash signatures (documents x k, 64 bits) of weighted sets without repeats; empty sets give zeros.
+
+    An element of weight w (1 where none are given) has the region from 0 to w, cut into layers of height 1
+    (the top one lower).
+    """
+    weights = [np.ones(len(e)) for e in elements] if weights is None else weights
     sizes = np.array([len(e) for e in elements], np.int64)
     e = np.concatenate(elements) if len(elements) else np.empty(0, _U)
+    w = np.concatenate(weights).astype(float) if len(weights) else np.empty(0)
     doc = np.repeat(np.arange(len(elements)), sizes)
-    total = sizes.astype(float)
-    top = np.ones(len(e))
-    if weights is not None:
-        w = np.concatenate(weights).astype(float)
-        total = np.bincount(doc, w, len(elements))
-        layers = np.ceil(w).astype(np.int64)
-        layer = np.arange(layers.sum()) - np.repeat(np.cumsum(layers) - layers, layers)
-        top = np.minimum(1.0, np.repeat(w, layers) - layer)
-        e, doc = mix(np.repeat(e, layers) + layer.astype(_U) * _U(0xD1342543DE82EF95)), np.repeat(doc, layers)
+    total = np.bincount(doc, w, len(elements)) if len(e) else np.zeros(len(elements))
+    layers = np.ceil(w).astype(np.int64)
+    layer = np.arange(layers.sum()) - np.repeat(np.cumsum(layers) - layers, layers)
+    top = np.minimum(1.0, np.repeat(w, layers) - layer)
+    e, doc = mix(np.repeat(e, layers) + layer.astype(_U) * _U(0xD1342543DE82EF95)), np.repeat(doc, layers)
     signature, first = np.zeros(len(elements) * k, _U), np.full(len(elements) * k, np.inf)
     below = (k * (math.log(k) + 2)) / np.maximum(total, 1e-300)
     todo = total > 0
@@ -144,7 +157,7 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both)
 
 
-def _parts(ids: list, texts: list, most: int = 3_000_000) -> Iterator[tuple[list, list]]:
+def _parts(ids: list, texts: list, most: int = PART_CHARS) -> Iterator[tuple[list, list]]:
     start = held = 0
     for k, t in enumerate(texts):
         if k > start and held + len(t or "") > most:
@@ -165,9 +178,14 @@ def signed(df: DataFrame, id: str = "doc_id", text: str = "text", weighting: str
                 words = [(t or "").encode().split() for t in texts]
                 keys = [hashlib.sha256(b" ".join(w)).digest()[:16] for w in words]
                 found = [np.unique(shingles(w, store), return_counts=True) for w in words]
-                counts = [c for _, c in found] if weighting == "count" else None
-                made = band_keys(signatures([e for e, _ in found], counts, bands * rows), bands, rows)
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.binary()), pa.array([list(m) if w else None for m, w in zip(made, words)], pa.list_(pa.int64()))], names=["id", "key", "bands"])
+                some = np.array([len(w) > 0 for w in words], bool)
+                # the elements of a set weigh 1, those of a multiset their count
+                weights = [c if weighting == "count" else np.ones(len(c)) for _, c in found]
+                made = band_keys(signatures([e for e, _ in found], weights, bands * rows), bands, rows)
+                ends = np.concatenate([[0], np.cumsum(some) * bands]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends, mask=np.append(~some, False)), pa.array(made[some].reshape(-1)))
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.binary()), lists], names=["id", "key", "bands"])
+        released()
 
     rows_in = df.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     return rows_in.mapInArrow(run, "id long, key binary, bands array<long>")
@@ -183,6 +201,7 @@ def shingle_sets(df: DataFrame) -> DataFrame:
                 whole = [np.unique(shingles((t or "").encode().split(), store)) for t in texts]
                 sets = [np.unique((h >> _U(32)).astype(np.uint32)).tobytes() for h in whole]
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary()), pa.array([len(h) for h in whole], pa.int64())], names=["id", "set", "n"])
+        released()
 
     return df.mapInArrow(run, "id long, set binary, n long")
 
@@ -207,6 +226,7 @@ def rare_shingles(df: DataFrame) -> DataFrame:
                     ends = np.r_[starts[1:], len(h)]
                     columns = [h[starts].view(np.int64), ends - starts, owner[starts], owner[ends - 1], np.bitwise_xor.reduceat(owner, starts)]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h", "rows", "lo", "hi", "odd"])
+        released()
 
     met = df.mapInArrow(run, "h long, rows long, lo long, hi long, odd long").groupBy("h")
     met = met.agg(F.sum("rows").alias("rows"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.bit_xor("odd").alias("odd")).where("rows <= 3")
@@ -223,6 +243,7 @@ def verified(pairs: DataFrame, sets: DataFrame, least: float = SIMILARITY) -> Da
             # a set that is shorter by more than the similarity allows needs no comparison
             on = [k for k in range(len(a)) if min(len(x[k]), len(y[k])) >= (least - 1e-9) * max(len(x[k]), len(y[k])) and similarity(np.frombuffer(x[k], np.uint32), np.frombuffer(y[k], np.uint32)) >= least - 1e-12]
             yield pa.RecordBatch.from_arrays([pa.array([a[k] for k in on], pa.int64()), pa.array([b[k] for k in on], pa.int64())], names=["a", "b"])
+        released()
 
     # sorted merges at every size, so that what moves grows in proportion
     side = lambda id, c: sets.select(F.col("id").alias(id), F.col("set").alias(c)).hint("merge")
@@ -285,7 +306,8 @@ def _joined(classes: DataFrame, links: DataFrame) -> DataFrame:
 def near_groups(df: DataFrame, id: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
     """One row per row of ``df``: ``id``, ``class_id`` (the smallest id of its class), ``kept`` (whether it is that one)."""
     rows = written(signed(df, id, text))
-    first = rows.groupBy("key").agg(F.min("id").alias("rep"))
+    # written, so that joins on the key are between plain exchanges, of which a frequent key's part can be split
+    first = written(rows.groupBy("key").agg(F.min("id").alias("rep")))
     reps = rows.where("bands is not null and id is not null").join(first.withColumnRenamed("key", "k"), (F.col("key") == F.col("k")) & (F.col("id") == F.col("rep")))
     members = written(reps.select("rep", F.explode("bands").alias("bucket")))
     buckets = members.groupBy("bucket").agg(F.min("rep").alias("pivot"), F.max("rep").alias("last")).where("pivot < last").select("bucket", "pivot")
@@ -364,6 +386,7 @@ def _unsettled(members: DataFrame, classes: DataFrame, least: float | None = Non
 
 def drop_near_copies(df: DataFrame, id: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
     """The rows of ``df`` that stay: one document of each class, with its columns; rows with a null id stay."""
-    kept = near_groups(df, id, text, least).where("kept").select(F.col(id).alias("_id")).where("_id is not null").distinct()
-    found = df.where(F.col(id).isNotNull()).join(kept, F.col(id) == F.col("_id"), "left_semi")
-    return found.unionByName(df.where(F.col(id).isNull()))
+    kept = near_groups(df, id, text, least).where("kept").select(F.col(id).alias("stays")).where("stays is not null").distinct()
+    rows = df.select(whole_row(df))
+    found = rows.where(field(id).isNotNull()).join(kept, field(id) == F.col("stays"), "left_semi")
+    return unpacked(found.unionByName(rows.where(field(id).isNull())))
