@@ -13,7 +13,8 @@ by sorting the sources by size / weight.
 
 Defined cases: a null text has no tokens, a null source is a source of its own (last in
 order).  Ties of the key are broken by the id, then by size; rows equal in all three are
-interchangeable.  Reruns agree: keys depend on the id and a seed alone.  An empty table
+interchangeable.  Reruns agree: keys depend on a seed and the id, or where that is null the
+rest of the row.  An empty table
 gives an empty table; input columns named like outputs are replaced.
 """
 
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD
+from .common import WORD, field, unpacked, whole_row, written
 
 #: Ranges of a source: two levels, STRIPES times a power of two that follows its rows.
 STRIPES = 512
@@ -54,38 +55,44 @@ def targets(sizes: DataFrame, weights: tuple[float, ...], share: float, most: fl
     return s.select("source", "source_size", "n_rows", F.coalesce(F.least("most", F.col("level") * F.col("weight")), F.col("most")).alias("target"))
 
 
-def mix(df: DataFrame, size: Column, id: str = "doc_id", source: str = "source", weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: int = 17, whole: bool = False) -> DataFrame:
+def mix(df: DataFrame, size: Column, id: str = "doc_id", source: str = "source", weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: int = 17, whole: bool = False, without_id: Column | None = None) -> DataFrame:
     """Add ``size``, ``source_size``, ``target`` (its source's) and ``taken`` (tokens the mix takes of the row, repeats counted).
 
     With ``whole``, a row at the cut is taken whole if at least half of it is inside, else not, so that
-    ``taken`` is a multiple of ``size``.
+    ``taken`` is a multiple of ``size``.  ``without_id`` stands for a null id in the key (by default the hash of
+    all columns), so that rows without an id spread over the ranges.
     """
-    df = df.drop(*OUT).withColumn("size", size)
-    keep = df.columns
-    sizes = df.groupBy(F.col(source).alias("source")).agg(F.sum("size").alias("source_size"), F.count("*").alias("n_rows"))
+    without_id = F.xxhash64(*df.columns) if without_id is None else without_id
+    # 40 bits of a digest of seed and id
+    named = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id).cast("string"), without_id.cast("string"), F.lit("")))
+    key = F.conv(F.substring(F.md5(named), 1, 10), 16, 10).cast("long")
+    rows = df.select(whole_row(df), F.col(source).alias("s"), size.cast("long").alias("size"), key.alias("key"))
+    # what all sums are made of: a few numbers a row, so that texts are read once for them
+    narrow = written(rows.select("s", "size", "key"))
+    sizes = narrow.groupBy(F.col("s").alias("source")).agg(F.sum("size").alias("source_size"), F.count("*").alias("n_rows"))
     plan = targets(sizes, weights, share, most)
     level = F.greatest(F.lit(0.0), F.ceil(F.log2(F.col("n_rows") / F.lit(STRIPES * ROWS_PER_RANGE))))
-    plan = plan.select(F.col("source").alias("_s"), "source_size", "target", F.pow(F.lit(2.0), level).cast("long").alias("_fine"))
-    # 40 bits of a digest of seed and id
-    key = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id).cast("string"), F.lit("")))), 1, 10), 16, 10).cast("long")
-    rows = df.withColumn("_key", key).join(plan, F.col(source).eqNullSafe(F.col("_s")))
-    stripe = F.floor(F.col("_key") / F.lit((1 << 40) // STRIPES))
-    fine = F.floor(F.pmod(F.col("_key"), F.lit((1 << 40) // STRIPES)) * F.col("_fine") / F.lit((1 << 40) // STRIPES))
-    rows = rows.withColumn("_stripe", stripe).withColumn("_range", fine)
-    sums = rows.groupBy("_s", "_stripe", "_range").agg(F.sum("size").alias("_n"))
-    stripes = sums.groupBy("_s", "_stripe").agg(F.sum("_n").alias("_n"))
+    plan = written(plan.select(F.col("source").alias("p"), "source_size", "target", F.pow(F.lit(2.0), level).cast("long").alias("fine")))
+    width = F.lit((1 << 40) // STRIPES)
+
+    def placed(x: DataFrame) -> DataFrame:
+        x = x.join(plan, F.col("s").eqNullSafe(F.col("p")))
+        return x.withColumn("stripe", F.floor(F.col("key") / width)).withColumn("range", F.floor(F.pmod("key", width) * F.col("fine") / width))
+
+    sums = placed(narrow).groupBy("s", "stripe", "range").agg(F.sum("size").alias("n"))
+    stripes = sums.groupBy("s", "stripe").agg(F.sum("n").alias("n"))
     earlier = lambda *k: Window.partitionBy(*k[:-1]).orderBy(k[-1]).rowsBetween(Window.unboundedPreceding, -1)
-    before = lambda w: F.coalesce(F.sum("_n").over(w), F.lit(0))
-    stripes = stripes.select(F.col("_s").alias("_s1"), F.col("_stripe").alias("_t1"), before(earlier("_s", "_stripe")).alias("_a"))
-    ranges = sums.withColumn("_b", before(earlier("_s", "_stripe", "_range"))).join(stripes, F.col("_s").eqNullSafe(F.col("_s1")) & (F.col("_stripe") == F.col("_t1")))
-    ranges = ranges.select(F.col("_s").alias("_s2"), F.col("_stripe").alias("_t2"), F.col("_range").alias("_r2"), (F.col("_a") + F.col("_b")).alias("_offset"))
-    inside = Window.partitionBy("_s", "_stripe", "_range").orderBy("_key", id, "size").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("_here", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    rows = rows.join(ranges, F.col("_s").eqNullSafe(F.col("_s2")) & (F.col("_stripe") == F.col("_t2")) & (F.col("_range") == F.col("_r2")))
+    before = lambda w: F.coalesce(F.sum("n").over(w), F.lit(0))
+    stripes = stripes.select(F.col("s").alias("s1"), F.col("stripe").alias("t1"), before(earlier("s", "stripe")).alias("a"))
+    ranges = sums.withColumn("b", before(earlier("s", "stripe", "range"))).join(stripes, F.col("s").eqNullSafe(F.col("s1")) & (F.col("stripe") == F.col("t1")))
+    ranges = ranges.select(F.col("s").alias("s2"), F.col("stripe").alias("t2"), F.col("range").alias("r2"), (F.col("a") + F.col("b")).alias("offset"))
+    inside = Window.partitionBy("s", "stripe", "range").orderBy("key", field(id), "size").rowsBetween(Window.unboundedPreceding, -1)
+    rows = placed(rows).withColumn("here", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    rows = rows.join(ranges, F.col("s").eqNullSafe(F.col("s2")) & (F.col("stripe") == F.col("t2")) & (F.col("range") == F.col("r2")))
     budget = F.round("target").cast("long")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0))
-    rest = budget - epochs * F.col("source_size") - (F.col("_offset") + F.col("_here"))
+    rest = budget - epochs * F.col("source_size") - (F.col("offset") + F.col("here"))
     part = F.greatest(F.lit(0), F.least(F.col("size"), rest))
     if whole:
         part = F.when(part * 2 >= F.col("size"), F.col("size")).otherwise(F.lit(0))
-    return rows.select(*keep, "source_size", "target", (epochs * F.col("size") + part).cast("long").alias("taken"))
+    return unpacked(rows.withColumn("taken", (epochs * F.col("size") + part).cast("long")), *OUT)
