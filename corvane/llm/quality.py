@@ -36,7 +36,7 @@ BUCKETS = 1 << 17
 DIMENSIONS = 8
 GRAMS = (3, 4)
 #: Texts that the model is trained on at most, chosen by a hash of their id.
-MAX_TEXTS = 3_000
+MAX_TEXTS = 4_000
 EPOCHS = 6
 RATE = 0.2
 #: Buckets set apart for how words and lines repeat.
@@ -208,19 +208,33 @@ class Scorer(Features):
         return float(1 / (1 + np.exp(-np.clip(self.model.bias + total / max(n, 1.0), -30, 30))))
 
 
+def packed_counts(buckets: np.ndarray, counts: np.ndarray) -> bytes:
+    """A text's buckets (in order) and counts, compressed: what training needs of it."""
+    return zlib.compress(np.diff(buckets, prepend=0).astype("<u4").tobytes() + counts.astype("<f4").tobytes(), 1)
+
+
+def unpacked_counts(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    raw = zlib.decompress(data)
+    half = len(raw) // 2
+    return np.cumsum(np.frombuffer(raw[:half], "<u4").astype(np.int64)), np.frombuffer(raw[half:], "<f4").astype(float)
+
+
 def train(texts: list[str], labels: list[int], seed: int = 3) -> Model:
+    """Train on whole texts."""
+    features = _Training()
+    return train_counts([packed_counts(*features.counted(t)) for t in texts], labels, seed)
+
+
+def train_counts(data: list[bytes], labels: list[int], seed: int = 3) -> Model:
     """Softmax over two labels on averaged vectors, by stochastic gradient descent with a falling rate.
 
-    A label counts by the inverse of its share, capped at 3 to 1.
+    ``data`` are the ``packed_counts`` of each text.  A label counts by the inverse of its share, capped at 3 to 1.
     """
     y = np.array(labels, float)
     share = float(y.mean()) if len(y) else 0.5
     if not 0 < share < 1:
         return Model(np.zeros(BUCKETS, np.float32), float(np.log((share + 1e-3) / (1 - share + 1e-3))))
-    features, rng = _Training(), np.random.default_rng(seed)
-    # whole counts and buckets fit in 32 bits, half the driver's memory
-    data = [(b.astype(np.int32), n.astype(np.float32)) for b, n in map(features.counted, texts)]
-    del features
+    rng = np.random.default_rng(seed)
     vectors = (rng.random((BUCKETS, DIMENSIONS)) - 0.5) / DIMENSIONS
     out = np.zeros((2, DIMENSIONS))
     bias = np.array([0.0, 0.0])
@@ -230,7 +244,7 @@ def train(texts: list[str], labels: list[int], seed: int = 3) -> Model:
         for k in rng.permutation(len(data)):
             rate = RATE * (1 - done / steps)
             done += 1
-            b, n = data[k][0], data[k][1].astype(float)
+            b, n = unpacked_counts(data[k])
             part = n / n.sum() if len(b) else n
             hidden = part @ vectors[b]
             z = out @ hidden + bias
@@ -254,12 +268,22 @@ def held_out(id: str = "doc_id"):
 def fitted(df: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "quality", bound: int = MAX_TEXTS) -> Model:
     """Train on at most ``bound`` labelled texts that aren't held out."""
     known = labels.where(F.col(label).isin(0, 1) & F.col(id).isNotNull() & ~held_out(id)).groupBy(id).agg(F.min(label).alias("_label"))
-    rows = bounded_rows(df.select(id, F.col(text).cast("string").alias("_text")), known, id, bound).select(id, "_label", "_text").toPandas()
-    rows = rows.fillna({"_text": ""}).sort_values([id, "_text"], kind="stable")
-    texts, known = rows["_text"].tolist(), rows["_label"].tolist()
-    del rows
-    model = train(texts, known)
-    del texts
+    rows = bounded_rows(df.select(id, F.col(text).cast("string").alias("_text")), known, id, bound).select(id, "_label", "_text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        features, batch = _Training(), None
+        for batch in batches:
+            made = [packed_counts(*features.counted(t or "")) for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made, pa.binary())], names=[id, "label", "counts"])
+        del features, batch
+        released()
+
+    # executors count; the driver gets counts, at most BUCKETS for a text, however long it is
+    fields = [df.schema[id], T.StructField("label", T.LongType()), T.StructField("counts", T.BinaryType())]
+    found = rows.select(id, F.col("_label").cast("long").alias("_label"), "_text").mapInArrow(run, T.StructType(fields)).collect()
+    found = sorted((r[0], bytes(r[2]), r[1]) for r in found)
+    model = train_counts([x[1] for x in found], [x[2] for x in found])
+    del found
     released()
     return model
 

@@ -87,44 +87,57 @@ SECRET = [
 ]
 
 
-def scanned(spark, rows, ledger=None):
-    made = spark.createDataFrame(rows, "path long, content string").withColumn("blob", F.lit("clash"))
-    return secrets.scan(made, ledger)
+def versions(spark, rows):
+    made = spark.createDataFrame(rows, "path long, content string")
+    return made.withColumn("blob", F.lit("clash")).withColumn("spans", F.lit(1)).withColumn("todo", F.lit(1))
 
 
-def listed(rows):
-    return {(r["path"], i): [f"{s['kind']}:{s['start']}:{s['end']}" for s in r["spans"]] for i, r in enumerate(rows)}
+def listed(row):
+    return [f"{s['kind']}:{s['start']}:{s['end']}" for s in row["spans"]]
 
 
-def test_secrets_equal_plain_regexes(spark):
+def test_secrets_equal_plain_regexes(spark, tmp_path):
     rows = [*enumerate(SECRET), (0, SECRET[0]), (77, SECRET[0]), (None, SECRET[1])]
-    paths, found, _ = scanned(spark, rows)
-    got = secrets.joined_back(paths, found).collect()
+    ledger = secrets.Ledger(spark, f"{tmp_path}/ledger")
+    ledger.scan(versions(spark, rows))
+    got = ledger.joined_back(versions(spark, rows)).collect()
     assert len(got) == len(rows)
     text = dict(rows)
     for r in got:
-        assert [f"{s['kind']}:{s['start']}:{s['end']}" for s in r["spans"]] == brute.secrets(text[r["path"]] or "")
-    paths, found, _ = scanned(spark, [])
-    assert secrets.joined_back(paths, found).count() == 0
-
-
-def test_ledger_skips_what_was_scanned(spark):
-    _, first, ledger = scanned(spark, [(1, SECRET[0]), (2, SECRET[1])])
-    paths, second, new = scanned(spark, [(1, SECRET[0]), (3, SECRET[2])], ledger)
-    old = {r["blob"] for r in first.collect()}
-    assert not old & {r["blob"] for r in second.collect()} and new.count() == len(secrets.RULES)
-    got = secrets.joined_back(paths, first.unionByName(second)).collect()
-    assert all([f"{s['kind']}:{s['start']}:{s['end']}" for s in r["spans"]] == brute.secrets(SECRET[r["path"] - 1]) for r in got)
-    newer = (secrets.Rule("hex", r"[0-9a-f]{16,}", 0, 16, "2"),)
-    rows = spark.createDataFrame([(1, SECRET[1])], "path long, content string")
-    _, again, pairs = secrets.scan(rows, ledger, newer)
-    assert pairs.count() == 1 and {r["kind"] for r in again.collect()} == {"hex"}
-
-
-def test_more_rules_find_keys_and_tokens(spark):
-    text = "-----BEGIN RSA PRIVATE KEY----- eyJhbGciOiJI.eyJzdWIiOiIx.abcdefghij"
-    _, found, _ = scanned(spark, [(1, text)])
-    assert {"pem", "jwt"} <= {r["kind"] for r in found.collect()}
+        assert listed(r) == brute.secrets(text[r["path"]] or "")
+    ledger.scan(versions(spark, []))
+    assert ledger.joined_back(versions(spark, [])).count() == 0
+    # each blob was scanned once, with all rules
+    assert sorted(r["blob"] for r in ledger.rows().collect()) == sorted({brute.sha(t or "") for _, t in rows})
+
+
+def test_ledger_skips_what_was_scanned(spark, tmp_path):
+    ledger = secrets.Ledger(spark, f"{tmp_path}/ledger")
+    ledger.scan(versions(spark, [(1, SECRET[0]), (2, SECRET[1])]))
+    old = {r["blob"] for r in ledger.rows().collect()}
+    again = secrets.Ledger(spark, f"{tmp_path}/ledger")
+    todo = secrets.unseen(secrets.addressed(versions(spark, [(1, SECRET[0]), (3, SECRET[2])])), again.rows().select("blob", "scanned"))
+    assert [(r["content"], len(r["todo"])) for r in todo.collect()] == [(SECRET[2], len(secrets.RULES))] and len(old) == 2
+    again.scan(versions(spark, [(1, SECRET[0]), (3, SECRET[2])]))
+    got = again.joined_back(versions(spark, [(k, SECRET[k - 1]) for k in (1, 2, 3)])).collect()
+    assert all(listed(r) == brute.secrets(SECRET[r["path"] - 1]) for r in got) and again.rows().count() == 3
+    # a new version of one rule is the only thing to scan for, and its findings stand in for the old ones
+    newer = tuple(secrets.Rule("hex", r"[0-9a-f]{17,}", 0, 17, "2") if r.kind == "hex" else r for r in secrets.RULES)
+    again.scan(versions(spark, [(2, SECRET[1])]), newer)
+    last = [r for r in again.rows().collect() if [tuple(x) for x in r["scanned"]] == [("hex", "2")]]
+    assert len(last) == 1 and {s["kind"] for s in last[0]["spans"]} == {"hex"}
+    both = [again.joined_back(versions(spark, [(2, SECRET[1])]), r).first() for r in (secrets.RULES, newer)]
+    assert listed(both[0]) == brute.secrets(SECRET[1]) and listed(both[1]) == [x for x in listed(both[0]) if not x.startswith("hex") or int(x.split(":")[2]) - int(x.split(":")[1]) > 16]
+
+
+def test_more_rules_find_keys_and_tokens(spark, tmp_path):
+    token = "eyJhbGciOiJI.eyJzdWIiOiIx.abcdefghij"
+    texts = ["-----BEGIN RSA PRIVATE KEY----- " + token, token + " " + token, "x" + token, "eyJ" * 300_000]
+    ledger = secrets.Ledger(spark, f"{tmp_path}/ledger")
+    ledger.scan(versions(spark, list(enumerate(texts))))
+    got = {r["path"]: listed(r) for r in ledger.joined_back(versions(spark, list(enumerate(texts)))).collect()}
+    n = len(token)
+    assert got == {0: ["pem:0:31", f"jwt:32:{32 + n}"], 1: [f"jwt:0:{n}", f"jwt:{n + 1}:{2 * n + 1}"], 2: [], 3: []}
 
 
 # rules
@@ -243,9 +256,63 @@ def test_held_out_rows_are_not_learned_from(spark):
     docs = spark.createDataFrame([(k, f"word{k}") for k in range(50)], "doc_id long, text string")
     labels = spark.createDataFrame([(k, k % 2) for k in range(50)], "doc_id long, quality int")
     seen = []
-    real, quality.train = quality.train, lambda texts, y, seed=3: seen.extend(texts)
+    real, quality.train_counts = quality.train_counts, lambda data, y, seed=3: seen.extend(zip(data, y))
     try:
         quality.fitted(docs, labels, bound=30)
     finally:
-        quality.train = real
-    assert len(seen) == 30 and not {r["doc_id"] for r in ids if r["h"]} & {int(re.sub("word", "", t)) for t in seen}
+        quality.train_counts = real
+    known = {quality.packed_counts(*quality._Training().counted(f"word{k}")): k for k in range(50)}
+    assert len(seen) == 30 and not {r["doc_id"] for r in ids if r["h"]} & {known[d] for d, _ in seen}
+    assert all(known[d] % 2 == y for d, y in seen)
+
+
+def test_training_equals_a_plain_loop():
+    """The same steps with a dictionary of vectors, n-grams written out, and no arrays of counts."""
+    import math
+    import zlib
+
+    r = random.Random(7)
+    texts = [" ".join(r.choice(("good", "tidy", "prose", "spam", "###", "BUY", "a")) for _ in range(r.randrange(1, 9))) for _ in range(12)] + ["", "same same same\nsame same same"]
+    labels = [k % 2 for k in range(len(texts))]
+    made = quality.train(texts, labels)
+
+    def buckets(text):
+        apart = quality.BUCKETS - 16
+        found = []
+        words = text.split()
+        for w in words:
+            marked = f"<{w}>"
+            found += [16 + zlib.crc32(g.encode()) % apart for g in {marked[i : i + n] for n in (3, 4) for i in range(len(marked) - n + 1)} | {marked}]
+            found += [2] * (len(w) > 1 and w.isupper()) + [3] * (not any(c.isalnum() for c in w))
+        for a, b in zip(words, words[1:]):
+            h = (zlib.crc32(a.encode()) * 0x9E3779B97F4A7C15 + zlib.crc32(b.encode()) * 0xC2B2AE3D27D4EB4F) % 2**64
+            found.append(16 + (h >> 29) % apart)
+        lines = text.split("\n")
+        found += [0] * 12 * sum(a == b for a, b in zip(words, words[1:]))
+        found += [1] * 12 * sum(len(x.split()) for k, x in enumerate(lines) if x in lines[:k])
+        return found
+
+    g = np.random.default_rng(3)
+    vectors = (g.random((quality.BUCKETS, 8)) - 0.5) / 8
+    out, bias = [[0.0] * 8, [0.0] * 8], [0.0, 0.0]
+    steps, done = 6 * len(texts), 0
+    for _ in range(6):
+        for k in g.permutation(len(texts)):
+            rate, done = 0.2 * (1 - done / steps), done + 1
+            found = buckets(texts[k])
+            parts = {b: found.count(b) / len(found) for b in found}
+            hidden = [sum(p * vectors[b][d] for b, p in parts.items()) for d in range(8)]
+            z = [sum(o * h for o, h in zip(out[y], hidden)) + bias[y] for y in (0, 1)]
+            e = [math.exp(x - max(z)) for x in z]
+            off = [e[y] / sum(e) - (y == labels[k]) for y in (0, 1)]
+            back = [off[0] * out[0][d] + off[1] * out[1][d] for d in range(8)]
+            for y in (0, 1):
+                out[y] = [o - rate * off[y] * h for o, h in zip(out[y], hidden)]
+                bias[y] -= 0.1 * rate * off[y]
+            norm = max(sum(p * p for p in parts.values()), 1e-9)
+            for b, p in parts.items():
+                vectors[b] -= rate / norm * p * np.array(back)
+    for t in [*texts, "new words here BUY BUY"]:
+        found = buckets(t)
+        z = bias[1] - bias[0] + sum(vectors[b] @ (np.array(out[1]) - np.array(out[0])) for b in found) / max(len(found), 1)
+        assert abs(made.scorer().score(t) - 1 / (1 + math.exp(-z))) < 1e-5
