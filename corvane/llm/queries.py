@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, chat, exact, langid, mixing, near, quality, rules, secrets, warc
-from .common import table, text_of
+from .common import fresh_path, table, text_of, written
 
 HEX = lambda c: F.sha2(F.encode(c, "UTF-8"), 256)
 PREDICTED_FROM = 0.3
@@ -44,8 +44,12 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paths, found, _ = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), path="doc_id", content="text")
-    rows = secrets.joined_back(paths, found)
+    """Two deliveries, as a history grows: the second scan is of all rows, and takes only the blobs that the first hasn't seen."""
+    versions = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ledger = secrets.Ledger(spark, fresh_path(spark, "secrets"))
+    ledger.scan(versions.where(F.coalesce(F.xxhash64("doc_id") < 0, F.lit(False))), path="doc_id", content="text")
+    ledger.scan(versions, path="doc_id", content="text")
+    rows = ledger.joined_back(versions, path="doc_id", content="text")
     base = [r.kind for r in secrets.BASE]
     count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
     listed = lambda a: F.array_join(F.transform(a, lambda s: F.concat(s["kind"], F.lit(":"), s["start"].cast("string"), F.lit(":"), s["end"].cast("string"))), ",")
@@ -58,9 +62,10 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    rows = rows.select("doc_id", "source", mixing.n_words(F.col("text")).alias("n"))
-    return mixing.mix(rows, F.col("n")).select("doc_id", "size", "source_size", "target", "taken")
+    # the words are counted here, once; the mix reads the numbers
+    without_id = F.when(F.col("doc_id").isNull(), F.md5(F.encode(text_of(), "UTF-8"))).alias("without_id")
+    rows = written(table(spark, sf_dir, "documents").select("doc_id", "source", mixing.n_words(F.col("text")).alias("n"), without_id))
+    return mixing.mix(rows, F.col("n"), without_id=F.col("without_id")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,8 +77,6 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .common import written
-
     stats = written(rules.statistics(table(spark, sf_dir, "documents")))
     learned = rules.fitted(stats, table(spark, sf_dir, "labels"))
     return rules.judged(stats, learned).select("doc_id", *rules.COUNTS, "base_failed", "rule", "kept")
@@ -87,7 +90,7 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = warc.fresh_path(spark)
+    path = fresh_path(spark, "warc")
     warc.write_warc(warc.archived(table(spark, sf_dir, "pages")), path)
     rows = warc.read_warc(spark, path)
     page = lambda c: F.expr(f"try_cast(substring({c}, 10) as bigint)")
@@ -125,7 +128,7 @@ FROM rows GROUP BY conv_id
 OP4_SQL = r"""
 WITH docs AS (
     SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-        ('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, '')), 1, 10))::BIGINT AS key
+        ('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, md5(coalesce(text, '')))), 1, 10))::BIGINT AS key
     FROM documents
 ), sizes AS (
     SELECT source, sum(size)::BIGINT AS source_size FROM docs GROUP BY source
@@ -185,18 +188,18 @@ FROM owned
 def _secret_sql(ord: int, rule: secrets.Rule) -> str:
     p = "'" + rule.pattern.replace("'", "''") + "'"
     lengths = lambda x: f"list_transform({x}, lambda x: length(x))"
-    return f"SELECT doc_id, {ord} AS ord, '{rule.kind}' AS kind, {rule.least} AS least, {lengths(f'regexp_split_to_array(t, {p})')} AS g, {lengths(f'regexp_extract_all(t, {p}, 0)')} AS l, {lengths(f'regexp_extract_all(t, {p}, {rule.group})')} AS k FROM docs"
+    return f"SELECT doc_id, {ord} AS ord, '{rule.kind}' AS kind, {rule.least} AS least, {rule.tail} AS tail, {lengths(f'regexp_split_to_array(t, {p})')} AS g, {lengths(f'regexp_extract_all(t, {p}, 0)')} AS l, {lengths(f'regexp_extract_all(t, {p}, {rule.group})')} AS k FROM docs"
 
 
 OP3_SQL = f"""
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 matched AS ({' UNION ALL '.join(_secret_sql(k, r) for k, r in enumerate(secrets.RULES))}),
-each AS (SELECT doc_id, ord, kind, least, unnest(g[1:len(l)]) AS gap, unnest(l) AS n, unnest(k) AS kept, generate_subscripts(l, 1) AS pos FROM matched WHERE len(l) > 0),
-placed AS (SELECT *, sum(gap + n) OVER (PARTITION BY doc_id, ord ORDER BY pos) AS e FROM each),
+each AS (SELECT doc_id, ord, kind, least, tail, unnest(g[1:len(l)]) AS gap, unnest(l) AS n, unnest(k) AS kept, generate_subscripts(l, 1) AS pos FROM matched WHERE len(l) > 0),
+placed AS (SELECT *, (e - CASE WHEN tail THEN kept ELSE n END)::BIGINT AS b FROM (SELECT *, sum(gap + n) OVER (PARTITION BY doc_id, ord ORDER BY pos)::BIGINT AS e FROM each)),
 spans AS (
     SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
-        string_agg(kind || ':' || (e - n)::BIGINT || ':' || e::BIGINT, ',' ORDER BY e - n, ord) FILTER (ord < {len(secrets.BASE)}) AS base,
-        string_agg(kind || ':' || (e - n)::BIGINT || ':' || e::BIGINT, ',' ORDER BY e - n, ord) AS spans
+        string_agg(kind || ':' || b || ':' || e, ',' ORDER BY b, ord) FILTER (ord < {len(secrets.BASE)}) AS base,
+        string_agg(kind || ':' || b || ':' || e, ',' ORDER BY b, ord) AS spans
     FROM placed WHERE kept >= least GROUP BY doc_id
 )
 SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans

@@ -89,7 +89,7 @@ def test_exact_groups_equal_plain_ones(spark):
     assert kept.count() == len({brute.SPACE.sub("", t or "") for _, t in COPIES})
 
 
-@pytest.mark.parametrize("held", [2000, 20_000, 1 << 40])
+@pytest.mark.parametrize("held", [1, 1500, 2000, 20_000, 1 << 40])
 def test_tries_spill_and_keep_owners(held):
     r = random.Random(held)
     trie, plain = exact.OwnerTrie(held), {}
@@ -193,9 +193,114 @@ def test_components(spark):
     assert all(got.get(x, x) == find(x) for x in parent)
 
 
+# columns named like those that the operators add for themselves
+
+CLASHES = {
+    "exact": ("row", "sha", "n", "key", "key_sha256", "keep_id", "group_size", "at", "n_chars", "n_rows", "id", "kept", "_key", "_keep", "_sha", "_n", "_at"),
+    "near": ("row", "stays", "id", "key", "bands", "rep", "bucket", "set", "class", "class_id", "kept", "pivot", "n", "_id", "_least"),
+    "mixing": ("row", "s", "key", "p", "fine", "stripe", "range", "s1", "t1", "a", "b", "s2", "t2", "r2", "n", "n_rows", "offset", "here", "level", "weight", "_s", "_s2", "_fine", "_key", "_here", "_range"),
+}
+
+
+@pytest.mark.parametrize("operator", CLASHES)
+def test_extra_columns_keep_their_values(spark, operator):
+    names = CLASHES[operator]
+    rows = [(k, f"w{k % 7} some words of a text that has more than five", "ab"[k % 2]) for k in range(12)]
+    made = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    wide = made.withColumns({c: F.concat(F.lit(f"{c}:"), F.col("doc_id")) for c in names})
+    if operator == "mixing":
+        run = lambda x: mixing.mix(x, mixing.n_words(F.col("text")))
+    else:
+        run = exact.drop_copies if operator == "exact" else near.drop_near_copies
+    got, plain = run(wide), run(made)
+    assert got.columns == [*wide.columns, *(mixing.OUT if operator == "mixing" else ())]
+    got = got.collect()
+    assert all(r[c] == f"{c}:{r['doc_id']}" for r in got for c in names)
+    assert sorted(tuple(r[c] for c in plain.columns) for r in got) == sorted(map(tuple, plain.collect()))
+
+
+def test_exact_dedup_of_string_ids(spark):
+    rows = spark.createDataFrame([("b", "x y"), ("a", "xy "), ("", "xy"), (None, "x y"), ("é", None)], "doc_id string, text string")
+    got = {(r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in exact.exact_groups(rows).collect()}
+    assert got == {("b", "a", 4, False), ("a", "a", 4, True), ("", "a", 4, False), (None, "a", 4, False), ("é", "é", 1, True)}
+    assert sorted(r["doc_id"] for r in exact.drop_copies(rows).collect()) == ["a", "é"]
+
+
+def test_rows_without_an_id_are_mixed_alike_each_time(spark):
+    rows = [(None, "a", "w " * k) for k in range(1, 60)] + [(None, "a", "w w")] * 3
+    got = [sorted((r["text"], r["taken"]) for r in mixed(spark, x).collect()) for x in (rows, rows[::-1])]
+    assert got[0] == got[1] and sum(t for _, t in got[0]) == round(1.5 * sum(len(t.split()) for _, _, t in rows))
+
+
+def test_the_shared_folder_must_be_named_on_a_cluster():
+    from types import SimpleNamespace
+
+    from corvane.llm.common import shared_dir
+
+    context = lambda master: SimpleNamespace(sparkContext=SimpleNamespace(master=master, getConf=lambda: {}, getCheckpointDir=lambda: None))
+    for master in ("yarn", "spark://a:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            shared_dir(context(master))
+
+
 # WARC
 
 
+def response(body, *http, **head):
+    block = b"HTTP/1.1 200 OK\r\n" + b"".join(h + b"\r\n" for h in http) + b"\r\n" + body
+    fields = {"WARC-Type": "response", "WARC-Record-ID": "<r>", "Content-Type": "application/http; msgtype=response", "Content-Length": len(block)} | head
+    return b"WARC/1.1\r\n" + b"".join(f"{k}: {v}\r\n".encode() for k, v in fields.items() if v is not None) + b"\r\n" + block + b"\r\n\r\n"
+
+
+def read_back(data, packed=False, payload=True):
+    import io
+
+    return [r["payload"] if payload else r["record_id"] for r in warc.WarcReader("", payload).records(warc._Stream(io.BytesIO(data), packed))]
+
+
+def test_warc_bodies_of_others():
+    import gzip
+
+    chunked, zipped = b"Transfer-Encoding: chunked", b"Content-Encoding: gzip"
+    whole = gzip.compress(b"abc") + gzip.compress(b"def")
+    data = [
+        response(b"4;x=y\r\nWiki\r\n5\r\npedia\r\n0\r\n\r\n", chunked),
+        response(b"4\r\nWikiXX5\r\n", chunked),
+        response(b"ffffffff\r\nabc", chunked),
+        response(whole, zipped),
+        response(b"not gzip", zipped),
+        response(whole[:-3], zipped),
+        response(f"{len(whole):x}\r\n".encode() + whole + b"\r\n0\r\n\r\n", chunked, zipped),
+        response(b"raw", b"Content-Encoding: br"),
+        response(b""),
+    ]
+    wanted = [b"Wikipedia", b"4\r\nWikiXX5\r\n", b"ffffffff\r\nabc", b"abcdef", b"not gzip", whole[:-3], b"abcdef", b"raw", b""]
+    assert read_back(b"".join(data)) == wanted
+
+
+def test_warc_records_that_are_broken():
+    import gzip
+
+    good = response(b"one")
+    assert read_back(good + response(b"two", **{"Content-Length": None}) + b"noise\n" + good) == [b"one", b"one"]
+    assert read_back(response(b"x", **{"Content-Length": "many"}) + good) == [b"one"]
+    for payload in (True, False):
+        assert len(read_back(good + good[:-20], payload=payload)) == 1
+        assert len(read_back(gzip.compress(good) + gzip.compress(good)[:-30], True, payload)) == 1
+    assert read_back(b"") == [] and read_back(b"\r\n\r\n") == []
+
+
+def test_warc_appends_and_overwrites(spark, tmp_path):
+    path = f"file://{tmp_path}/a"
+    pages = lambda *ids: warc.archived(spark.createDataFrame([(i, "u", f"page {i}") for i in ids], "page_id long, url string, html string"))
+    read = lambda: sorted(r["record_id"] for r in warc.read_warc(spark, path).collect())
+    warc.write_warc(pages(1, 2), path)
+    warc.write_warc(pages(3), path)
+    assert read() == ["urn:page:1", "urn:page:2", "urn:page:3"]
+    warc.write_warc(pages(4), path, "overwrite")
+    assert read() == ["urn:page:4"]
+
+
 def test_warc_round_trip(spark, tmp_path):
     rows = [(3, "http://x/é\r\n", "<p>é</p>"), (1, None, "<p>é</p>"), (2, "u", None), (5, "u", ""), (4, "u", "x" * 300_000), (4, "u", "x" * 300_000), (None, "u", "z")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("payload", F.lit(1)).withColumn("sha", F.lit(1))
@@ -277,6 +382,66 @@ def test_late_declarations_are_found(spark):
     assert langid.declared("<html " * 200_000) == langid.declared(f"<html lang={' ' * 200_000}>") == langid.declared("<html>lang=en") == ""
 
 
+def test_visible_text_takes_time_in_proportion():
+    import time
+
+    for page in ("<!--" * 250_000, "<script>" * 120_000, "<" * 1_000_000, "</nav " * 160_000, "<nav>" * 100_000 + "</nav>", "&a" * 500_000, "<script></script " * 60_000):
+        began = time.time()
+        langid.visible(page)
+        assert time.time() - began < 1, page[:10]
+    assert langid.visible("a<b>c</b>d<!-- <p>x</p> -->e<SCRIPT>f</script >g<nav>h<nav>i</nav>j&amp;k <l").split() == ["a", "c", "d", "e", "g", "j", "k", "<l"]
+    assert langid.visible("x<!-- y <p>z").split() == ["x", "z"] and langid.visible("<navy>s</navy>").split() == ["s"]
+
+
+def test_languages_equal_a_plain_fusion(spark):
+    import math
+
+    r = random.Random(3)
+    model = langid.fit_texts(list(TEXT.items()))
+    names = model.languages
+    n = len(names)
+    rows = []
+    for k in range(60):
+        lang = r.choice(names)
+        words = r.choice((TEXT[lang], " ".join(r.sample(TEXT[lang].split(), 4)), ""))
+        rows.append((k, r.choice((None, f"http://{r.choice('abc')}.{r.choice(('x', 'y'))}.{r.choice(('com', lang))}/{r.choice((lang, 'p'))}/{k}")), r.choice((f"<p>{words}</p>", f"<html lang='{r.choice((lang, 'xx'))}'>{words}"))))
+    rows += [rows[0], (None, None, None)]
+    softmax = lambda x: [math.exp(v - max(x)) / sum(math.exp(w - max(x)) for w in x) for v in x]
+    pages = []
+    for i, url, html in rows:
+        host, domain, suffix, segment = langid.parts_of(url or "")
+        pages.append({"id": i, "host": host, "domain": domain, "suffix": suffix, "segment": segment, "markup": langid.declared(html or ""), "text": list(model.log_likelihood(langid.visible(html or "")))})
+    for p in pages:
+        p["post"], p["said"] = softmax(p["text"]), p["text"]
+    total = [sum(p["post"][k] for p in pages) for k in range(n)]
+    for column in ("markup", "suffix", "segment"):
+        for p in pages:
+            if p[column]:
+                seen = [sum(q["post"][k] for q in pages if q[column] == p[column]) for k in range(n)]
+                p["said"] = [s + math.log((c + 0.5) / (t + 5)) for s, c, t in zip(p["said"], seen, total)]
+    for p in pages:
+        p["post"] = softmax(p["said"])
+    wanted = Counter()
+    for p in pages:
+        prior = [1 / n] * n
+        for same in ((), ("suffix",), ("domain", "suffix"), ("host", "domain", "suffix")):
+            own = [max(sum(q["post"][k] for q in pages if all(q[c] == p[c] for c in same)) - p["post"][k], 0) for k in range(n)]
+            prior = [(own[k] + 5 * prior[k]) / (sum(own) + 5) for k in range(n)]
+        post = softmax([s + math.log(q) for s, q in zip(p["said"], prior)])
+        wanted[(p["id"], names[post.index(max(post))], round(max(post), 6))] += 1
+    made = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert Counter((x["page_id"], x["lang"], round(x["probability"], 6)) for x in langid.identified(made, model).collect()) == wanted
+
+
+def test_the_model_is_counted_in_executors(spark):
+    rows = [(k, TEXT[x] + f" {k}", x) for k, x in enumerate(["en", "fr", "de"] * 5)] + [(None, "x", "en"), (99, None, "fr"), (98, "x", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("at", F.lit(1)).withColumn("_x", F.lit(1))
+    model = langid.fitted(docs.repartition(4))
+    plain = langid.fit_texts([(x, t or "") for i, t, x in rows if i is not None and x])
+    assert model.languages == plain.languages and (model.log_p == plain.log_p).all()
+    assert langid.fitted(docs.where("false")).languages == ()
+
+
 # pipeline
 
 
