@@ -1,6 +1,6 @@
 """Normalisation of names and addresses as Spark columns.
 
-Latin text is folded inside the JVM by ``translate``; other scripts need ``romanised``,
+Latin text is folded inside the JVM by ``translate``; texts in other scripts go through
 an Arrow function that names letters by their Unicode name.
 """
 
@@ -19,20 +19,35 @@ from .lexicons import ADDRESS_ABBREVIATIONS, LANDMARK_TOKENS, LEGAL_FORMS, SOUND
 SPELLED = {"ß": "ss", "ẞ": "SS", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "ø": "o", "Ø": "O", "đ": "d", "Đ": "D", "ł": "l", "Ł": "L", "þ": "th", "Þ": "Th", "ð": "d", "Ð": "D", "ı": "i"}
 
 
+def _bare(c: str) -> str:
+    return "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
+
+
 @lru_cache
 def _folds() -> tuple[str, str]:
-    """Latin letters with marks and their bare letters, from the Unicode decompositions."""
-    pairs = []
-    for cp in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00)):
-        bare = "".join(c for c in unicodedata.normalize("NFKD", chr(cp)) if not unicodedata.combining(c))
-        if len(bare) == 1 and bare != chr(cp):
-            pairs.append((chr(cp), bare))
+    """Letters of any script that decompose to one letter (with marks, full-width and others), and that letter, by rule from the Unicode decompositions.
+
+    Hangul syllables decompose to several and stay.
+    """
+    pairs = [(chr(cp), _bare(chr(cp))) for cp in (*range(0x80, 0xAC00), *range(0xF900, 0x10000))]
+    pairs = [(a, b) for a, b in pairs if len(b) == 1 and a != b]
     return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
 
 
+@lru_cache
+def _ligatures() -> tuple[tuple[str, str], ...]:
+    """Latin letters that decompose to several: ligatures and digraphs."""
+    pairs = [(chr(cp), _bare(chr(cp))) for cp in (*range(0x80, 0x250), *range(0xFB00, 0xFB07))]
+    return tuple((a, b) for a, b in pairs if len(b) > 1 and b.isascii() and b.isalpha())
+
+
 def strip_accents(x: Column) -> Column:
-    """Latin letters without their marks."""
-    return F.regexp_replace(F.translate(F.coalesce(x.cast("string"), F.lit("")), *_folds()), r"\p{Mn}", "")
+    """Letters without their marks, in their plain form; Latin ligatures spelled out."""
+    out = F.regexp_replace(F.translate(F.coalesce(x.cast("string"), F.lit("")), *_folds()), r"\p{Mn}", "")
+    spelled = out
+    for letter, letters in _ligatures():
+        spelled = F.replace(spelled, F.lit(letter), F.lit(letters))
+    return F.when(out.rlike(f"[{''.join(a for a, _ in _ligatures())}]"), spelled).otherwise(out)
 
 
 def to_ascii(x: Column) -> Column:
@@ -64,17 +79,22 @@ def _romanise(text: str) -> str:
 
 
 def romanised(x: Column) -> Column:
-    """Any script in ASCII letters; each distinct text of a batch is worked on once."""
+    """Any script in ASCII letters.
+
+    Latin texts are folded in the JVM; only the others, as nulls stand for the rest, go to an Arrow function, each
+    distinct text of a batch once.
+    """
 
     @F.pandas_udf("string")
     def run(texts: pd.Series) -> pd.Series:
-        known = {t: _romanise(t or "") for t in texts.unique()}
-        return texts.map(known)
+        known = {t: _romanise(t) for t in texts.dropna().unique()}
+        return pd.Series([known.get(t) for t in texts], dtype=object)
 
-    return run(x)
+    folded = to_ascii(x)
+    return F.coalesce(run(F.when(folded.rlike(r"[^\x00-\x7F]"), x.cast("string"))), folded)
 
 
-def tokenize(x: Column, any_script: bool = False) -> Column:
+def tokenize(x: Column, any_script: bool = True) -> Column:
     folded = romanised(x) if any_script else to_ascii(x)
     return F.regexp_extract_all(F.replace(F.lower(folded), F.lit("&"), F.lit(" and ")), F.lit(r"(?U)\w+"), F.lit(0))
 
@@ -109,7 +129,7 @@ def address_parts(tokens: Column, raw: Column) -> tuple[Column, Column, Column]:
     return F.concat_ws(" ", spelled), F.concat_ws("|", numbers), _listed(F.filter(tokens, lambda t: t.isin(*LANDMARK_TOKENS)))
 
 
-def normalized(records: DataFrame, any_script: bool = False) -> DataFrame:
+def normalized(records: DataFrame, any_script: bool = True) -> DataFrame:
     """The records with the seven normalised columns."""
     t = records.withColumn("_n", tokenize(F.col("business_name"), any_script)).withColumn("_a", tokenize(F.col("business_address"), any_script))
     name, legal = name_parts(F.col("_n"))

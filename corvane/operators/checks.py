@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import id_list
@@ -71,13 +71,23 @@ def not_among_candidates(matched: DataFrame, candidates: DataFrame) -> DataFrame
 
 
 def report(found: DataFrame) -> DataFrame:
-    """(check, n, sample): how many offenders, and the first five in order."""
-    return found.groupBy("check").agg(F.countDistinct("offender").alias("n"), F.array_join(F.slice(F.array_sort(F.collect_set("offender")), 1, OFFENDERS), ",").alias("sample"))
+    """(check, n, sample): how many offenders, and the first five in order; only the first five are ever gathered."""
+    found = found.distinct()
+    first = Window.partitionBy("check").orderBy("offender")
+    some = found.withColumn("at", F.row_number().over(first)).where(F.col("at") <= OFFENDERS)
+    some = some.groupBy("check").agg(F.array_join(F.array_sort(F.collect_list("offender")), ",").alias("sample"))
+    return found.groupBy("check").agg(F.count("offender").alias("n")).join(some, "check")
 
 
 def country_gate(lists: DataFrame, s1: DataFrame, country: str, candidates: DataFrame | None = None) -> DataFrame:
-    """The report of one country's lists; a match that is no candidate counts as an offence here."""
-    found = offences(lists, s1.where(F.col("country_norm") == country))
+    """The report of one country's lists (rows of other countries' records are left out); a match that is no candidate counts as an offence here."""
+    own = s1.where(F.col("country_norm") == country)
+    ids = own.select(F.col("entity_id").alias("source1_entity_id")).distinct()
+    lists = lists.join(ids, "source1_entity_id", "left_semi")
+    found = offences(lists, own)
     if candidates is not None:
-        found = found.unionByName(not_among_candidates(lists, candidates).select(F.lit("not_a_candidate").alias("check"), F.col("id").alias("offender")))
+        candidates = candidates.join(ids, "source1_entity_id", "left_semi")
+        listed = offences(candidates.select("source1_entity_id", F.col("candidate_entity_ids").alias("matched_entity_ids")), own).where(F.col("check").isin("missing_s1", "duplicate_s1"))
+        found = found.unionByName(listed.withColumn("check", F.concat(F.lit("candidates_"), "check")))
+        found = found.unionByName(not_among_candidates(lists, candidates).select(F.lit("not_a_candidate").alias("check"), F.col("source1_entity_id").alias("offender")))
     return report(found)

@@ -21,7 +21,7 @@ class LinkConfig:
     blocking: blocking.BlockingConfig = field(default_factory=blocking.BlockingConfig)
     per_positive: float = 6.0
     seed: int = 42
-    any_script: bool = False
+    any_script: bool = True
     model: dict = field(default_factory=dict)
 
 

@@ -7,6 +7,7 @@ decision operators are digests of a pair's ids.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -140,19 +141,13 @@ S_ID, C_ID = "source1_entity_id", "candidate_entity_id"
 
 @query("SELECT entity_id, business_name, business_address, country FROM ent", ENT)
 def s01_tsv_scan(spark, sf):
-    import uuid
-
-
     folder = f"{_scratch(spark)}/tsv-{uuid.uuid4().hex}"
     ent(spark, sf).select(*tables.RECORD).write.option("sep", "\t").option("header", True).option("quote", '"').option("escape", '"').option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)
     return tables.read_tsv(spark, folder)
 
 
 def _scratch(spark) -> str:
-    """A folder that driver and executors share."""
-    import tempfile
-
-    return (spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="corvane-")).rstrip("/")
+    return tables.shared_folder(spark)
 
 
 @query("SELECT entity_id, business_name FROM s1", NORM)
@@ -609,9 +604,24 @@ def j07_blocker_union(spark, sf):
     return rows.withColumns({c: F.col(c).cast("long") for c in rows.columns if c.endswith("_rank")})
 
 
-EXACT = """
+def _exact_sql(targets: str = "tgt") -> str:
+    return f"""
 own1 AS (SELECT country_norm, name_norm, address_norm, min(entity_id) AS s FROM s1 WHERE name_norm <> '' AND address_norm <> '' GROUP BY ALL HAVING count(*) = 1),
-exact AS (SELECT s, t.entity_id AS c, t.target_source FROM own1 JOIN tgt t USING (country_norm, name_norm, address_norm))"""
+exact AS (SELECT s, t.entity_id AS c, t.target_source FROM own1 JOIN {targets} t USING (country_norm, name_norm, address_norm))"""
+
+
+EXACT = _exact_sql()
+#: Targets with twins of S1 records, as addresses of pages are all different; two records of S1 are there twice.
+TWINS = """
+many AS (SELECT * FROM tgt UNION ALL SELECT * REPLACE (replace(entity_id, 'S1-', 'S2-t') AS entity_id, 'S2' AS target_source) FROM s1
+    UNION ALL SELECT * REPLACE (replace(entity_id, 'S1-', 'S3-t') AS entity_id, 'S3' AS target_source) FROM s1 WHERE entity_id LIKE '%5')"""
+
+
+def twins(s1, tgt):
+    as_target = lambda rows, tag: rows.withColumn("entity_id", F.replace("entity_id", F.lit("S1-"), F.lit(f"{tag}-t"))).withColumn("target_source", F.lit(tag))
+    return tgt.unionByName(as_target(s1, "S2")).unionByName(as_target(s1.where(F.col("entity_id").endswith("5")), "S3"))
+
+
 NUMS = f"""
 sn AS (SELECT entity_id, country_norm, name_norm, address_norm, unnest({_NUM('address_numbers')}) AS num FROM s1 WHERE name_norm <> ''),
 tn AS (SELECT entity_id, target_source, country_norm, name_norm, address_norm, unnest({_NUM('address_numbers')}) AS num FROM tgt WHERE name_norm <> '')"""
@@ -621,9 +631,10 @@ bynum AS (SELECT DISTINCT a.entity_id AS s, b.entity_id AS c, b.target_source FR
     WHERE {_I(SET('a.address_norm'), SET('b.address_norm'))} >= 2 AND ({_O(SET('a.address_norm'), SET('b.address_norm'))}) >= 0.35)"""
 
 
-@query(f"SELECT {PAIR_SQL} FROM exact", f"{NORM}, {EXACT}")
+@query(f"SELECT {PAIR_SQL} FROM exact", f"{NORM}, {TWINS}, {_exact_sql('many')}")
 def j08_exact_key(spark, sf):
-    return rules.exact_matches(*sides(spark, sf)).select(*PAIR)
+    s1, tgt = sides(spark, sf)
+    return rules.exact_matches(s1, twins(s1, tgt)).select(*PAIR)
 
 
 @query(f"SELECT {PAIR_SQL} FROM bynum", f"{NORM}, {NUMS}, {NUM3}")
@@ -665,9 +676,10 @@ def j12_first_come(spark, sf):
     return rules.first_come(truth_of(s1, tgt).withColumn("target_source", F.substring_index(C_ID, "-", 1)), 2).select(*PAIR)
 
 
-@query(f"SELECT {PAIR_SQL} FROM (SELECT s, c, row_number() OVER (PARTITION BY s ORDER BY target_source, c) AS k FROM (SELECT * FROM exact UNION SELECT * FROM bynum)) WHERE k <= 8", f"{NORM}, {EXACT}, {NUMS}, {NUM3}")
+@query(f"SELECT {PAIR_SQL} FROM (SELECT s, c, row_number() OVER (PARTITION BY s ORDER BY target_source, c) AS k FROM (SELECT * FROM exact UNION SELECT * FROM bynum)) WHERE k <= 8", f"{NORM}, {TWINS}, {_exact_sql('many')}, {NUMS.replace('FROM tgt', 'FROM many')}, {NUM3}")
 def g1_exact_rules(spark, sf):
-    return rules.exact_rules(*sides(spark, sf)).select(*PAIR)
+    s1, tgt = sides(spark, sf)
+    return rules.exact_rules(s1, twins(s1, tgt)).select(*PAIR)
 
 
 @query(f"SELECT {PAIR_SQL} FROM (SELECT s, c, row_number() OVER (PARTITION BY s ORDER BY target_source, c) AS k FROM va) WHERE k <= 8", f"{NORM}, {EXACT}, {NUMS}, {VOTES}")
@@ -878,6 +890,25 @@ def x39_sql_features(spark, sf):
     return features.pair_features(ranked_pairs(s1, tgt), s1, tgt, arrow=False)
 
 
+_TS, _TA = "tsn", "tsa"
+_FT = _indel_sql("split_part(sn, ' ', 1)", "split_part(cn, ' ', 1)")
+_R9 = lambda x: f"round({x}, 9)"
+STRING_SQL = {
+    "name_jaro_winkler": _R9("CASE WHEN sn = '' OR cn = '' THEN 0.0::DOUBLE ELSE jaro_winkler_similarity(sn, cn) END"), "address_jaro_winkler": _R9("CASE WHEN sa = '' OR ca = '' THEN 0.0::DOUBLE ELSE jaro_winkler_similarity(sa, ca) END"),
+    "name_token_sort_ratio": _R9(_TS), "name_token_set_ratio": _R9(_token_set_sql("sn", "cn")), "address_token_sort_ratio": _R9(_TA), "address_token_set_ratio": _R9(_token_set_sql("sa", "ca")),
+    "name_first_token_match": _B(f"sn <> '' AND cn <> '' AND {_FT} >= 0.80::DOUBLE"), "name_first_token_conflict": _B(f"sn <> '' AND cn <> '' AND {_FT} < 0.50::DOUBLE"),
+    "name_addr_sim_product": _R9(f"{_TS} * {_TA}"), "name_addr_sim_sum": _R9(f"{_TS} + {_TA}"), "name_addr_sim_max": _R9(f"greatest({_TS}, {_TA})"), "name_addr_sim_min": _R9(f"least({_TS}, {_TA})"),
+}
+
+
+@query(f"SELECT {PAIR_SQL}, " + ", ".join(f"{v} AS f_{k}" for k, v in STRING_SQL.items()) + f" FROM (SELECT *, {_token_sort_sql('sn', 'cn')} AS tsn, {_token_sort_sql('sa', 'ca')} AS tsa FROM pairs)", FP)
+def x52_string_features(spark, sf):
+    """The features by string similarities, but for the two sequence ratios, which are difflib's own."""
+    s1, tgt = sides(spark, sf)
+    rows = features.pair_features(ranked_pairs(s1, tgt), s1, tgt)
+    return rows.select(*PAIR, *[F.round(f"f_{k}", 9).alias(f"f_{k}") for k in STRING_SQL])
+
+
 @query()
 def x53_pair_features(spark, sf):
     s1, tgt = sides(spark, sf)
@@ -930,14 +961,24 @@ def m04_downsample(spark, sf):
 def m05_match_model(spark, sf):
     s1, tgt = sides(spark, sf)
     rows = features.labelled(features.pair_features(ranked_pairs(s1, tgt), s1, tgt), truth_of(s1, tgt)).persist()
-    return model.train(rows, maxIter=5).predict(rows).select(*PAIR, "label", "probability")
+    return model.train(rows).predict(rows).select(*PAIR, "label", "probability")
 
 
-@query()
+#: The isotonic fit as the largest, over all beginnings, of the least means of all stretches from there over a place.
+ISOTONIC = """
+lb AS (SELECT s, c, p, (EXISTS (SELECT 1 FROM truth t WHERE t.s = cand.s AND t.c = cand.c))::INT AS label FROM cand),
+ul AS (SELECT p, sum(label) AS y, count(*) AS w FROM lb GROUP BY p),
+ui AS (SELECT *, row_number() OVER (ORDER BY p) AS i, sum(y) OVER (ORDER BY p) AS sy, sum(w) OVER (ORDER BY p) AS sw FROM ul),
+st AS (SELECT a.i AS j, b.i AS k, (b.sy - a.sy + a.y)::DOUBLE / (b.sw - a.sw + a.w) AS m FROM ui a JOIN ui b ON b.i >= a.i),
+lo AS (SELECT j, k AS i, min(m) OVER (PARTITION BY j ORDER BY k DESC) AS m FROM st),
+iso AS (SELECT i, max(m) AS v FROM lo GROUP BY i)"""
+
+
+@query(f"SELECT {PAIR_SQL}, round(v, 9) AS probability FROM lb JOIN ui USING (p) JOIN iso USING (i)", f"{FP}, {ISOTONIC}")
 def m08_isotonic(spark, sf):
     s1, tgt = sides(spark, sf)
     rows = features.labelled(ranked_pairs(s1, tgt), truth_of(s1, tgt))
-    return model.calibrated(rows, rows).select(*PAIR, "probability")
+    return model.calibrated(rows, rows).select(*PAIR, F.round("probability", 9).alias("probability"))
 
 
 @query(f"SELECT {PAIR_SQL} FROM scored WHERE p >= CASE WHEN c LIKE 'S2-%' THEN 0.4 ELSE 0.6 END AND prob_rank <= 3", FP)
@@ -962,11 +1003,38 @@ gs AS (SELECT pt.ord, pt.t, pt.cap, avg({_F('coalesce(gk.tp, 0)', 'coalesce(gk.n
 @query("SELECT ord::INT AS ord, cap::INT AS cap, round(score, 9) AS score FROM gs", f"{FP}, {GRID}")
 def d03_grid_search(spark, sf):
     s1, tgt = sides(spark, sf)
-    scores = decision.grid_scores(decision.scored_pairs(ranked_pairs(s1, tgt)), truth_of(s1, tgt), s1.withColumnRenamed("entity_id", S_ID), decision.grid(spark, decision.THRESHOLDS))
+    scores = decision.grid_scores(decision.scored_pairs(ranked_pairs(s1, tgt)), truth_of(s1, tgt), s1.withColumnRenamed("entity_id", S_ID))
     return scores.select("ord", "cap", F.round("score", 9).alias("score"))
 
 
-@query()
+def _rules_sql(name: str, points: str, bipartite: bool) -> str:
+    """Scores of the rules in ``points`` (k, t2, t3, cap) as ``name``."""
+    return f"""
+{name}_k AS (SELECT q.k, s, c, row_number() OVER (PARTITION BY q.k, c ORDER BY p DESC, s) AS own FROM {points} q JOIN scored ON p >= CASE WHEN c LIKE 'S2-%' THEN t2 ELSE t3 END AND (cap IS NULL OR prob_rank <= cap)),
+{name}_g AS (SELECT k, s, count(*) AS np, count(tt.c) AS tp FROM {name}_k LEFT JOIN truth tt USING (s, c) {'WHERE own = 1' if bipartite else ''} GROUP BY 1, 2),
+{name} AS (SELECT q.k, t2, t3, cap, avg({_F('coalesce(g.tp, 0)', 'coalesce(g.np, 0)', 'nt.nt')}) AS score FROM {points} q CROSS JOIN nt LEFT JOIN {name}_g g ON g.k = q.k AND g.s = nt.s GROUP BY ALL)"""
+
+
+def _sources_sql(name: str, cap: str, bipartite: bool) -> str:
+    """The best threshold for S2 with .5 for S3, then the best for S3 with it, as ``name``."""
+    return f"""
+{name}p2 AS (SELECT k, round(t, 2) AS t2, 0.5::DOUBLE AS t3, {cap} AS cap FROM th), {_rules_sql(f'{name}s2', f'{name}p2', bipartite)},
+{name}b2 AS (SELECT t2 FROM {name}s2 ORDER BY round(score, 12) DESC, k LIMIT 1),
+{name}p3 AS (SELECT k, (SELECT t2 FROM {name}b2) AS t2, round(t, 2) AS t3, {cap} AS cap FROM th), {_rules_sql(f'{name}s3', f'{name}p3', bipartite)},
+{name} AS (SELECT t2, t3, cap, score FROM {name}s3 ORDER BY round(score, 12) DESC, k LIMIT 1)"""
+
+
+CHOICE = f"""{GRID},
+gb AS (SELECT round(t, 2) AS t, cap, score FROM gs ORDER BY round(score, 12) DESC, ord LIMIT 1),
+gp AS (SELECT 0 AS k, t AS t2, t AS t3, cap FROM gb), {_rules_sql('gx', 'gp', True)}, {_sources_sql('src', '(SELECT cap FROM gb)', True)},
+options AS (
+    SELECT 0 AS o, 'global' AS mode, t AS t2, t AS t3, cap, false AS bipartite, score FROM gb
+    UNION ALL SELECT 1, 'global', t2, t3, cap, true, score FROM gx
+    UNION ALL SELECT 2, 'source_specific', t2, t3, cap, true, score FROM src
+)"""
+
+
+@query("SELECT mode, t2 AS threshold_s2, t3 AS threshold_s3, cap, bipartite, round(score, 9) AS score FROM options ORDER BY round(options.score, 12) DESC, o LIMIT 1", f"{FP}, {CHOICE}")
 def d05_rule_choice(spark, sf):
     s1, tgt = sides(spark, sf)
     rule = decision.choose(decision.scored_pairs(ranked_pairs(s1, tgt)).persist(), truth_of(s1, tgt), s1.withColumnRenamed("entity_id", S_ID))
@@ -1046,8 +1114,6 @@ def s05_id_list(spark, sf):
 
 @query("SELECT entity_id, country_norm, name_norm FROM norm", NORM)
 def s12_parquet_parts(spark, sf):
-    import uuid
-
     folder = f"{_scratch(spark)}/parts-{uuid.uuid4().hex}"
     tables.write_parts(norm(spark, sf), folder)
     return tables.read_parts(spark, folder).select("entity_id", "country_norm", "name_norm")
@@ -1055,8 +1121,6 @@ def s12_parquet_parts(spark, sf):
 
 @query("SELECT a.entity_id || chr(9) || coalesce(string_agg(t.c, ',' ORDER BY t.c), '') AS line FROM s1 a LEFT JOIN truth t ON t.s = a.entity_id GROUP BY a.entity_id", NORM)
 def k01_list_lines(spark, sf):
-    import uuid
-
     folder = f"{_scratch(spark)}/lists-{uuid.uuid4().hex}"
     s1, tgt = sides(spark, sf)
     tables.write_lists(tables.lists_sorted(truth_of(s1, tgt), s1), folder)
@@ -1102,7 +1166,7 @@ def a08_token_frequency(spark, sf):
     return s1.select("country_norm", F.explode(X.token_set(F.col("name_norm"))).alias("token")).groupBy("country_norm", "token").agg(F.count("*").alias("n"))
 
 
-@query()
+@query("SELECT t2 AS threshold_s2, t3 AS threshold_s3, round(score, 9) AS score FROM src", f"{FP}, {GRID}, {_sources_sql('src', '3', False)}")
 def d04_source_thresholds(spark, sf):
     s1, tgt = sides(spark, sf)
     r = decision.source_thresholds(decision.scored_pairs(ranked_pairs(s1, tgt)).persist(), truth_of(s1, tgt), s1.withColumnRenamed("entity_id", S_ID), 3)
@@ -1127,24 +1191,32 @@ def d07_rule_evaluation(spark, sf):
 
 def _labelled(spark, sf):
     s1, tgt = sides(spark, sf)
-    rows = features.labelled(features.pair_features(ranked_pairs(s1, tgt), s1, tgt, arrow=False), truth_of(s1, tgt))
+    rows = features.labelled(features.pair_features(ranked_pairs(s1, tgt), s1, tgt), truth_of(s1, tgt))
     return rows.join(s1.select(F.col("entity_id").alias(S_ID), "country_norm"), S_ID)
 
 
 @query()
 def m09_transfer(spark, sf):
-    rows = _labelled(spark, sf).persist()
-    en = F.col("country_norm") == "en"
-    return model.transferred(rows.where(en), rows.where(~en)).select(*PAIR, "label", "probability")
+    """Each country's pairs by a model of all other countries' pairs."""
+    return model.transferred(_labelled(spark, sf)).select(*PAIR, "country_norm", "label", "probability")
 
 
 @query()
-def m11_feature_cache(spark, sf):
-    import uuid
+def m10_parameter_search(spark, sf):
+    """Four fixed sets of options, fitted on the fit part and scored on the tune part; the first of the best wins."""
+    rows = _labelled(spark, sf)
+    ids = rows.groupBy(S_ID).agg(F.max(F.col("label") == 1).alias("matched"))
+    rows = rows.join(sampling.three_way_split(ids).select(S_ID, "split"), S_ID)
+    found = model.searched(rows.where("split = 'fit'"), rows.where("split = 'tune'"))
+    return spark.createDataFrame([(k, o.get("maxDepth"), o.get("maxIter"), o.get("stepSize"), score, best) for k, (o, score, best) in enumerate(found)], "ord int, depth int, trees int, step double, score double, best boolean")
+
 
+@query(f"SELECT {PAIR_SQL}, (EXISTS (SELECT 1 FROM truth t WHERE t.s = p.s AND t.c = p.c))::INT AS label, sk AS country_norm, " + ", ".join(f"{v} AS f_{k}" for k, v in FEATURE_SQL.items()) + f" FROM (SELECT q.*, r.candidate_rank, {_GRAMS('sn')} AS gs, {_GRAMS('cn')} AS gc FROM pairs q JOIN ranked r USING (s, c)) p", FP)
+def m11_feature_cache(spark, sf):
+    """All features are written; those that SQL has are read back, as any column of a cache is."""
     folder = f"{_scratch(spark)}/features-{uuid.uuid4().hex}"
     tables.write_parts(_labelled(spark, sf), folder)
-    return tables.read_parts(spark, folder)
+    return tables.read_parts(spark, folder).select(*PAIR, "label", "country_norm", *[f"f_{k}" for k in FEATURE_SQL])
 
 
 _COUNTS = """
@@ -1164,6 +1236,128 @@ def m12_recall_measurement(spark, sf):
     return audit.select(*[F.round(c, 9).alias(c) for c in audit.columns]).crossJoin(metrics.miss_breakdown(ids, found, truth))
 
 
+# file checks, loads and sinks
+
+_FILES = {"good": "source1_entity_id\tmatched_entity_ids\nS1-1\tS2-1", "empty": "", "commas": "source1_entity_id,matched_entity_ids\nS1-1,S2-1", "header": "id\tmatched_entity_ids\nS1-1\tS2-1"}
+
+
+@query("SELECT * FROM (VALUES ('commas', 'comma-separated'), ('empty', 'empty'), ('good', NULL), ('header', 'wrong header'), ('nowhere', 'missing')) v(file, fault)")
+def q01_file_faults(spark, sf):
+    folder = f"{_scratch(spark)}/faults-{uuid.uuid4().hex}"
+    found = []
+    for name, text in _FILES.items():
+        lines = spark.createDataFrame([(x,) for x in text.split("\n")], "value string")
+        lines.where(F.lit(text != "")).coalesce(1).write.text(f"{folder}/{name}")
+    for name in (*_FILES, "nowhere"):
+        found.append((name, checks.header_fault(spark, f"{folder}/{name}", tables.TRUTH)))
+    return spark.createDataFrame(found, "file string, fault string")
+
+
+LINES = """
+ln AS (SELECT a.entity_id AS s, CASE WHEN a.entity_id LIKE '%4' THEN a.entity_id ELSE a.entity_id || chr(9) || coalesce(string_agg(t.c, ',' ORDER BY t.c), '') END AS value FROM s1 a LEFT JOIN truth t ON t.s = a.entity_id GROUP BY a.entity_id)"""
+
+
+@query("SELECT trim(split_part(value, chr(9), 1)) AS source1_entity_id, split_part(value, chr(9), 2) AS matched_entity_ids, NOT contains(value, chr(9)) AS malformed FROM ln", f"{NORM}, {LINES}")
+def q02_malformed_rows(spark, sf):
+    t = truth_table(*sides(spark, sf))
+    lines = t.select(F.when(F.col(S_ID).endswith("4"), F.col(S_ID)).otherwise(F.concat_ws("\t", S_ID, "matched_entity_ids")).alias("value"))
+    return checks.parsed(lines)
+
+
+GATE = f"""
+en AS (SELECT entity_id FROM s1 WHERE country_norm = 'en'),
+el AS (SELECT lists.* FROM lists JOIN en ON en.entity_id = s),
+ee AS (SELECT s, unnest(list_filter(string_split(l, ','), lambda t: t <> '')) AS id FROM el),
+cl AS (SELECT DISTINCT s FROM cand JOIN en ON en.entity_id = s WHERE p >= 0.5),
+og AS (
+    SELECT 'duplicate_s1' AS chk, s AS o FROM el GROUP BY s HAVING count(*) > 1
+    UNION ALL SELECT DISTINCT 'duplicate_id_in_list', s FROM el WHERE len(string_split(l, ',')) <> len(list_distinct(string_split(l, ',')))
+    UNION ALL SELECT DISTINCT 'bad_prefix', id FROM ee WHERE id NOT LIKE 'S1-%' AND id NOT LIKE 'S2-%' AND id NOT LIKE 'S3-%'
+    UNION ALL SELECT 'missing_s1', entity_id FROM en WHERE entity_id NOT IN (SELECT s FROM el)
+    UNION ALL SELECT 'candidates_missing_s1', entity_id FROM en WHERE entity_id NOT IN (SELECT s FROM cl)
+    UNION ALL SELECT DISTINCT 'not_a_candidate', ee.s FROM ee WHERE NOT EXISTS (SELECT 1 FROM cand WHERE p >= 0.5 AND cand.s = ee.s AND cand.c = ee.id)
+)"""
+
+
+@query('SELECT chk AS "check", count(DISTINCT o) AS n, array_to_string((list_sort(list_distinct(list(o))))[1:5], \',\') AS sample FROM og GROUP BY 1', f"{FP}, {BAD}, {GATE}")
+def q10_country_gate(spark, sf):
+    lists, s1, tgt = _faulty(spark, sf)
+    given = ranked_pairs(s1, tgt).where("probability >= 0.5")
+    candidates = tables.lists_by_rank(given, given.select(F.col(S_ID).alias("entity_id")).distinct(), "candidate_rank", "candidate_entity_ids")
+    return checks.country_gate(lists, s1, "en", candidates)
+
+
+@query("SELECT * FROM (VALUES ('global', 0.9::DOUBLE, 0.9::DOUBLE, NULL, false), ('global', 0.95, 0.95, 8, false), ('source_specific', 0.7, 0.8, 3, true)) v(mode, threshold_s2, threshold_s3, cap, bipartite)")
+def s17_rule_decode(spark, sf):
+    texts = ('{"threshold": 0.9, "cap": null}', '{"mode": "global", "threshold": 0.95, "cap": 8}', '{"mode": "source_specific", "threshold_s2": 0.7, "threshold_s3": 0.8, "cap": 3, "bipartite": true}')
+    found = [tables.read_rule(t) for t in texts]
+    return spark.createDataFrame([(r["mode"], r["threshold_s2"], r["threshold_s3"], r["cap"], r["bipartite"]) for r in found], "mode string, threshold_s2 double, threshold_s3 double, cap int, bipartite boolean")
+
+
+@query(f"SELECT {PAIR_SQL}, true AS same FROM cand", FP)
+def s16_model_load(spark, sf):
+    """A model that is saved and loaded gives the probabilities that it gave before."""
+    rows = _labelled(spark, sf).persist()
+    made = model.train(rows, maxIter=10)
+    folder = f"{_scratch(spark)}/model-{uuid.uuid4().hex}"
+    made.save(folder)
+    again = model.MatchModel.load(folder).predict(rows).select(*PAIR, F.col("probability").alias("q"))
+    return made.predict(rows).select(*PAIR, "probability").join(again, PAIR).select(*PAIR, (F.col("probability") == F.col("q")).alias("same"))
+
+
+@query(f"SELECT {PAIR_SQL}, true AS same FROM cand", FP)
+def m06_predict(spark, sf):
+    """Columns that the rows lack count as 0, and further columns make no difference."""
+    rows = _labelled(spark, sf).persist()
+    made = model.train(rows, maxIter=10)
+    zero = made.predict(rows.withColumn("f_name_jaccard", F.lit(0.0)).withColumn("f_extra", F.lit(7.0))).select(*PAIR, F.col("probability").alias("q"))
+    return made.predict(rows.drop("f_name_jaccard")).join(zero, PAIR).select(*PAIR, ((F.col("probability") == F.col("q")) & F.col("probability").between(0, 1)).alias("same"))
+
+
+@query(f"SELECT {PAIR_SQL}, a.country_norm, p AS probability FROM cand JOIN s1 a ON a.entity_id = s", FP)
+def k05_parquet_sinks(spark, sf):
+    s1, tgt = sides(spark, sf)
+    folder = f"{_scratch(spark)}/pairs-{uuid.uuid4().hex}"
+    rows = first_token_pairs(s1, tgt).join(s1.select(F.col("entity_id").alias(S_ID), "country_norm"), S_ID)
+    for _ in range(2):  # a rerun overwrites what it holds
+        tables.write_parts(rows, folder)
+    return tables.read_parts(spark, folder).select(*PAIR, "country_norm", "probability")
+
+
+@query(f"SELECT round(avg({_F('tp', 'np', 'nt')}), 9) AS score, count(*) AS n FROM ent_counts", f"{FP}, {PRED}")
+def k06_json_metrics(spark, sf):
+    ids, kept, truth, *_ = _pred(spark, sf)
+    folder = f"{_scratch(spark)}/metrics-{uuid.uuid4().hex}"
+    tables.write_json(spark, metrics.macro_fbeta(ids, kept, truth).first().asDict(), folder)
+    return spark.read.schema("score double, n long").json(folder).select(F.round("score", 9).alias("score"), "n")
+
+
+@query("SELECT line FROM (SELECT a.entity_id || chr(9) || coalesce(string_agg(t.c, ',' ORDER BY t.c), '') AS line FROM s1 a LEFT JOIN truth t ON t.s = a.entity_id GROUP BY a.entity_id)", NORM)
+def k07_resumed_batches(spark, sf):
+    """Countries written one after the other; what a broken run left of a country is written anew, so that nothing is there twice."""
+    s1, tgt = sides(spark, sf)
+    folder = f"{_scratch(spark)}/batches-{uuid.uuid4().hex}"
+    lists = tables.lists_sorted(truth_of(s1, tgt), s1).join(s1.select(F.col("entity_id").alias(S_ID), "country_norm"), S_ID)
+    en = F.col("country_norm") == "en"
+    tables.write_parts(lists.where(en).limit(3), folder)
+    tables.write_parts(lists.where(en), folder)
+    tables.write_parts(lists.where(~en), folder)
+    return tables.read_parts(spark, folder).select(F.concat_ws("\t", S_ID, "matched_entity_ids").alias("line"))
+
+
+@query("""SELECT count(*) AS missed, count(*) FILTER (n > 0) AS shared_key, count(*) FILTER (n = 0) AS no_shared_key FROM (
+    SELECT t.s, t.c, count(k.value) AS n FROM truth t LEFT JOIN (SELECT s, c FROM keyed WHERE rank <= 2) q ON q.s = t.s AND q.c = t.c
+    LEFT JOIN (SELECT DISTINCT x.entity_id AS s, y.entity_id AS c, x.kind, x.value FROM allkeys x JOIN allkeys y USING (country_norm, kind, value)) k ON k.s = t.s AND k.c = t.c
+    WHERE q.s IS NULL GROUP BY 1, 2)""", f"RECURSIVE {NORM}, {KEYS}, {KEYED}")
+def m13_failure_diagnosis(spark, sf):
+    """True pairs that are not among the best two keyed candidates: those that share a key were cut, the others were never met."""
+    s1, tgt = sides(spark, sf)
+    index = blocking.KeyIndex.of(tgt).persisted()
+    found = blocking.keyed_blocking(s1, index, blocking.BlockingConfig(top_k=2))
+    missed = blocking.missed_by_keys(truth_of(s1, tgt), found, keys.keys(s1, index.frequency), index.target_keys)
+    return missed.agg(F.count("*").alias("missed"), F.count_if(F.col("shared_keys") > 0).alias("shared_key"), F.count_if(F.col("shared_keys") == 0).alias("no_shared_key"))
+
+
 def queries():
     return dict(QUERIES)
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 import os
+import re
+import tempfile
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -21,14 +23,27 @@ def guarded(path: str | os.PathLike) -> str:
     return str(path)
 
 
-def read_tsv(spark: SparkSession, path: str, columns: tuple[str, ...] = RECORD) -> DataFrame:
-    """The named columns of a tab-separated file with a header, as strings; empty cells are empty strings."""
-    reader = spark.read.option("sep", "\t").option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True)
-    with_names = reader.csv(path)
-    if missing := [c for c in columns if c not in with_names.columns]:
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, or one of our own where all run on one machine."""
+    found = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        found = tempfile.mkdtemp(prefix="corvane-")
+    return found.rstrip("/")
+
+
+def read_tsv(spark: SparkSession, path: str, columns: tuple[str, ...] = RECORD, line_breaks: bool = False, header: tuple[str, ...] | None = None) -> DataFrame:
+    """The named columns of a tab-separated file with a header, as strings; empty cells are empty strings.
+
+    Files are split among tasks unless quoted cells may hold ``line_breaks``.  With the ``header`` given, no job reads it.
+    """
+    reader = spark.read.option("sep", "\t").option("header", True).option("quote", '"').option("escape", '"').option("multiLine", line_breaks)
+    names = header or reader.option("inferSchema", False).csv(path).columns
+    if missing := [c for c in columns if c not in names]:
         raise ValueError(f"{path} lacks the columns {missing}")
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in with_names.columns])
-    return reader.schema(schema).csv(path).select(*columns).na.fill("")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    return reader.schema(schema).option("enforceSchema", True).csv(path).select(*columns).na.fill("")
 
 
 def read_source(spark: SparkSession, path: str, source: str | None = None) -> DataFrame:
@@ -149,8 +164,9 @@ def write_parts(rows: DataFrame, folder: str) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("country_norm").parquet(folder)
 
 
-def write_json(values: dict, path: str) -> None:
-    Path(path).write_text(json.dumps(values, indent=2, sort_keys=True))
+def write_json(spark: SparkSession, values: dict, folder: str) -> None:
+    """One line of JSON, in a folder that Spark reaches."""
+    spark.createDataFrame([(json.dumps(values, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(folder)
 
 
 def read_rule(text: str) -> dict:

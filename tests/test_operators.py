@@ -146,8 +146,9 @@ def test_grid_agrees_with_single_rules(spark):
     rows = scored(spark, [(s, f"S{2 + k % 2}-{k}", round(r.random(), 3), k) for s in ids for k in range(6)])
     truth = spark.createDataFrame([(s, f"S2-{2 * r.randrange(3)}") for s in ids[:6]], "source1_entity_id string, candidate_entity_id string")
     s1 = spark.createDataFrame([(s,) for s in ids], "source1_entity_id string")
-    for bipartite in (False, True):
-        got = decision.grid_scores(rows, truth, s1, decision.grid(spark, [0.3, 0.6], caps=[None, 1]), bipartite).collect()
+    for bipartite, s2, s3 in [(b, *x) for b in (False, True) for x in (([0.3, 0.6], None), ([0.2, 0.4, 0.9], [0.5]), ([0.6], [0.1, 0.5]), ([0.4], [0.4]))]:
+        got = decision.grid_scores(rows, truth, s1, s2, s3, [None, 1, 3], bipartite).collect()
+        assert [(g["s2"], g["s3"], g["cap"]) for g in sorted(got, key=lambda g: g["ord"])] == [(a, b, c) for a in s2 for b in (s3 or [a]) for c in (None, 1, 3)]
         for g in got:
             kept = decision.decided(rows, g["s2"], g["s3"], g["cap"])
             kept = decision.exclusive(kept) if bipartite else kept
