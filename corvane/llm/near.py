@@ -13,7 +13,7 @@ at similarity 0.8 a pair is missed with probability (1 - 0.8**6)**24, under 0.00
 Candidates are verified by their whole shingle sets, and verified links joined into
 classes.  First each document is compared with the smallest id that it shares a bucket
 with.  A bucket that then still holds several classes takes its smallest member as
-pivot and compares it with all members of other classes, and so on with four times as
+pivot and compares it with all members of other classes, and so on with sixteen times as
 many further pivots in each round, until one class is left or the pivots are used up.
 No pair within a class need be made, so a bucket of n copies costs some n comparisons,
 not their square.
@@ -43,16 +43,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import field, released, unpacked, whole_row, written
+from .common import field, released, unpacked, whole_row, written, written_with
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 6
-#: Characters of texts that are worked on at once (one text at least), and bytes of words that a worker keeps.
+#: Characters of texts that are worked on at once (one text at least), and bytes of them.
 PART_CHARS = 500_000
-STORE_BYTES = 16 << 20
+STRETCH = 1 << 18
+#: Edges that one task joins up, instead of rounds of shuffles.
+FEW_EDGES = 100_000
 #: Each round takes so many times the pivots of the round before.
-STEP = 4
+STEP = 16
 
 _U = np.uint64
 
@@ -64,31 +66,51 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-class Words(dict):
-    """The hash of each word; starts anew when it holds about ``most`` bytes."""
+_BLANK = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
 
-    def __init__(self, most: int = STORE_BYTES) -> None:
-        super().__init__()
-        self.most, self.held = most, 0
 
-    def __missing__(self, word: bytes) -> int:
-        h = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        if self.held > self.most:
-            self.clear()
-            self.held = 0
-        # the word, its hash and their place
-        self.held += len(word) + 150
-        self[word] = h
-        return h
+def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the words of all texts, one after the other, and how many words each text has.
 
-
-def shingles(words: list[bytes], store: Words, size: int = SHINGLE) -> np.ndarray:
-    """The hashes of the shingles of a text, one for each place."""
-    if not words:
+    A word's hash is the sum of a hash of each byte and its place.  Bytes are worked on by stretches, so that a
+    text of any length, or one long word, needs little more than its own size.
+    """
+    raw = [(t or "").encode() for t in texts]
+    ends = np.cumsum([len(r) + 1 for r in raw])
+    b = np.frombuffer(b" ".join([*raw, b""]), np.uint8)
+    del raw
+    blank = _BLANK[b]
+    start = np.flatnonzero(~blank & np.concatenate([[True], blank[:-1]])[: len(b)])
+    out = np.zeros(len(start), _U)
+    for lo in range(int(start[0]) if len(start) else len(b), len(b), STRETCH):
+        hi = min(lo + STRETCH, len(b))
+        first, past = np.searchsorted(start, lo, "right") - 1, np.searchsorted(start, hi)
+        cut = np.maximum(start[first:past], lo) - lo
+        place = np.arange(lo, hi) - np.repeat(start[first:past], np.diff(np.append(cut, hi - lo)))
+        value = mix(place.astype(_U) * _U(256) + b[lo:hi] + _U(0xC2B2AE3D27D4EB4F))
+        value[blank[lo:hi]] = 0
+        out[first:past] += np.add.reduceat(value, cut)
+    return out, np.bincount(np.searchsorted(ends, start, "right"), minlength=len(texts))
+
+
+def shingles(texts: list[str | None], size: int = SHINGLE) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """The hashes of the words and of the shingles of each text, one for each place; all texts are worked on together."""
+    h, counts = word_hashes(texts)
+    whole = _folded(h, size)
+    words, out, at = [], [], 0
+    for n in counts.tolist():
+        words.append(h[at : at + n])
+        # a text of fewer words is one shingle, one without a word has none
+        out.append(whole[at : at + n - size + 1] if n >= size else _folded(words[-1], n))
+        at += n
+    return words, out
+
+
+def _folded(h: np.ndarray, n: int) -> np.ndarray:
+    """One hash for each ``n`` neighbours."""
+    if not 0 < n <= len(h):
         return np.empty(0, _U)
-    h = np.fromiter(map(store.__getitem__, words), _U, len(words))
-    n = min(size, len(words))
-    out = np.full(len(words) - n + 1, n, _U)
+    out = np.full(len(h) - n + 1, n, _U)
     for k in range(n):
         out = mix(out * _U(0x9E3779B97F4A7C15) + h[k : len(h) - n + k + 1])
     return out
@@ -107,9 +129,11 @@ def signatures(elements: list[np.ndarray], weights: list[np.ndarray] | None = No
     doc = np.repeat(np.arange(len(elements)), sizes)
     total = np.bincount(doc, w, len(elements)) if len(e) else np.zeros(len(elements))
     layers = np.ceil(w).astype(np.int64)
-    layer = np.arange(layers.sum()) - np.repeat(np.cumsum(layers) - layers, layers)
-    top = np.minimum(1.0, np.repeat(w, layers) - layer)
-    e, doc = mix(np.repeat(e, layers) + layer.astype(_U) * _U(0xD1342543DE82EF95)), np.repeat(doc, layers)
+    if (layers != 1).any():
+        layer = np.arange(layers.sum()) - np.repeat(np.cumsum(layers) - layers, layers)
+        w, e, doc = (np.repeat(x, layers) for x in (w, e, doc))
+        w, e = w - layer, e + layer.astype(_U) * _U(0xD1342543DE82EF95)
+    top, e = np.minimum(1.0, w), mix(e)
     signature, first = np.zeros(len(elements) * k, _U), np.full(len(elements) * k, np.inf)
     below = (k * (math.log(k) + 2)) / np.maximum(total, 1e-300)
     todo = total > 0
@@ -122,20 +146,30 @@ def signatures(elements: list[np.ndarray], weights: list[np.ndarray] | None = No
 
 
 def _throw(e, doc, top, below, k, signature, first) -> None:
+    """Throw the darts of each element (one in each layer of its region) that arrive below a rank, several at a time where few elements are left."""
     rank, j = np.zeros(len(e)), 0
     limit = below[doc]
     while len(e):
-        j += 1
-        dart = mix(e + _U(j * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
-        rank = rank - np.log(((dart >> _U(11)).astype(float) + 0.5) * 2.0**-53)
-        on = rank < limit
-        e, doc, top, limit, rank, dart = e[on], doc[on], top[on], limit[on], rank[on], dart[on]
+        n = max(1, min(256, 8192 // len(e)))
+        dart = mix(e[:, None] + np.arange(j + 1, j + n + 1, dtype=_U) * _U(0x9E3779B97F4A7C15))
+        j += n
+        gap = -np.log(((dart >> _U(11)).astype(float) + 0.5) * 2.0**-53)
+        # added one by one, whatever their number, so that ranks are the same to the last bit
+        gap[:, 0] += rank
+        ranks = np.cumsum(gap, axis=1)
+        on = ranks < limit[:, None]
+        last = on[:, -1]
+        at, dart, came = np.repeat(np.arange(len(e)), on.sum(axis=1)), dart[on], ranks[on]
         place = mix(dart ^ _U(0xA0761D6478BD642F))
-        hit = np.ones(len(e), bool) if (top >= 1).all() else (mix(dart + _U(0xE7037ED1A0B428DB)) >> _U(11)).astype(float) * 2.0**-53 < top
-        cell = doc[hit] * k + (place[hit] % _U(k)).astype(np.int64)
-        np.minimum.at(first, cell, rank[hit])
-        won = first[cell] == rank[hit]
-        signature[cell[won]] = dart[hit][won]
+        high = top[at]
+        if (high < 1).any():
+            hit = (mix(dart + _U(0xE7037ED1A0B428DB)) >> _U(11)).astype(float) * 2.0**-53 < high
+            at, dart, came, place = at[hit], dart[hit], came[hit], place[hit]
+        cell = doc[at] * k + (place % _U(k)).astype(np.int64)
+        np.minimum.at(first, cell, came)
+        won = first[cell] == came
+        signature[cell[won]] = dart[won]
+        e, doc, top, limit, rank = e[last], doc[last], top[last], limit[last], ranks[last, -1]
 
 
 def band_keys(signature: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
@@ -172,12 +206,11 @@ def signed(df: DataFrame, id: str = "doc_id", text: str = "text", weighting: str
     """(id, key, bands): ``key`` identifies the word sequence; ``bands`` is null for texts without a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store = Words()
         for batch in batches:
             for ids, texts in _parts(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = [(t or "").encode().split() for t in texts]
-                keys = [hashlib.sha256(b" ".join(w)).digest()[:16] for w in words]
-                found = [np.unique(shingles(w, store), return_counts=True) for w in words]
+                words, places = shingles(texts)
+                keys = [hashlib.sha256(w.tobytes()).digest()[:16] for w in words]
+                found = [np.unique(x, return_counts=True) for x in places]
                 some = np.array([len(w) > 0 for w in words], bool)
                 # the elements of a set weigh 1, those of a multiset their count
                 weights = [c if weighting == "count" else np.ones(len(c)) for _, c in found]
@@ -195,10 +228,9 @@ def shingle_sets(df: DataFrame) -> DataFrame:
     """(id, set, n) from (id, text): 32 bits of each shingle's hash, sorted, without repeats, and how many shingles differ."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store = Words()
         for batch in batches:
             for ids, texts in _parts(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                whole = [np.unique(shingles((t or "").encode().split(), store)) for t in texts]
+                whole = [np.unique(x) for x in shingles(texts)[1]]
                 sets = [np.unique((h >> _U(32)).astype(np.uint32)).tobytes() for h in whole]
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary()), pa.array([len(h) for h in whole], pa.int64())], names=["id", "set", "n"])
         released()
@@ -214,10 +246,9 @@ def rare_shingles(df: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store = Words()
         for batch in batches:
             for ids, texts in _parts(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                sets = [np.unique(shingles((t or "").encode().split(), store)) for t in texts]
+                sets = [np.unique(x) for x in shingles(texts)[1]]
                 h, owner = np.concatenate(sets), np.repeat(np.array(ids, np.int64), [len(x) for x in sets])
                 order = np.lexsort((owner, h))
                 h, owner = h[order], owner[order]
@@ -251,8 +282,32 @@ def verified(pairs: DataFrame, sets: DataFrame, least: float = SIMILARITY) -> Da
     return found.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(id, least) for each id in the edges (a, b): the smallest id it is linked with, by alternating large and small stars."""
+def joined_up(edges: DataFrame) -> DataFrame:
+    """(id, least) for each id in the edges (a, b), by a union of sets in one task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while (up := parent.setdefault(x, x)) != x:
+                parent[x] = x = parent[up]
+            return x
+
+        for batch in batches:
+            for a, b in zip(*(c.to_pylist() for c in batch.columns)):
+                a, b = find(a), find(b)
+                parent[max(a, b)] = min(a, b)
+        ids = list(parent)
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([find(x) for x in ids], pa.int64())], names=["id", "least"])
+
+    return edges.coalesce(1).mapInArrow(run, "id long, least long")
+
+
+def components(edges: DataFrame, few: int = FEW_EDGES) -> DataFrame:
+    """(id, least) for each id in the edges (a, b): the smallest id it is linked with, by alternating large and small stars.
+
+    What one task can do (``few`` edges at most, a fixed number) is left to one task; the result is the same.
+    """
 
     def star(e: DataFrame, large: bool) -> DataFrame:
         flipped = e.select(F.col("b").alias("a"), F.col("a").alias("b"))
@@ -265,27 +320,31 @@ def components(edges: DataFrame) -> DataFrame:
             moved = rows.select("b", "m").unionByName(least.select(F.col("a").alias("b"), "m"))
         return moved.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
-    now, before = written(edges.where("a <> b").distinct()), None
-    while True:
-        sign = now.select(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if sign == before:
-            break
+    now, sign = written_with(edges.where("a <> b").distinct(), **_sign("a", "b"))
+    if sign.get("rows", 0) <= few:
+        return joined_up(now)
+    before = None
+    while sign != before:
         before = sign
-        now = written(star(star(now, True), False))
+        now, sign = written_with(star(star(now, True), False), **_sign("a", "b"))
     return now.groupBy("a").agg(F.min("b").alias("least")).select(F.col("a").alias("id"), "least")
 
 
 def roots(parents: DataFrame) -> DataFrame:
     """(id, least) of a forest (id, parent) with smaller parents, by pointer jumping: a row for each id that is no root."""
-    now, before = parents.select("id", F.col("parent").alias("least")), None
-    while True:
-        now = written(now)
-        sign = now.select(F.count("*"), F.sum(F.xxhash64("id", "least").cast("decimal(38,0)"))).first()
-        if sign == before:
-            return now
+    now, sign = written_with(parents.select("id", F.col("parent").alias("least")), **_sign("id", "least"))
+    before = None
+    while sign != before:
         before = sign
         above = now.select(F.col("id").alias("p"), F.col("least").alias("q"))
-        now = now.join(above, F.col("least") == F.col("p"), "left").select("id", F.coalesce("q", "least").alias("least"))
+        jumped = now.join(above, F.col("least") == F.col("p"), "left").select("id", F.coalesce("q", "least").alias("least"))
+        now, sign = written_with(jumped, **_sign("id", "least"))
+    return now
+
+
+def _sign(a: str, b: str) -> dict[str, Column]:
+    """Rows and the sum of their hashes, by which a table is known again."""
+    return {"rows": F.count("*"), "sign": F.sum(F.xxhash64(a, b).cast("decimal(38,0)"))}
 
 
 def _class_of(rows: DataFrame, classes: DataFrame, of: str, name: str) -> DataFrame:
@@ -310,7 +369,7 @@ def near_groups(df: DataFrame, id: str = "doc_id", text: str = "text", least: fl
     first = written(rows.groupBy("key").agg(F.min("id").alias("rep")))
     reps = rows.where("bands is not null and id is not null").join(first.withColumnRenamed("key", "k"), (F.col("key") == F.col("k")) & (F.col("id") == F.col("rep")))
     members = written(reps.select("rep", F.explode("bands").alias("bucket")))
-    buckets = members.groupBy("bucket").agg(F.min("rep").alias("pivot"), F.max("rep").alias("last")).where("pivot < last").select("bucket", "pivot")
+    buckets = written(members.groupBy("bucket").agg(F.min("rep").alias("pivot"), F.max("rep").alias("last")).where("pivot < last").select("bucket", "pivot"))
     members = written(members.join(buckets, "bucket").select("bucket", "rep", "pivot").distinct())
     wanted = members.select(F.col("rep").alias("id")).distinct()
     texts = df.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
@@ -318,17 +377,17 @@ def near_groups(df: DataFrame, id: str = "doc_id", text: str = "text", least: fl
     # one comparison for each document first: with the smallest id that it shares a bucket with
     pairs = members.where("rep <> pivot").groupBy(F.col("rep").alias("a")).agg(F.min("pivot").alias("b"))
     classes = roots(verified(pairs, sets, least).groupBy(F.col("a").alias("id")).agg(F.min("b").alias("parent")))
-    left, most = _unsettled(members.select("bucket", "rep"), classes), 1
+    (left, _), most = _unsettled(members.select("bucket", "rep"), classes), 1
     undecided = written(left.groupBy(F.col("rep").alias("id")).agg(F.collect_set("bucket").alias("among")))
     rare = written(rare_shingles(texts.join(undecided.select("id").hint("merge"), "id")))
     sizes = written(_sizes(sets.select("id", "n").join(undecided.select("id"), "id"), rare))
-    more = written(verified(_rare_pairs(rare, sizes, classes, least), sets, least))
-    if not more.isEmpty():
+    more, found = written_with(verified(_rare_pairs(rare, sizes, classes, least), sets, least), rows=F.count("*"))
+    if found.get("rows"):
         classes = _joined(classes, more)
     left = left.select("bucket", "rep").join(sizes.join(undecided, "id").withColumnRenamed("id", "rep"), "rep")
     while True:
-        left = _unsettled(left, classes, least)
-        if left.isEmpty():
+        left, open_ = _unsettled(left, classes, least)
+        if not open_.get("rows"):
             break
         ranked = left.withColumn("at", F.row_number().over(Window.partitionBy("bucket").orderBy("rep")))
         pivots = written(ranked.where(F.col("at") <= most).drop("at"))
@@ -336,9 +395,9 @@ def near_groups(df: DataFrame, id: str = "doc_id", text: str = "text", least: fl
         # of all buckets that a pair shares one makes it
         near = _reaches(F.least("r", "s"), F.col("n") + F.col("m"), least) & (F.array_min(F.array_intersect("among", "with")) == F.col("bucket"))
         found = pivots.join(other, (F.col("bucket") == F.col("k")) & (F.col("rep") < F.col("a")) & (F.col("class") != F.col("c")) & near)
-        more = written(verified(found.select("a", F.col("rep").alias("b")), sets, least))
+        more, linked = written_with(verified(found.select("a", F.col("rep").alias("b")), sets, least), rows=F.count("*"))
         left = left.join(pivots.select("bucket", "rep"), ["bucket", "rep"], "left_anti").select("bucket", "rep", "n", "r", "among")
-        if not more.isEmpty():
+        if linked.get("rows"):
             classes = _joined(classes, more)
         most *= STEP
     named = _class_of(rows.select("id", "key").join(first, "key"), classes, "rep", "class").select(F.col("id").alias(id), F.when(F.col("id").isNotNull(), F.col("class")).alias("class_id"))
@@ -367,8 +426,8 @@ def _rare_pairs(rare: DataFrame, sizes: DataFrame, classes: DataFrame, least: fl
     return met.where(_reaches(F.col("met") + F.least("r", "s"), F.col("n") + F.col("m"), least)).select("a", "b")
 
 
-def _unsettled(members: DataFrame, classes: DataFrame, least: float | None = None) -> DataFrame:
-    """The members of buckets that hold several classes, with their class.
+def _unsettled(members: DataFrame, classes: DataFrame, least: float | None = None) -> tuple[DataFrame, dict]:
+    """The members of buckets that hold several classes, with their class, and how many there are.
 
     With ``least``, members have ``n`` and ``r``, and those that reach no size of text
     from the bucket's smallest on go too.
@@ -378,10 +437,11 @@ def _unsettled(members: DataFrame, classes: DataFrame, least: float | None = Non
         rows = rows.where(F.col("r") >= F.col("n") * least - 1e-6)
     low = [F.min("n").alias("low")] if least is not None else []
     open_ = rows.groupBy("bucket").agg(F.min("class").alias("x"), F.max("class").alias("y"), *low).where("x < y").drop("x", "y")
-    rows = rows.join(open_, "bucket")
+    # written for the same reason as the first ids of keys
+    rows = rows.join(written(open_), "bucket")
     if least is not None:
         rows = rows.where(_reaches(F.col("r"), F.col("n") + F.col("low"), least)).drop("low")
-    return written(rows)
+    return written_with(rows, rows=F.count("*"))
 
 
 def drop_near_copies(df: DataFrame, id: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:

@@ -189,8 +189,10 @@ def test_components(spark):
     for a, b in edges:
         x, y = find(a), find(b)
         parent[max(x, y)] = min(x, y)
-    got = {x["id"]: x["least"] for x in near.components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert all(got.get(x, x) == find(x) for x in parent)
+    for few in (0, 1000):
+        got = {x["id"]: x["least"] for x in near.components(spark.createDataFrame(edges, "a long, b long"), few).collect()}
+        assert all(got.get(x, x) == find(x) for x in parent)
+        assert near.components(spark.createDataFrame([], "a long, b long"), few).count() == 0
 
 
 # columns named like those that the operators add for themselves
@@ -452,7 +454,7 @@ def test_pipeline_equals_plain_version(spark):
 
     docs = table(spark, SF, "documents")
     model = quality.fitted(docs, table(spark, SF, "labels"))
-    score = model.scorer().score
+    score = model.score
     rows = [tuple(r) for r in docs.collect()]
     rows = [r for r in rows if score(r[1] or "") >= PREDICTED_FROM]
     kept = {i for i, keep, *_ in brute.exact([r[:2] for r in rows]) if i == keep}
