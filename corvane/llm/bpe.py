@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .common import released
+
 #: Bytes of pre-tokens and their ids that each worker keeps, about; when full, the store starts anew.
 CACHE_BYTES = 32 << 20
 #: Only pre-tokens up to this many characters are kept.
@@ -180,7 +182,7 @@ def _vocabulary(df: DataFrame, path: str):
         return df.sparkSession.sparkContext.broadcast(f.read())
 
 
-def _slices(batch: pa.RecordBatch, of: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def _slices(batch: pa.RecordBatch, of: int, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about ``most`` bytes in column ``of``, one row at least."""
     start, held = 0, 0
     for k, n in enumerate(pa.compute.binary_length(batch.column(of)).to_pylist()):
@@ -207,6 +209,7 @@ def encode(df: DataFrame, vocabulary: str, pattern: str, text: str = "text", ids
             for part in _slices(batch, at):
                 out = list(codec.encode([t or "" for t in part.column(at).to_pylist()]))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array([len(b) // 4 for b in out], pa.int64()), pa.array(out, pa.binary())], names=[*part.schema.names, count, ids])
+        released()
 
     return df.mapInArrow(run, schema)
 
@@ -226,5 +229,6 @@ def decode(df: DataFrame, vocabulary: str, pattern: str, ids: str = "ids", decod
             for part in _slices(batch, at):
                 out = [codec.decode(b or b"") for b in part.column(at).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.binary())], names=[*part.schema.names, decoded])
+        released()
 
     return df.mapInArrow(run, schema)
