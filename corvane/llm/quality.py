@@ -7,10 +7,11 @@ probability, and all is trained by stochastic gradient descent in numpy on a bou
 sample of labelled texts, whole texts each.
 
 With a linear output, a text's logit is the average of one number for each bucket, so
-that scoring looks up a number for each word (kept by each worker) and each pair.
+that scoring looks up a number for each n-gram, word and pair.  Buckets are made by
+arithmetic on whole arrays of characters, so no words are kept.
 
-A word is a run without white space, taken whole: its n-grams are gathered in stretches
-of ``STRETCH`` characters, so that a text in one long word needs bounded memory.
+A word is a run without white space, taken whole.  Long texts, and long words, are gone
+through in stretches of ``STRETCH`` characters, so that they need little more than their size.
 
 Defined cases: a null or empty text has no features, its score is that of the bias.
 Repeated rows score alike, an empty table gives an empty table.  Without labels of both
@@ -23,6 +24,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import bounded_rows, released
+from .near import mix, word_hashes
 
 BUCKETS = 1 << 17
 DIMENSIONS = 8
@@ -39,133 +42,107 @@ GRAMS = (3, 4)
 MAX_TEXTS = 4_000
 EPOCHS = 6
 RATE = 0.2
-#: Buckets set apart for how words and lines repeat.
+#: Buckets set apart for how words and lines repeat, and for words in capitals or without letters and digits.
 SAME_WORD, SAME_LINE, UPPER, SYMBOLS = range(4)
 _APART = 16
-#: An n-gram counts once in each stretch of so many characters of a word, the stretch that it begins in.
-STRETCH = 1 << 16
-#: Bytes of words that are kept at most, beyond those of one text.
-MOST_BYTES = 8 << 20
-
-
-def word_grams(word: bytes) -> tuple[Iterator[set[str]], list[int]]:
-    """The character n-grams of each stretch of a word, and the buckets of the whole word and its marks for capitals and symbols only."""
-    text = word.decode("utf-8", "replace")
-    marks = []
-    # a word that is one n-gram with its ends is among them
-    if len(text) + 2 not in GRAMS:
-        marks.append(_APART + zlib.crc32(b">", zlib.crc32(word, zlib.crc32(b"<"))) % (BUCKETS - _APART))
-    if len(text) > 1 and text.isupper():
-        marks.append(UPPER)
-    if not text.isalnum() and not any(c.isalnum() for c in text):
-        marks.append(SYMBOLS)
-    return _stretches(f"<{text}>"), marks
-
-
-def _stretches(marked: str) -> Iterator[set[str]]:
-    for at in range(0, len(marked), STRETCH):
-        part = marked[at : at + STRETCH + GRAMS[-1] - 1]
-        yield {part[i : i + n] for n in GRAMS for i in range(min(STRETCH, len(part) - n + 1))}
-
-
-def gram_bucket(gram: str) -> int:
-    return _APART + zlib.crc32(gram.encode()) % (BUCKETS - _APART)
-
-
-class _GramWeights(dict):
-    """The number of each n-gram's bucket; n-grams beyond some are worked out each time."""
-
-    def __init__(self, weights: np.ndarray) -> None:
-        super().__init__()
-        self.weights = weights
-
-    def __missing__(self, gram: str) -> float:
-        found = float(self.weights[gram_bucket(gram)])
-        if len(self) < 300_000:
-            self[gram] = found
-        return found
-
-
-class Features:
-    """Buckets of whole texts; word numbers, their buckets and hashes are kept and start anew when many."""
-
-    def __init__(self, most: int = 250_000) -> None:
-        self.most = most
-        self.clear()
-
-    def clear(self) -> None:
-        self.held = 0
-        self.number: dict[bytes, int] = {}
-        self.crc = np.zeros(1024, np.int64)
-
-    def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray, int, int]:
-        """Word numbers in order, buckets of the pairs, repeated words, words in repeated lines."""
-        if len(self.number) > self.most or self.held > MOST_BYTES:
-            self.clear()
-        raw = text.encode()
-        words = raw.split()
-        number = self.number
-        try:
-            ids = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
-        except KeyError:
-            for w in words:
-                if w not in number:
-                    k = number[w] = len(number)
-                    self.held += len(w)
-                    if k == len(self.crc):
-                        self.crc = np.concatenate([self.crc, np.zeros_like(self.crc)])
-                    self.crc[k] = zlib.crc32(w)
-                    self.new(k, w)
-            ids = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
-        seen, again = set(), 0
-        for line in raw.split(b"\n"):
-            if line in seen:
-                again += len(line.split())
-            seen.add(line)
-        return ids, self.pairs(ids), int(np.count_nonzero(ids[1:] == ids[:-1])), again
-
-    def new(self, k: int, word: bytes) -> None:
-        """Called for each new word and its number."""
-
-    def pairs(self, ids: np.ndarray) -> np.ndarray:
-        h = self.crc[ids].astype(np.uint64)
-        mixed = h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:] * np.uint64(0xC2B2AE3D27D4EB4F)
-        return _APART + ((mixed >> np.uint64(29)) % np.uint64(BUCKETS - _APART)).astype(np.int64)
-
-
-class _Training(Features):
-    def clear(self) -> None:
-        super().clear()
-        self.of_word: list[tuple[np.ndarray, np.ndarray]] = []
-
-    def new(self, k: int, word: bytes) -> None:
-        """Keep the word's buckets and how often each occurs."""
-        stretches, marks = word_grams(word)
-        if len(word) + 2 <= STRETCH:
-            buckets = np.array([*map(gram_bucket, next(stretches)), *marks], np.int32)
-            counts = np.ones(len(buckets), np.int32)
-        else:
-            every = np.bincount(marks, minlength=BUCKETS)
-            for grams in stretches:
-                every += np.bincount(np.fromiter(map(gram_bucket, grams), np.int64, len(grams)), minlength=BUCKETS)
-            buckets = np.flatnonzero(every).astype(np.int32)
-            counts = every[buckets].astype(np.int32)
-        self.of_word.append((buckets, counts))
-
-    def counted(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """The text's buckets and how often each occurs."""
-        ids, pairs, same, again = self(text)
-        which, times = np.unique(ids, return_counts=True)
-        parts = [self.of_word[k] for k in which]
-        buckets = np.concatenate([*[b for b, _ in parts], pairs, [SAME_WORD, SAME_LINE]]).astype(np.int64)
-        counts = np.concatenate([*[n * t for (_, n), t in zip(parts, times)], np.ones(len(pairs)), [REPEAT_WEIGHT * same, REPEAT_WEIGHT * again]])
-        found, where = np.unique(buckets[counts > 0], return_inverse=True)
-        return found, np.bincount(where, counts[counts > 0], len(found))
-
-
+#: Characters that are worked on at once.
+STRETCH = 1 << 17
 #: How often a repeated word counts: as much as the buckets of a word do together.
 REPEAT_WEIGHT = 12
 
+_U = np.uint64
+#: Stands for white space, before and after each word.
+_EDGE = np.uint32(0x110000)
+_ALNUM, _CAPITAL, _SMALL = 1, 2, 4
+
+
+def _kind(c: str) -> int:
+    return _ALNUM * c.isalnum() | _CAPITAL * c.isupper() | _SMALL * (c.islower() or c.istitle() and not c.isupper())
+
+
+@lru_cache
+def _kinds() -> np.ndarray:
+    return np.array([_kind(chr(c)) for c in range(0x10000)], np.uint8)
+
+
+def kinds_of(codes: np.ndarray) -> np.ndarray:
+    """What each character is."""
+    out = _kinds()[np.minimum(codes, 0xFFFF)]
+    high = codes > 0xFFFF
+    if high.any():
+        found, at = np.unique(codes[high], return_inverse=True)
+        out[high] = np.array([_kind(chr(c)) for c in found], np.uint8)[at]
+    return out
+
+
+def bucket(h: np.ndarray) -> np.ndarray:
+    """The bucket of each hash."""
+    return _APART + ((mix(h) >> _U(32)) * _U(BUCKETS - _APART) >> _U(32)).astype(np.int64)
+
+
+def text_buckets(text: str) -> tuple[Iterator[np.ndarray], np.ndarray]:
+    """The buckets of a text's n-grams, words and pairs, part by part with repeats, and the counts of the first ``_APART`` buckets."""
+    codes = np.frombuffer(f" {text} ".encode("utf-32-le", "replace"), "<u4")
+    blank = (codes == 32) | (codes >= 9) & (codes <= 13)
+    apart = np.zeros(_APART)
+    words, _ = word_hashes([text])
+    if not len(words):
+        return iter(()), apart
+    start = np.flatnonzero(blank[:-1] & ~blank[1:]) + 1
+    size = np.flatnonzero(~blank[:-1] & blank[1:]) + 1 - start
+    has = np.zeros(len(start), np.uint8)
+    for lo in range(int(start[0]), len(codes), STRETCH):
+        kinds = kinds_of(codes[lo : lo + STRETCH])
+        first, past = np.searchsorted(start, lo, "right") - 1, np.searchsorted(start, lo + len(kinds))
+        has[first:past] |= np.bitwise_or.reduceat(kinds, np.maximum(start[first:past], lo) - lo)
+    apart[UPPER] = np.count_nonzero((has & _CAPITAL > 0) & (has & _SMALL == 0) & (size > 1))
+    apart[SYMBOLS] = np.count_nonzero(has & _ALNUM == 0)
+    apart[SAME_WORD] = REPEAT_WEIGHT * np.count_nonzero(words[1:] == words[:-1])
+    seen, again = set(), 0
+    for line in text.split("\n"):
+        if line in seen:
+            again += len(line.encode("utf-8", "replace").split())
+        seen.add(line)
+    apart[SAME_LINE] = REPEAT_WEIGHT * again
+    return _parts(codes, blank, words), apart
+
+
+def _parts(codes: np.ndarray, blank: np.ndarray, words: np.ndarray) -> Iterator[np.ndarray]:
+    for lo in range(0, len(codes), STRETCH):
+        part = slice(lo, lo + STRETCH + GRAMS[-1] - 1)
+        gap = blank[part]
+        c = np.where(gap, _EDGE, codes[part]).astype(_U)
+        for n in GRAMS:
+            k = min(STRETCH, len(c) - n + 1)
+            if k <= 0:
+                continue
+            # a gram may begin or end with the edge of a word, and lies within one word
+            h, within = c[:k], np.ones(k, bool)
+            for j in range(1, n):
+                h = h * _U(0x9E3779B97F4A7C15) + c[j : j + k]
+                if j < n - 1:
+                    within &= ~gap[j : j + k]
+            yield bucket(h[within] + _U(n))
+    for lo in range(0, len(words), STRETCH):
+        w = words[lo : lo + STRETCH + 1]
+        yield bucket(w[:STRETCH] ^ _U(0xA0761D6478BD642F))
+        yield bucket(w[:-1] * _U(0x9E3779B97F4A7C15) + w[1:] * _U(0xC2B2AE3D27D4EB4F))
+
+
+def counted(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The text's buckets, in order, and how often each occurs."""
+    parts, apart = text_buckets(text)
+    if len(text) <= STRETCH:
+        found, n = np.unique(np.concatenate([*parts, np.empty(0, np.int64)]), return_counts=True)
+    else:
+        every = np.zeros(BUCKETS, np.int64)
+        for b in parts:
+            every += np.bincount(b, minlength=BUCKETS)
+        found = np.flatnonzero(every)
+        n = every[found]
+    own = np.flatnonzero(apart)
+    return np.concatenate([own, found]), np.concatenate([apart[own], n])
+
 
 @dataclass(frozen=True)
 class Model:
@@ -174,38 +151,13 @@ class Model:
     weights: np.ndarray
     bias: float
 
-    def scorer(self) -> Scorer:
-        return Scorer(self)
-
-
-class Scorer(Features):
-    """Scores texts with a model; keeps for each word the sum of its buckets' numbers."""
-
-    def __init__(self, model: Model) -> None:
-        self.model = model
-        self.weights = model.weights.astype(float)
-        super().__init__()
-
-    def clear(self) -> None:
-        super().clear()
-        self.of_gram = _GramWeights(self.model.weights.astype(float))
-        self.sums, self.sizes = np.zeros(1024), np.zeros(1024)
-
-    def new(self, k: int, word: bytes) -> None:
-        if k == len(self.sums):
-            self.sums, self.sizes = (np.concatenate([a, np.zeros_like(a)]) for a in (self.sums, self.sizes))
-        stretches, marks = word_grams(word)
-        total, size = sum(self.weights[m] for m in marks), len(marks)
-        for grams in stretches:
-            total += sum(map(self.of_gram.__getitem__, grams))
-            size += len(grams)
-        self.sums[k], self.sizes[k] = total, size
-
     def score(self, text: str) -> float:
-        ids, pairs, same, again = self(text)
-        total = self.sums[ids].sum() + self.weights[pairs].sum() + REPEAT_WEIGHT * (same * self.weights[SAME_WORD] + again * self.weights[SAME_LINE])
-        n = self.sizes[ids].sum() + len(pairs) + REPEAT_WEIGHT * (same + again)
-        return float(1 / (1 + np.exp(-np.clip(self.model.bias + total / max(n, 1.0), -30, 30))))
+        parts, apart = text_buckets(text)
+        total, n = float(apart @ self.weights[:_APART]), float(apart.sum())
+        for b in parts:
+            total += float(self.weights[b].sum(dtype=float))
+            n += len(b)
+        return float(1 / (1 + np.exp(-np.clip(self.bias + total / max(n, 1.0), -30, 30))))
 
 
 def packed_counts(buckets: np.ndarray, counts: np.ndarray) -> bytes:
@@ -221,8 +173,7 @@ def unpacked_counts(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 def train(texts: list[str], labels: list[int], seed: int = 3) -> Model:
     """Train on whole texts."""
-    features = _Training()
-    return train_counts([packed_counts(*features.counted(t)) for t in texts], labels, seed)
+    return train_counts([packed_counts(*counted(t)) for t in texts], labels, seed)
 
 
 def train_counts(data: list[bytes], labels: list[int], seed: int = 3) -> Model:
@@ -271,11 +222,9 @@ def fitted(df: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "te
     rows = bounded_rows(df.select(id, F.col(text).cast("string").alias("_text")), known, id, bound).select(id, "_label", "_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, batch = _Training(), None
         for batch in batches:
-            made = [packed_counts(*features.counted(t or "")) for t in batch.column(2).to_pylist()]
+            made = [packed_counts(*counted(t or "")) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made, pa.binary())], names=[id, "label", "counts"])
-        del features, batch
         released()
 
     # executors count; the driver gets counts, at most BUCKETS for a text, however long it is
@@ -296,11 +245,10 @@ def scored(df: DataFrame, model: Model, text: str = "text", score: str = "score"
     sent = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer, batch = sent.value.scorer(), None
+        model = sent.value
         for batch in batches:
-            made = [scorer.score(t or "") for t in batch.column(at).to_pylist()]
+            made = [model.score(t or "") for t in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.float64())], names=[*batch.schema.names, score])
-        del scorer, batch
         released()
 
     return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(score, T.DoubleType())]))

@@ -195,18 +195,18 @@ def samples(n, seed):
     return [(good(), 1) if r.random() < 0.7 else (junk(), 0) for _ in range(n)]
 
 
+def averaged(model, text):
+    """The probability by a text's counts, as training sees them."""
+    b, n = quality.counted(text)
+    return 1 / (1 + np.exp(-(model.bias + model.weights[b].astype(float) @ n / max(n.sum(), 1))))
+
+
 def test_classifier_learns(spark):
     rows = samples(400, 1)
     model = quality.train([t for t, _ in rows], [y for _, y in rows])
-    scorer = model.scorer()
     held = samples(200, 2)
-    assert np.mean([(scorer.score(t) >= 0.3) == (y == 1) for t, y in held]) > 0.95
-    # one number for each word and pair gives the average over all buckets
-    counted = quality._Training()
-    for t, _ in held[:30]:
-        b, n = counted.counted(t)
-        z = model.bias + model.weights[b].astype(float) @ n / n.sum()
-        assert abs(scorer.score(t) - 1 / (1 + np.exp(-z))) < 1e-6
+    assert np.mean([(model.score(t) >= 0.3) == (y == 1) for t, y in held]) > 0.95
+    assert all(abs(model.score(t) - averaged(model, t)) < 1e-6 for t, _ in held[:30])
 
 
 def test_long_words_count_whole(monkeypatch):
@@ -215,25 +215,25 @@ def test_long_words_count_whole(monkeypatch):
     same = "漢字仮名" * 10
     rows = [(same + "".join(r.choice("甲乙丙丁戊己" if y else "子丑寅卯辰巳") for _ in range(r.randrange(100, 300))), y) for y in (0, 1) * 60]
     model = quality.train([t for t, _ in rows[:80]], [y for _, y in rows[:80]])
-    scorer = model.scorer()
-    assert all((scorer.score(t) >= 0.5) == (y == 1) for t, y in rows[80:])
-    a, b = (quality._Training().counted(same + c) for c in ("甲" * 5, "乙" * 5))
+    assert all((model.score(t) >= 0.5) == (y == 1) for t, y in rows[80:])
+    a, b = (quality.counted(same + c) for c in ("甲" * 5, "乙" * 5))
     assert set(a[0]) != set(b[0])
-    # words over several stretches: no n-gram is lost between two of them, scoring agrees with training, and what is kept is bounded
-    word = "".join(chr(0x4E00 + k) for k in range(500))
-    grams = {f"<{word}>"[i : i + n] for n in quality.GRAMS for i in range(503 - n)}
+    # texts over several stretches: nothing is lost between two of them, and scoring agrees with training
+    texts = ["".join(chr(0x4E00 + k) for k in range(500)), "AB " * 90 + "x\n" * 20, *(t for t, _ in rows[:5]), *(t or "" for t in ODD)]
+    plain = [(quality.counted(t), model.score(t)) for t in texts]
+    assert plain[0][0][1].sum() == 500 + 499 + 1
     for stretch in (1, 7, 64, 500, 501, 502, 503):
         monkeypatch.setattr(quality, "STRETCH", stretch)
-        found = [g for part in quality.word_grams(word.encode())[0] for g in part]
-        assert len(found) == len(grams) and set(found) == grams
-    monkeypatch.setattr(quality, "STRETCH", 64)
-    monkeypatch.setattr(quality, "MOST_BYTES", 2000)
-    scorer, counted = model.scorer(), quality._Training()
-    for t, _ in rows[:40]:
-        b, n = counted.counted(t)
-        z = model.bias + model.weights[b].astype(float) @ n / n.sum()
-        assert abs(scorer.score(t) - 1 / (1 + np.exp(-z))) < 1e-6
-        assert max(len(scorer.number), len(counted.number), len(counted.of_word)) < 10
+        for t, ((b, n), x) in zip(texts, plain):
+            found = quality.counted(t)
+            assert (found[0] == b).all() and (found[1] == n).all()
+            assert abs(model.score(t) - x) < 1e-9 and abs(averaged(model, t) - x) < 1e-6
+
+
+def test_characters_of_all_planes_have_kinds():
+    codes = [*range(0, 0x3000, 7), 0x1F600, 0x10400, 0x10428, 0x1D7D8, 0x20000, 0x10FFFF]
+    kinds = quality.kinds_of(np.array(codes, np.uint32))
+    assert all((k & 1 > 0) == chr(c).isalnum() and (k & 2 > 0) == chr(c).isupper() for c, k in zip(codes, kinds.tolist()))
 
 
 def test_scores_of_odd_tables(spark):
@@ -244,8 +244,8 @@ def test_scores_of_odd_tables(spark):
     empty = {round(r["score"], 12) for r in got if not (r["text"] or "").strip()}
     assert len(empty - {round(r["score"], 12) for r in got if r["text"] == "\x00\x1c﻿"}) == 1
     assert quality.scored(rows.where("false"), model).count() == 0
-    assert abs(quality.train(["a", "b"], [1, 1]).scorer().score("x") - 1) < 0.01
-    assert abs(quality.train([], []).scorer().score("x") - 0.5) < 0.01
+    assert abs(quality.train(["a", "b"], [1, 1]).score("x") - 1) < 0.01
+    assert abs(quality.train([], []).score("x") - 0.5) < 0.01
 
 
 def test_held_out_rows_are_not_learned_from(spark):
@@ -261,7 +261,7 @@ def test_held_out_rows_are_not_learned_from(spark):
         quality.fitted(docs, labels, bound=30)
     finally:
         quality.train_counts = real
-    known = {quality.packed_counts(*quality._Training().counted(f"word{k}")): k for k in range(50)}
+    known = {quality.packed_counts(*quality.counted(f"word{k}")): k for k in range(50)}
     assert len(seen) == 30 and not {r["doc_id"] for r in ids if r["h"]} & {known[d] for d, _ in seen}
     assert all(known[d] % 2 == y for d, y in seen)
 
@@ -269,24 +269,37 @@ def test_held_out_rows_are_not_learned_from(spark):
 def test_training_equals_a_plain_loop():
     """The same steps with a dictionary of vectors, n-grams written out, and no arrays of counts."""
     import math
-    import zlib
 
     r = random.Random(7)
     texts = [" ".join(r.choice(("good", "tidy", "prose", "spam", "###", "BUY", "a")) for _ in range(r.randrange(1, 9))) for _ in range(12)] + ["", "same same same\nsame same same"]
     labels = [k % 2 for k in range(len(texts))]
     made = quality.train(texts, labels)
 
+    def mixed(x):
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 % 2**64
+        x = (x ^ x >> 27) * 0x94D049BB133111EB % 2**64
+        return x ^ x >> 31
+
+    def place(h):
+        return 16 + ((mixed(h % 2**64) >> 32) * (quality.BUCKETS - 16) >> 32)
+
+    def word(w):
+        return sum(mixed(256 * k + c + 0xC2B2AE3D27D4EB4F) for k, c in enumerate(w.encode())) % 2**64
+
     def buckets(text):
-        apart = quality.BUCKETS - 16
         found = []
         words = text.split()
         for w in words:
-            marked = f"<{w}>"
-            found += [16 + zlib.crc32(g.encode()) % apart for g in {marked[i : i + n] for n in (3, 4) for i in range(len(marked) - n + 1)} | {marked}]
+            marked = [0x110000, *map(ord, w), 0x110000]
+            for n in (3, 4):
+                for i in range(len(marked) - n + 1):
+                    h = marked[i]
+                    for c in marked[i + 1 : i + n]:
+                        h = (h * 0x9E3779B97F4A7C15 + c) % 2**64
+                    found.append(place(h + n))
+            found.append(place(word(w) ^ 0xA0761D6478BD642F))
             found += [2] * (len(w) > 1 and w.isupper()) + [3] * (not any(c.isalnum() for c in w))
-        for a, b in zip(words, words[1:]):
-            h = (zlib.crc32(a.encode()) * 0x9E3779B97F4A7C15 + zlib.crc32(b.encode()) * 0xC2B2AE3D27D4EB4F) % 2**64
-            found.append(16 + (h >> 29) % apart)
+        found += [place(word(a) * 0x9E3779B97F4A7C15 + word(b) * 0xC2B2AE3D27D4EB4F) for a, b in zip(words, words[1:])]
         lines = text.split("\n")
         found += [0] * 12 * sum(a == b for a, b in zip(words, words[1:]))
         found += [1] * 12 * sum(len(x.split()) for k, x in enumerate(lines) if x in lines[:k])
@@ -315,4 +328,4 @@ def test_training_equals_a_plain_loop():
     for t in [*texts, "new words here BUY BUY"]:
         found = buckets(t)
         z = bias[1] - bias[0] + sum(vectors[b] @ (np.array(out[1]) - np.array(out[0])) for b in found) / max(len(found), 1)
-        assert abs(made.scorer().score(t) - 1 / (1 + math.exp(-z))) < 1e-5
+        assert abs(made.score(t) - 1 / (1 + math.exp(-z))) < 1e-5
