@@ -28,7 +28,8 @@ from .common import text_of, written
 class Rule:
     """``pattern`` finds candidates; those stay whose group ``group`` has ``least`` characters at least.
 
-    A finding is the whole match, or with ``tail`` the group alone, which then ends the match.
+    A finding is the whole match, or with ``tail`` the group alone, which then ends the match.  Texts without the
+    literal ``needs`` have none, and aren't searched by the pattern.
     """
 
     kind: str
@@ -37,20 +38,21 @@ class Rule:
     least: int
     version: str = "1"
     tail: bool = False
+    needs: str = ""
 
 
 # The patterns and lengths of the base rules. A run of hex digits or of
 # an access key is found whole, so its least length can stand in the pattern itself.
 BASE = (
     Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
-    Rule("access", r"AKIA[A-Z0-9]{14,}", 0, 18),
+    Rule("access", r"AKIA[A-Z0-9]{14,}", 0, 18, needs="AKIA"),
     Rule("hex", r"[0-9a-f]{16,}", 0, 16),
 )
 #: Further rules: private-key headers and JSON web tokens.
 MORE = (
-    Rule("pem", r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----", 0, 1),
+    Rule("pem", r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----", 0, 1, needs="PRIVATE KEY-----"),
     # only at the beginning of a run, so that each run is read once
-    Rule("jwt", r"(?:^|[^A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+)", 1, 24, "2", True),
+    Rule("jwt", r"(?:^|[^A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+)", 1, 24, "2", True, "eyJ"),
 )
 RULES = BASE + MORE
 
@@ -84,7 +86,7 @@ def findings(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     found = []
     for k, r in enumerate(rules):
         text, pattern = F.col("content"), F.lit(r.pattern)
-        hit = F.array_contains(F.col("todo.kind"), r.kind) & text.rlike(r.pattern)
+        hit = F.array_contains(F.col("todo.kind"), r.kind) & text.contains(r.needs) & text.rlike(r.pattern)
         zipped = F.arrays_zip(
             F.transform(F.split(text, r.pattern, -1), lambda x: F.length(x)).alias("gap"),
             F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), lambda x: F.length(x)).alias("len"),
