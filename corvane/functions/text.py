@@ -25,11 +25,11 @@ def _bare(c: str) -> str:
 
 @lru_cache
 def _folds() -> tuple[str, str]:
-    """Letters of any script that decompose to one letter (with marks, full-width and others), and that letter, by rule from the Unicode decompositions.
+    """Latin, Greek and Cyrillic letters that decompose to one letter, and full-width ones, and that letter, by rule from the Unicode decompositions.
 
-    Hangul syllables decompose to several and stay.
+    The table stands in every plan, so it has no rarer scripts; ``romanised`` reads those.
     """
-    pairs = [(chr(cp), _bare(chr(cp))) for cp in (*range(0x80, 0xAC00), *range(0xF900, 0x10000))]
+    pairs = [(chr(cp), _bare(chr(cp))) for cp in (*range(0x80, 0x250), *range(0x370, 0x530), *range(0x1E00, 0x2000), *range(0xFF01, 0xFF5F))]
     pairs = [(a, b) for a, b in pairs if len(b) == 1 and a != b]
     return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
 
@@ -44,10 +44,9 @@ def _ligatures() -> tuple[tuple[str, str], ...]:
 def strip_accents(x: Column) -> Column:
     """Letters without their marks, in their plain form; Latin ligatures spelled out."""
     out = F.regexp_replace(F.translate(F.coalesce(x.cast("string"), F.lit("")), *_folds()), r"\p{Mn}", "")
-    spelled = out
     for letter, letters in _ligatures():
-        spelled = F.replace(spelled, F.lit(letter), F.lit(letters))
-    return F.when(out.rlike(f"[{''.join(a for a, _ in _ligatures())}]"), spelled).otherwise(out)
+        out = F.replace(out, F.lit(letter), F.lit(letters))
+    return out
 
 
 def to_ascii(x: Column) -> Column:
@@ -81,8 +80,8 @@ def _romanise(text: str) -> str:
 def romanised(x: Column) -> Column:
     """Any script in ASCII letters.
 
-    Latin texts are folded in the JVM; only the others, as nulls stand for the rest, go to an Arrow function, each
-    distinct text of a batch once.
+    Latin texts are folded in the JVM; only texts with other letters go to an Arrow function (nulls stand for the
+    rest), each distinct text of a batch once.
     """
 
     @F.pandas_udf("string")
@@ -90,8 +89,8 @@ def romanised(x: Column) -> Column:
         known = {t: _romanise(t) for t in texts.dropna().unique()}
         return pd.Series([known.get(t) for t in texts], dtype=object)
 
-    folded = to_ascii(x)
-    return F.coalesce(run(F.when(folded.rlike(r"[^\x00-\x7F]"), x.cast("string"))), folded)
+    others = r"[^\x00-\u024F\u1E00-\u1EFF\u2000-\u206F\uFB00-\uFB06\uFF01-\uFF5E\p{Mn}]"
+    return F.coalesce(run(F.when(x.rlike(others), x.cast("string"))), to_ascii(x))
 
 
 def tokenize(x: Column, any_script: bool = True) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.similarity import blocking_score
 from ..functions.text import token_list
+from ..sources.tables import stored
 from .keys import KeyConfig, keys, posting_sizes, token_frequency
 
 KEY = ["country_norm", "kind", "value"]
@@ -52,6 +53,11 @@ class KeyIndex:
     def persisted(self) -> KeyIndex:
         return KeyIndex(self.targets.persist(), self.frequency.persist(), self.target_keys.persist(), self.sizes.persist())
 
+    def released(self) -> None:
+        """Once all that was made with it is done."""
+        for rows in (self.targets, self.frequency, self.target_keys, self.sizes):
+            rows.unpersist()
+
 
 def within_budget(s1_keys: DataFrame, index: KeyIndex, budget: int) -> DataFrame:
     """(s1, candidate_entity_id, target_source, first_bucket): the targets that a record's buckets give, smallest first.
@@ -121,16 +127,69 @@ def word_grams(x: Column, least: int, most: int) -> Column:
     return F.flatten(F.transform(token_list(F.lower(x)), of_word))
 
 
+def frequent_terms(terms: DataFrame, most: int, prefix: int = 2) -> DataFrame:
+    """The ``most`` terms (country_norm, gram, df, cf) of each country by ``cf``, ties by gram.
+
+    The least ``cf`` that is kept comes from a histogram, and places among its ties from counts of prefixes, so that no
+    task sorts the terms of a country.
+    """
+    histogram = terms.groupBy("country_norm", "cf").agg(F.count("*").alias("n"))
+    above = F.sum("n").over(Window.partitionBy("country_norm").orderBy(F.col("cf").desc())) - F.col("n")
+    cut = histogram.withColumn("above", above).where(F.col("above") < most).groupBy("country_norm").agg(F.min(F.struct("cf", "above")).alias("cut"))
+    rows = terms.join(cut, "country_norm").where(F.col("cf") >= F.col("cut.cf"))
+    ties = rows.where(F.col("cf") == F.col("cut.cf")).withColumn("p", F.substring("gram", 1, prefix))
+    starts = ties.groupBy("country_norm", "p").agg(F.count("*").alias("n"))
+    starts = starts.select("country_norm", "p", (F.sum("n").over(Window.partitionBy("country_norm").orderBy("p")) - F.col("n")).alias("start"))
+    at = F.row_number().over(Window.partitionBy("country_norm", "p").orderBy("gram"))
+    ties = ties.join(starts, ["country_norm", "p"]).withColumn("at", at).where(F.col("start") + F.col("at") <= most - F.col("cut.above"))
+    return rows.where(F.col("cf") > F.col("cut.cf")).drop("cut").unionByName(ties.drop("cut", "p", "start", "at"))
+
+
+def best_products(a: DataFrame, b: DataFrame, top_k: int, slack: float = 1e-8) -> DataFrame:
+    """(source1_entity_id, candidate_entity_id, score): for each record of ``a`` the targets of ``b`` with the ``top_k`` largest products, and maybe more.
+
+    ``a`` has (country_norm, gram, source1_entity_id, x), ``b`` (country_norm, gram, candidate_entity_id, y), weights above 0.
+    A record's terms are ordered from the most frequent on.  Its rarest terms alone give products, the ``top_k``-th of
+    which is a floor.  The most frequent terms together give at most the sum of x times the largest y; as long as
+    that is under the floor, targets that share only those are out of reach, and the terms aren't joined to find
+    pairs.  They are added for the pairs that can still reach the floor.
+    """
+    key, pair = ["country_norm", "gram"], ["source1_entity_id", "candidate_entity_id"]
+    stats = b.groupBy(*key).agg(F.count("*").alias("df"), F.max("y").alias("top"))
+    common_first = Window.partitionBy("source1_entity_id").orderBy(F.col("df").desc(), "gram")
+    rare_first = Window.partitionBy("source1_entity_id").orderBy("df", F.col("gram").desc())
+    reach = F.sum(F.col("x") * F.col("top")).over(common_first)
+    met = F.sum("df").over(rare_first) - F.col("df")
+    terms = stored(a.join(stats, key).withColumn("reach", reach).withColumn("met", met))
+    product = F.sum(F.col("x") * F.col("y")).alias("product")
+
+    def floor(pairs: DataFrame) -> DataFrame:
+        """(source1_entity_id, floor): the ``top_k``-th product."""
+        at = F.row_number().over(Window.partitionBy("source1_entity_id").orderBy(F.col("product").desc()))
+        return pairs.withColumn("at", at).where(F.col("at") == top_k).select("source1_entity_id", F.col("product").alias("floor"))
+
+    seeds = terms.where(F.col("met") < 20 * top_k).join(b, key).groupBy(*pair).agg(product)
+    terms = stored(terms.join(floor(seeds), "source1_entity_id", "left").withColumn("floor", F.coalesce("floor", F.lit(0.0))))
+    needed = terms.where(F.col("reach") >= F.col("floor") - slack)
+    left_out = terms.where(F.col("reach") < F.col("floor") - slack)
+    pairs = stored(needed.join(b, key).groupBy(*pair).agg(product))
+    rest = left_out.groupBy("source1_entity_id").agg(F.max("reach").alias("rest"))
+    alive = pairs.join(rest, "source1_entity_id", "left").join(floor(pairs), "source1_entity_id", "left")
+    alive = alive.where(F.col("product") + F.coalesce("rest", F.lit(0.0)) >= F.coalesce("floor", F.lit(0.0)) - slack)
+    more = alive.where(F.col("rest").isNotNull()).select(*pair).join(left_out.select("source1_entity_id", *key, "x"), "source1_entity_id").join(b, [*key, "candidate_entity_id"])
+    more = more.groupBy(*pair).agg(F.sum(F.col("x") * F.col("y")).alias("more"))
+    return alive.join(more, pair, "left").select(*pair, F.round(F.col("product") + F.coalesce("more", F.lit(0.0)), 9).alias("score"))
+
+
 def tfidf_blocking(s1: DataFrame, targets: DataFrame, column: str, top_k: int, blocker: str, config: BlockingConfig = BlockingConfig()) -> DataFrame:
     """Cosine of TF-IDF vectors of character n-grams within a country; document frequencies are those of the targets."""
     grams = lambda rows: rows.select("country_norm", "entity_id", F.explode(word_grams(F.col(column), *config.ngrams)).alias("gram")).groupBy("country_norm", "entity_id", "gram").agg(F.count("*").alias("tf"))
-    t = grams(targets)
+    t = stored(grams(targets))
     n = targets.groupBy("country_norm").agg(F.count("*").alias("n"))
     terms = t.groupBy("country_norm", "gram").agg(F.count("*").alias("df"), F.sum("tf").alias("cf")).where(F.col("df") >= config.min_df)
-    common = Window.partitionBy("country_norm").orderBy(F.col("cf").desc(), "gram")
-    terms = terms.withColumn("at", F.row_number().over(common)).where(F.col("at") <= config.max_features)
+    terms = frequent_terms(terms, config.max_features)
     # countries are few and known rows of a dimension; terms are looked up by an ordinary join
-    terms = terms.join(n, "country_norm").select("country_norm", "gram", (F.log((F.col("n") + 1) / (F.col("df") + 1)) + 1).alias("idf"))
+    terms = stored(terms.join(n, "country_norm").select("country_norm", "gram", (F.log((F.col("n") + 1) / (F.col("df") + 1)) + 1).alias("idf")))
 
     def weighed(rows: DataFrame) -> DataFrame:
         w = rows.join(terms, ["country_norm", "gram"]).withColumn("w", F.col("tf") * F.col("idf"))
@@ -138,9 +197,8 @@ def tfidf_blocking(s1: DataFrame, targets: DataFrame, column: str, top_k: int, b
         return w.join(norms, ["country_norm", "entity_id"]).select("country_norm", "entity_id", "gram", (F.col("w") / F.col("norm")).alias("w"))
 
     a = weighed(grams(s1)).select("country_norm", "gram", F.col("entity_id").alias("source1_entity_id"), F.col("w").alias("x"))
-    b = weighed(t).select("country_norm", "gram", F.col("entity_id").alias("candidate_entity_id"), F.col("w").alias("y"))
-    pairs = a.join(b, ["country_norm", "gram"]).groupBy("source1_entity_id", "candidate_entity_id").agg(F.round(F.sum(F.col("x") * F.col("y")), 9).alias("score"))
-    return _ranked(pairs, targets, F.col("score").desc(), top_k, blocker)
+    b = stored(weighed(t).select("country_norm", "gram", F.col("entity_id").alias("candidate_entity_id"), F.col("w").alias("y")))
+    return _ranked(best_products(a, b, top_k), targets, F.col("score").desc(), top_k, blocker)
 
 
 def _ranked(pairs: DataFrame, targets: DataFrame, by: Column, top_k: int, blocker: str, descending_ties: bool = False) -> DataFrame:

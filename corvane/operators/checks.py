@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..sources.tables import id_list
+from ..sources.tables import id_list, stored
 
 OFFENDERS = 5
 
@@ -72,7 +72,7 @@ def not_among_candidates(matched: DataFrame, candidates: DataFrame) -> DataFrame
 
 def report(found: DataFrame) -> DataFrame:
     """(check, n, sample): how many offenders, and the first five in order; only the first five are ever gathered."""
-    found = found.distinct()
+    found = stored(found.distinct())
     first = Window.partitionBy("check").orderBy("offender")
     some = found.withColumn("at", F.row_number().over(first)).where(F.col("at") <= OFFENDERS)
     some = some.groupBy("check").agg(F.array_join(F.array_sort(F.collect_list("offender")), ",").alias("sample"))

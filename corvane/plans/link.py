@@ -34,7 +34,7 @@ class Trained:
 
 def pair_rows(s1: DataFrame, targets: DataFrame, config: LinkConfig) -> tuple[DataFrame, DataFrame]:
     """(candidates, features with the candidate rank) of normalised records."""
-    candidates = blocking.keyed_candidates(s1, targets, config.blocking, config.keys)
+    candidates = tables.stored(blocking.keyed_candidates(s1, targets, config.blocking, config.keys))
     rows = features.pair_features(candidates, s1, targets)
     return candidates, rows.join(candidates.select(*features.PAIR, "candidate_rank"), features.PAIR)
 
@@ -43,16 +43,16 @@ def train(s1: DataFrame, targets: DataFrame, truth: DataFrame, config: LinkConfi
     """Block once, split the S1 records, fit, choose a rule on tune, and score holdout once."""
     truth_rows = tables.with_lists(truth)
     ids = truth_rows.select("source1_entity_id", (F.col("n_matches") > 0).alias("matched")) if sample is None else sampling.stratified_sample(truth_rows, sample, config.seed)
-    split = sampling.three_way_split(ids, seed=config.seed).select("source1_entity_id", "split").persist()
+    split = tables.stored(sampling.three_way_split(ids, seed=config.seed).select("source1_entity_id", "split"))
     pairs = tables.truth_pairs(truth)
-    records = normalized(s1, config.any_script).join(split.select(F.col("source1_entity_id").alias("entity_id")), "entity_id", "left_semi")
-    pool = normalized(targets, config.any_script)
-    candidates, rows = pair_rows(records.persist(), pool.persist(), config)
-    rows = features.labelled(rows, pairs).join(split, "source1_entity_id").persist()
+    records = tables.stored(normalized(s1, config.any_script).join(split.select(F.col("source1_entity_id").alias("entity_id")), "entity_id", "left_semi"))
+    pool = tables.stored(normalized(targets, config.any_script))
+    candidates, rows = pair_rows(records, pool, config)
+    rows = tables.stored(features.labelled(rows, pairs).join(split, "source1_entity_id"))
     fitted = model.train(rows.where("split = 'fit'"), config.per_positive, config.seed, **config.model)
     part = lambda name: (decision.scored_pairs(fitted.predict(rows.where(F.col("split") == name)).select(*features.PAIR, "candidate_rank", "probability")), pairs.join(split.where(F.col("split") == name), "source1_entity_id", "left_semi"), split.where(F.col("split") == name).select("source1_entity_id"))
     tune, tune_truth, tune_ids = part("tune")
-    rule = decision.choose(tune.persist(), tune_truth, tune_ids)
+    rule = decision.choose(tables.stored(tune), tune_truth, tune_ids)
     hold, hold_truth, hold_ids = part("holdout")
     kept = decision.decide(hold, rule)
     found = metrics.macro_fbeta(hold_ids, kept, hold_truth).first()
@@ -62,7 +62,7 @@ def train(s1: DataFrame, targets: DataFrame, truth: DataFrame, config: LinkConfi
 
 def link(s1: DataFrame, targets: DataFrame, trained: model.MatchModel, rule: dict, config: LinkConfig = LinkConfig()) -> tuple[DataFrame, DataFrame]:
     """(matches, candidates) as id lists with a row for every S1 record. Exclusivity holds over all records, not by batch."""
-    a, b = normalized(s1, config.any_script), normalized(targets, config.any_script)
+    a, b = tables.stored(normalized(s1, config.any_script)), tables.stored(normalized(targets, config.any_script))
     candidates, rows = pair_rows(a, b, config)
     scored = decision.scored_pairs(trained.predict(rows).select(*features.PAIR, "candidate_rank", "probability"))
     kept = decision.decide(scored, rule)
@@ -71,6 +71,8 @@ def link(s1: DataFrame, targets: DataFrame, trained: model.MatchModel, rule: dic
 
 def validate(matches: DataFrame, candidates: DataFrame, s1: DataFrame, targets: DataFrame | None = None) -> DataFrame:
     """The report of both files; a match that is no candidate is a warning."""
+    # each check reads the lists
+    matches, candidates = tables.stored(matches), tables.stored(candidates)
     found = checks.offences(matches, s1, targets)
     listed = checks.offences(candidates.withColumnRenamed("candidate_entity_ids", "matched_entity_ids"), s1, targets)
     warned = checks.not_among_candidates(matches, candidates).select(F.lit("warning_not_a_candidate").alias("check"), F.col("id").alias("offender"))

@@ -959,8 +959,7 @@ def m04_downsample(spark, sf):
 
 @query()
 def m05_match_model(spark, sf):
-    s1, tgt = sides(spark, sf)
-    rows = features.labelled(features.pair_features(ranked_pairs(s1, tgt), s1, tgt), truth_of(s1, tgt)).persist()
+    rows = _labelled(spark, sf)
     return model.train(rows).predict(rows).select(*PAIR, "label", "probability")
 
 
@@ -1037,7 +1036,7 @@ options AS (
 @query("SELECT mode, t2 AS threshold_s2, t3 AS threshold_s3, cap, bipartite, round(score, 9) AS score FROM options ORDER BY round(options.score, 12) DESC, o LIMIT 1", f"{FP}, {CHOICE}")
 def d05_rule_choice(spark, sf):
     s1, tgt = sides(spark, sf)
-    rule = decision.choose(decision.scored_pairs(ranked_pairs(s1, tgt)).persist(), truth_of(s1, tgt), s1.withColumnRenamed("entity_id", S_ID))
+    rule = decision.choose(tables.stored(decision.scored_pairs(ranked_pairs(s1, tgt))), truth_of(s1, tgt), s1.withColumnRenamed("entity_id", S_ID))
     return spark.createDataFrame([(rule["mode"], rule["threshold_s2"], rule["threshold_s3"], rule["cap"], rule["bipartite"], round(rule["score"], 9))], "mode string, threshold_s2 double, threshold_s3 double, cap int, bipartite boolean, score double")
 
 
@@ -1169,7 +1168,7 @@ def a08_token_frequency(spark, sf):
 @query("SELECT t2 AS threshold_s2, t3 AS threshold_s3, round(score, 9) AS score FROM src", f"{FP}, {GRID}, {_sources_sql('src', '3', False)}")
 def d04_source_thresholds(spark, sf):
     s1, tgt = sides(spark, sf)
-    r = decision.source_thresholds(decision.scored_pairs(ranked_pairs(s1, tgt)).persist(), truth_of(s1, tgt), s1.withColumnRenamed("entity_id", S_ID), 3)
+    r = decision.source_thresholds(tables.stored(decision.scored_pairs(ranked_pairs(s1, tgt))), truth_of(s1, tgt), s1.withColumnRenamed("entity_id", S_ID), 3)
     return spark.createDataFrame([(r["threshold_s2"], r["threshold_s3"], round(r["score"], 9))], "threshold_s2 double, threshold_s3 double, score double")
 
 
@@ -1190,9 +1189,13 @@ def d07_rule_evaluation(spark, sf):
 
 
 def _labelled(spark, sf):
+    """Pairs with all features and labels, written once for all that reads them."""
     s1, tgt = sides(spark, sf)
     rows = features.labelled(features.pair_features(ranked_pairs(s1, tgt), s1, tgt), truth_of(s1, tgt))
-    return rows.join(s1.select(F.col("entity_id").alias(S_ID), "country_norm"), S_ID)
+    rows = rows.join(s1.select(F.col("entity_id").alias(S_ID), "country_norm"), S_ID)
+    folder = f"{_scratch(spark)}/features-{uuid.uuid4().hex}"
+    tables.write_parts(rows, folder)
+    return tables.read_parts(spark, folder)
 
 
 @query()
@@ -1214,9 +1217,7 @@ def m10_parameter_search(spark, sf):
 @query(f"SELECT {PAIR_SQL}, (EXISTS (SELECT 1 FROM truth t WHERE t.s = p.s AND t.c = p.c))::INT AS label, sk AS country_norm, " + ", ".join(f"{v} AS f_{k}" for k, v in FEATURE_SQL.items()) + f" FROM (SELECT q.*, r.candidate_rank, {_GRAMS('sn')} AS gs, {_GRAMS('cn')} AS gc FROM pairs q JOIN ranked r USING (s, c)) p", FP)
 def m11_feature_cache(spark, sf):
     """All features are written; those that SQL has are read back, as any column of a cache is."""
-    folder = f"{_scratch(spark)}/features-{uuid.uuid4().hex}"
-    tables.write_parts(_labelled(spark, sf), folder)
-    return tables.read_parts(spark, folder).select(*PAIR, "label", "country_norm", *[f"f_{k}" for k in FEATURE_SQL])
+    return _labelled(spark, sf).select(*PAIR, "label", "country_norm", *[f"f_{k}" for k in FEATURE_SQL])
 
 
 _COUNTS = """
@@ -1230,7 +1231,7 @@ cc AS (SELECT a.entity_id AS s, (SELECT count(*) FROM kept_c k WHERE k.s = a.ent
     count(*) FILTER (nt > 0 AND tp > 0 AND tp < nt) AS partial, count(*) FILTER (nt > 0 AND tp = nt) AS "full" FROM cc""", f"RECURSIVE {NORM}, {KEYS}, {KEYED}, {_COUNTS}")
 def m12_recall_measurement(spark, sf):
     s1, tgt = sides(spark, sf)
-    found = blocking.keyed_candidates(s1, tgt).select(*PAIR).persist()
+    found = tables.stored(blocking.keyed_candidates(s1, tgt).select(*PAIR))
     ids, truth = s1.withColumnRenamed("entity_id", S_ID), truth_of(s1, tgt)
     audit = metrics.blocking_audit(ids, found, truth)
     return audit.select(*[F.round(c, 9).alias(c) for c in audit.columns]).crossJoin(metrics.miss_breakdown(ids, found, truth))
@@ -1297,7 +1298,7 @@ def s17_rule_decode(spark, sf):
 @query(f"SELECT {PAIR_SQL}, true AS same FROM cand", FP)
 def s16_model_load(spark, sf):
     """A model that is saved and loaded gives the probabilities that it gave before."""
-    rows = _labelled(spark, sf).persist()
+    rows = _labelled(spark, sf)
     made = model.train(rows, maxIter=10)
     folder = f"{_scratch(spark)}/model-{uuid.uuid4().hex}"
     made.save(folder)
@@ -1308,7 +1309,7 @@ def s16_model_load(spark, sf):
 @query(f"SELECT {PAIR_SQL}, true AS same FROM cand", FP)
 def m06_predict(spark, sf):
     """Columns that the rows lack count as 0, and further columns make no difference."""
-    rows = _labelled(spark, sf).persist()
+    rows = _labelled(spark, sf)
     made = model.train(rows, maxIter=10)
     zero = made.predict(rows.withColumn("f_name_jaccard", F.lit(0.0)).withColumn("f_extra", F.lit(7.0))).select(*PAIR, F.col("probability").alias("q"))
     return made.predict(rows.drop("f_name_jaccard")).join(zero, PAIR).select(*PAIR, ((F.col("probability") == F.col("q")) & F.col("probability").between(0, 1)).alias("same"))
@@ -1352,7 +1353,7 @@ def k07_resumed_batches(spark, sf):
 def m13_failure_diagnosis(spark, sf):
     """True pairs that are not among the best two keyed candidates: those that share a key were cut, the others were never met."""
     s1, tgt = sides(spark, sf)
-    index = blocking.KeyIndex.of(tgt).persisted()
+    index = blocking.KeyIndex.of(tgt)
     found = blocking.keyed_blocking(s1, index, blocking.BlockingConfig(top_k=2))
     missed = blocking.missed_by_keys(truth_of(s1, tgt), found, keys.keys(s1, index.frequency), index.target_keys)
     return missed.agg(F.count("*").alias("missed"), F.count_if(F.col("shared_keys") > 0).alias("shared_key"), F.count_if(F.col("shared_keys") == 0).alias("no_shared_key"))

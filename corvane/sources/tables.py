@@ -6,6 +6,7 @@ import json
 import os
 import re
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -33,6 +34,13 @@ def shared_folder(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def stored(rows: DataFrame) -> DataFrame:
+    """Cut the lineage of what is read more than once: write the rows in the shared folder and read them back."""
+    folder = f"{shared_folder(rows.sparkSession)}/corvane-{uuid.uuid4().hex}"
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
 def read_tsv(spark: SparkSession, path: str, columns: tuple[str, ...] = RECORD, line_breaks: bool = False, header: tuple[str, ...] | None = None) -> DataFrame:
     """The named columns of a tab-separated file with a header, as strings; empty cells are empty strings.
 

@@ -30,6 +30,16 @@ def test_accents(spark):
     assert one(spark, X.has_non_latin(F.col("x")), x="कमल") is True
 
 
+def test_other_scripts_and_forms(spark):
+    for x, wanted in (("Ἀθήνα Ёлка", "Αθηνα Елка"), ("Ｆｕｌｌ２", "Full2"), ("ﬁne ĳs ﬄ", "fine ijs ffl"), (None, "")):
+        assert one(spark, X.strip_accents(F.col("x")), x=x) == wanted
+    assert one(spark, X.romanised(F.col("x")), x="दिल Café ß") == "daila Cafe ss"
+    rows = spark.createDataFrame([("Straße",), (None,), ("дом",), ("",)], "x string").select(X.romanised(F.col("x")).alias("y")).collect()
+    assert [r["y"] for r in rows] == ["Strasse", "", "deoem", ""]
+    got = spark.createDataFrame([("a", "रमेश स्टोर", "1 Main St", "India")], "entity_id string, business_name string, business_address string, country string")
+    assert X.normalized(got).first()["name_norm"].isascii() and not X.normalized(got, False).first()["name_norm"].isascii()
+
+
 def test_simplified_soundex(spark):
     for word, code in (("robert", "r163"), ("ashcraft", "a226"), ("3m", "m000"), ("123", ""), ("", ""), ("pfister", "p236")):
         assert one(spark, X.soundex(F.col("x")), x=word) == code
