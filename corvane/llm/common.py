@@ -10,7 +10,7 @@ import tempfile
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: White space of all word and line rules here: space and U+0009 to U+000D.
@@ -70,10 +70,9 @@ def written(df: DataFrame) -> DataFrame:
 
 
 def written_with(df: DataFrame, **sums: Column) -> tuple[DataFrame, dict]:
-    """``written``, and aggregates over the rows, taken by the job that writes them."""
-    observed = Observation()
-    out = written(df.observe(observed, *[c.alias(name) for name, c in sums.items()]))
-    return out, observed.get
+    """``written``, and aggregates over the rows as they were written."""
+    out = written(df)
+    return out, out.agg(*[c.alias(name) for name, c in sums.items()]).first().asDict()
 
 
 def text_of(column: str | Column = "text") -> Column:

@@ -321,7 +321,7 @@ def components(edges: DataFrame, few: int = FEW_EDGES) -> DataFrame:
         return moved.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
     now, sign = written_with(edges.where("a <> b").distinct(), **_sign("a", "b"))
-    if sign.get("rows", 0) <= few:
+    if sign["rows"] <= few:
         return joined_up(now)
     before = None
     while sign != before:
@@ -382,12 +382,12 @@ def near_groups(df: DataFrame, id: str = "doc_id", text: str = "text", least: fl
     rare = written(rare_shingles(texts.join(undecided.select("id").hint("merge"), "id")))
     sizes = written(_sizes(sets.select("id", "n").join(undecided.select("id"), "id"), rare))
     more, found = written_with(verified(_rare_pairs(rare, sizes, classes, least), sets, least), rows=F.count("*"))
-    if found.get("rows"):
+    if found["rows"]:
         classes = _joined(classes, more)
     left = left.select("bucket", "rep").join(sizes.join(undecided, "id").withColumnRenamed("id", "rep"), "rep")
     while True:
         left, open_ = _unsettled(left, classes, least)
-        if not open_.get("rows"):
+        if not open_["rows"]:
             break
         ranked = left.withColumn("at", F.row_number().over(Window.partitionBy("bucket").orderBy("rep")))
         pivots = written(ranked.where(F.col("at") <= most).drop("at"))
@@ -397,7 +397,7 @@ def near_groups(df: DataFrame, id: str = "doc_id", text: str = "text", least: fl
         found = pivots.join(other, (F.col("bucket") == F.col("k")) & (F.col("rep") < F.col("a")) & (F.col("class") != F.col("c")) & near)
         more, linked = written_with(verified(found.select("a", F.col("rep").alias("b")), sets, least), rows=F.count("*"))
         left = left.join(pivots.select("bucket", "rep"), ["bucket", "rep"], "left_anti").select("bucket", "rep", "n", "r", "among")
-        if linked.get("rows"):
+        if linked["rows"]:
             classes = _joined(classes, more)
         most *= STEP
     named = _class_of(rows.select("id", "key").join(first, "key"), classes, "rep", "class").select(F.col("id").alias(id), F.when(F.col("id").isNotNull(), F.col("class")).alias("class_id"))
