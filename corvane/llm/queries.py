@@ -79,7 +79,7 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = written(rules.statistics(table(spark, sf_dir, "documents")))
     learned = rules.fitted(stats, table(spark, sf_dir, "labels"))
-    return rules.judged(stats, learned).select("doc_id", *rules.COUNTS, "base_failed", "rule", "kept")
+    return rules.judged(stats, learned).select("doc_id", *rules.COUNTS, "base_failed", "kept", "rule")
 
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,20 +185,31 @@ FROM owned
 """
 
 
-def _secret_sql(ord: int, rule: secrets.Rule) -> str:
-    p = "'" + rule.pattern.replace("'", "''") + "'"
+# Fixed values: (kind, pattern, group, least length of the group, whether the group alone is the finding), written out here
+# so that a wrong pattern of the operator shows.
+_SECRET_RULES = (
+    ("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12, False),
+    ("access", r"AKIA[A-Z0-9]+", 0, 18, False),
+    ("hex", r"[0-9a-f]+", 0, 16, False),
+    ("pem", r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----", 0, 1, False),
+    ("jwt", r"(?:^|[^A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+)", 1, 24, True),
+)
+
+
+def _secret_sql(ord: int, kind: str, pattern: str, group: int, least: int, tail: bool) -> str:
+    p = "'" + pattern.replace("'", "''") + "'"
     lengths = lambda x: f"list_transform({x}, lambda x: length(x))"
-    return f"SELECT doc_id, {ord} AS ord, '{rule.kind}' AS kind, {rule.least} AS least, {rule.tail} AS tail, {lengths(f'regexp_split_to_array(t, {p})')} AS g, {lengths(f'regexp_extract_all(t, {p}, 0)')} AS l, {lengths(f'regexp_extract_all(t, {p}, {rule.group})')} AS k FROM docs"
+    return f"SELECT doc_id, {ord} AS ord, '{kind}' AS kind, {least} AS least, {tail} AS tail, {lengths(f'regexp_split_to_array(t, {p})')} AS g, {lengths(f'regexp_extract_all(t, {p}, 0)')} AS l, {lengths(f'regexp_extract_all(t, {p}, {group})')} AS k FROM docs"
 
 
 OP3_SQL = f"""
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
-matched AS ({' UNION ALL '.join(_secret_sql(k, r) for k, r in enumerate(secrets.RULES))}),
+matched AS ({' UNION ALL '.join(_secret_sql(k, *r) for k, r in enumerate(_SECRET_RULES))}),
 each AS (SELECT doc_id, ord, kind, least, tail, unnest(g[1:len(l)]) AS gap, unnest(l) AS n, unnest(k) AS kept, generate_subscripts(l, 1) AS pos FROM matched WHERE len(l) > 0),
 placed AS (SELECT *, (e - CASE WHEN tail THEN kept ELSE n END)::BIGINT AS b FROM (SELECT *, sum(gap + n) OVER (PARTITION BY doc_id, ord ORDER BY pos)::BIGINT AS e FROM each)),
 spans AS (
     SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
-        string_agg(kind || ':' || b || ':' || e, ',' ORDER BY b, ord) FILTER (ord < {len(secrets.BASE)}) AS base,
+        string_agg(kind || ':' || b || ':' || e, ',' ORDER BY b, ord) FILTER (ord < 3) AS base,
         string_agg(kind || ':' || b || ':' || e, ',' ORDER BY b, ord) AS spans
     FROM placed WHERE kept >= least GROUP BY doc_id
 )
