@@ -98,7 +98,8 @@ def norm(spark, sf):
 
 
 def sides(spark, sf):
-    n = norm(spark, sf)
+    """S1 records and targets, normalised once for all that reads them."""
+    n = tables.stored(norm(spark, sf))
     return n.where("target_source = 'S1'"), n.where("target_source <> 'S1'")
 
 
@@ -529,6 +530,10 @@ def j01_shared_keys(spark, sf):
     return found.select(F.col("s1").alias(S_ID), C_ID)
 
 
+def _lev_score(a, b, x, y):
+    return F.round(0.7 * S.levenshtein_similarity(a, b) + 0.3 * S.levenshtein_similarity(x, y), 9)
+
+
 @query(f"SELECT m.s AS source1_entity_id, count(*) AS n, round(max(0.7::DOUBLE * ({_LEV('a.name_norm', 'b.name_norm')}) + 0.3::DOUBLE * ({_LEV('a.address_norm', 'b.address_norm')})), 6) AS best FROM meet m JOIN norm a ON a.entity_id = m.s JOIN norm b ON b.entity_id = m.c GROUP BY 1", f"{NORM}, {KEYS}, {J01}")
 def j01_keyed_scores(spark, sf):
     s1, tgt = sides(spark, sf)
