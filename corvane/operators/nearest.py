@@ -15,20 +15,20 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Targets of a block, and the least share of a block that makes a term's postings a full row.
-BLOCK, FULL = 4096, 1 / 16
-#: Chunks of a country, and the bounds of their size: targets are sent to each chunk.
-CHUNKS, LEAST, MOST = 16, 250, 8000
+#: Targets of a block, the least share of a block that makes a term's postings a full row, and the most products held at once.
+BLOCK, FULL, PRODUCTS = 4096, 1 / 16, 1 << 23
+#: The bounds of a chunk's size: targets are sent to each chunk of their country.
+LEAST, MOST = 250, 8000
 
 FOUND = "source1_entity_id string, candidate_entity_id string, score double"
 
 
-def met(s1: DataFrame, targets: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str = FOUND) -> DataFrame:
+def met(s1: DataFrame, targets: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], chunks: int = 16) -> DataFrame:
     """``work`` on rows (country_norm, chunk, side, target_source, entity_id, ...): of each chunk the S1 records (side 0), then targets (side 1) by source and id.
 
     Both frames have (country_norm, entity_id) and the same further columns, targets also ``target_source``.
     """
-    n = s1.groupBy("country_norm").agg(F.ceil(F.count("*") / F.greatest(F.lit(LEAST), F.least(F.lit(MOST), F.count("*") / CHUNKS))).cast("int").alias("_n"))
+    n = s1.groupBy("country_norm").agg(F.ceil(F.count("*") / F.greatest(F.lit(LEAST), F.least(F.lit(MOST), F.count("*") / chunks))).cast("int").alias("_n"))
     mine = s1.drop("target_source").join(n, "country_norm").withColumn("chunk", F.pmod(F.xxhash64("entity_id"), F.col("_n")).cast("int"))
     theirs = targets.join(n, "country_norm").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
     more = [c for c in targets.columns if c not in ("country_norm", "target_source", "entity_id")]
@@ -36,7 +36,7 @@ def met(s1: DataFrame, targets: DataFrame, work: Callable[[Iterator[pa.RecordBat
     rows = side(mine, 0, F.lit("")).unionByName(side(theirs, 1, F.col("target_source")))
     parts = int(s1.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(parts, "country_norm", "chunk").sortWithinPartitions("country_norm", "chunk", "side", "target_source", "entity_id")
-    return rows.mapInArrow(work, schema)
+    return rows.mapInArrow(work, FOUND)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, pa.RecordBatch]]:
@@ -55,18 +55,22 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, pa.Recor
 
 
 class Best:
-    """The ``k`` highest values of each S1 record; of equal ones the targets that came first."""
+    """The ``k`` highest values above 0 of each S1 record, to ``digits`` if given; of equal ones the targets that came first."""
 
-    def __init__(self, n: int, k: int):
-        self.k, self.value, self.place = k, [np.zeros(0)] * n, [np.zeros(0, np.int64)] * n
+    def __init__(self, n: int, k: int, digits: int | None = None):
+        self.digits, self.k, self.value, self.place = digits, k, [np.zeros(0)] * n, [np.zeros(0, np.int64)] * n
         #: Nothing at or under it can enter.
-        self.floor = np.zeros(n)
+        self.floor = np.full(n, -1.0)
 
     def add(self, i: int, values: np.ndarray, start: int) -> None:
-        new = np.flatnonzero(values > self.floor[i])
+        new = np.flatnonzero(values > max(self.floor[i] - (0 if self.digits is None else 10.0**-self.digits), 0))
+        found = values[new]
+        if self.digits is not None:
+            found = np.round(found, self.digits)
+            new, found = new[found > self.floor[i]], found[found > self.floor[i]]
         if not len(new):
             return
-        value = np.concatenate([self.value[i], values[new]])
+        value = np.concatenate([self.value[i], found])
         order = np.argsort(-value, kind="stable")[: self.k]
         self.value[i], self.place[i] = value[order], np.concatenate([self.place[i], start + new])[order]
         if len(order) == self.k:
@@ -164,6 +168,76 @@ def most_common(top_k: int, shortlist: int) -> Callable[[Iterator[pa.RecordBatch
     return _each(Chunk)
 
 
+def largest_products(top_k: int, digits: int = 9) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The ``top_k`` targets with the largest products of vectors, to ``digits``.
+
+    Rows have ``terms`` (numbers, each once), ``counts`` and ``norm``, S1 records also ``weights`` of the terms; a place of
+    a vector is count times weight by norm.
+    """
+
+    class Chunk:
+        def __init__(self):
+            self.ids, self.rows, self.known, self.n, self.best = [], [], [], 0, None
+
+        def mine(self, rows: pa.RecordBatch) -> None:
+            self.ids += rows.column("entity_id").to_pylist()
+            self.rows.append(rows)
+
+        def begin(self) -> None:
+            rows = pa.Table.from_batches(self.rows).combine_chunks()
+            one = lambda c: rows.column(c).combine_chunks()
+            flat, row = _lists(one("terms"))
+            self.terms, term = np.unique(np.asarray(flat), return_inverse=True)
+            weight = np.asarray(one("weights").flatten())
+            self.weight = np.zeros(len(self.terms))
+            self.weight[term] = weight
+            x = np.asarray(one("counts").flatten()) * weight / np.asarray(one("norm"))[row]
+            order = np.argsort(term, kind="stable")
+            self.starts = np.searchsorted(term[order], np.arange(len(self.terms) + 1))
+            self.row, self.x, self.best, self.rows = row[order], x[order], Best(len(self.ids), top_k, digits), None
+
+        def meet(self, rows: pa.RecordBatch) -> None:
+            if self.best is None:
+                self.begin()
+            step = max(64, PRODUCTS // len(self.ids))
+            for at in range(0, rows.num_rows, step):
+                self.block(rows.slice(at, step))
+
+        def block(self, rows: pa.RecordBatch) -> None:
+            m, size = len(self.ids), rows.num_rows
+            flat, row = _lists(rows.column("terms"))
+            flat, count = np.asarray(flat), np.asarray(rows.column("counts").flatten())
+            term = np.searchsorted(self.terms, flat)
+            term[term == len(self.terms)] = 0
+            same = self.terms[term] == flat if len(self.terms) else np.zeros(len(flat), bool)
+            row, term, count = row[same], term[same], count[same]
+            y = count * self.weight[term] / np.asarray(rows.column("norm"))[row]
+            order = np.argsort(term, kind="stable")
+            row, y = row[order], y[order]
+            products, full = np.zeros((m, size)), []
+            for t, a, b in _runs(term[order]):
+                c, d = self.starts[t], self.starts[t + 1]
+                if (b - a) * (d - c) * 60 > m * size:
+                    full.append((a, b, c, d))
+                else:
+                    products[self.row[c:d, None], row[a:b]] += self.x[c:d, None] * y[a:b]
+            for at in range(0, len(full), 256):
+                left, right = np.zeros((m, len(full[at : at + 256]))), np.zeros((len(full[at : at + 256]), size))
+                for k, (a, b, c, d) in enumerate(full[at : at + 256]):
+                    left[self.row[c:d], k], right[k, row[a:b]] = self.x[c:d], y[a:b]
+                products += left @ right
+            for i in range(m):
+                self.best.add(i, products[i], self.n)
+            self.known.append(rows.column("entity_id"))
+            self.n += size
+
+        def done(self) -> Iterator[pa.RecordBatch]:
+            if self.best is not None:
+                yield from _emitted(self.ids, pa.chunked_array(self.known), zip(range(len(self.ids)), self.best.place, self.best.value))
+
+    return _each(Chunk)
+
+
 def _each(chunk: Callable) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, now = None, None

@@ -6,13 +6,27 @@ from pyspark.sql import functions as F
 from corvane.operators import blocking, nearest
 
 
+def vector_batches(s1, targets, n):
+    """The same for vectors: (country, {term: (count, weight)}, norm)."""
+    for batch in batches({i: (c, (v, norm)) for i, (c, v, norm) in s1.items()}, {i: (c, (v, norm)) for i, (c, v, norm) in targets.items()}, None, n):
+        rows = batch
+        kinds = {"terms": pa.list_(pa.int32()), "counts": pa.list_(pa.int32()), "norm": pa.float64(), "weights": pa.list_(pa.float64())}
+        made = [{"terms": sorted(v), "counts": [v[t][0] for t in sorted(v)], "norm": norm, "weights": [v[t][1] for t in sorted(v)] if not r["side"] else None} for r in rows for v, norm in [r["tokens"]]]
+        arrays = [pa.array([r[c] for r in rows], k) for c, k in KEYS] + [pa.array([x[c] for x in made], k) for c, k in kinds.items()]
+        yield pa.RecordBatch.from_arrays(arrays, [c for c, _ in KEYS] + [*kinds])
+
+
+KEYS = (("country_norm", pa.string()), ("chunk", pa.int32()), ("side", pa.int32()), ("target_source", pa.string()), ("entity_id", pa.string()))
+
+
 def batches(s1, targets, kind, n):
     """Rows as ``met`` sends them, ``n`` to a batch: of each country the S1 records, then targets by source and id."""
     rows = [(c, 0, 0, "", i, v) for i, (c, v) in s1.items()] + [(c, 0, 1, i[:2], i, v) for i, (c, v) in targets.items()]
     rows.sort(key=lambda r: r[:5])
-    schema = pa.schema([("country_norm", pa.string()), ("chunk", pa.int32()), ("side", pa.int32()), ("target_source", pa.string()), ("entity_id", pa.string()), ("tokens", kind)])
+    names = [*(c for c, _ in KEYS), "tokens"]
     for at in range(0, len(rows), n):
-        yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in rows[at : at + n]], schema)
+        some = [dict(zip(names, r)) for r in rows[at : at + n]]
+        yield some if kind is None else pa.RecordBatch.from_pylist(some, pa.schema([*KEYS, ("tokens", kind)]))
 
 
 def test_most_common_tokens_by_blocks(monkeypatch):
@@ -33,6 +47,35 @@ def test_most_common_tokens_by_blocks(monkeypatch):
         assert found.get(s, []) == [(t, score[t]) for t in wanted]
 
 
+def test_largest_products_by_blocks(monkeypatch):
+    monkeypatch.setattr(nearest, "BLOCK", 13)
+    r = random.Random(6)
+    weight = {t: 1 + r.random() for t in range(30)}
+    vector = lambda: (r.choice("xyz"), {t: (r.randrange(1, 4), weight[t]) for t in {*r.sample(range(4), 2), *r.sample(range(30), 3)}}, 1 + r.random())
+    s1, targets = {f"S1-{k}": vector() for k in range(20)}, {f"S{r.choice('23')}-{k}": vector() for k in range(150)}
+    targets |= {f"{i}-twin": v for i, v in [*targets.items()][:40]}
+    found = {}
+    for batch in nearest.largest_products(6)(vector_batches(s1, targets, 17)):
+        for x in batch.to_pylist():
+            found.setdefault(x["source1_entity_id"], []).append((x["candidate_entity_id"], x["score"]))
+    for s, (country, mine, a) in s1.items():
+        score = {t: round(sum(n * w * v[g][0] * w for g, (n, w) in mine.items() if g in v) / a / b, 9) for t, (c, v, b) in targets.items() if c == country}
+        wanted = sorted((t for t in score if score[t]), key=lambda t: (-score[t], t[:2], t))[:6]
+        got = found.get(s, [])
+        assert [t for t, _ in got] == wanted and all(abs(x - score[t]) < 2e-9 for t, x in got)
+
+
+def test_products_are_not_stored(spark, monkeypatch):
+    """40 records and 60 targets of the same words make 2400 products, but no table of as many rows."""
+    kept, write = [], blocking.stored
+    monkeypatch.setattr(blocking, "stored", lambda rows: kept.append(write(rows)) or kept[-1])
+    side = lambda n, source: spark.range(n).select(F.lit("us").alias("country_norm"), F.lit(source).alias("target_source"), F.concat(F.lit(f"{source}-"), F.col("id").cast("string")).alias("entity_id"), F.lit("one word").alias("name_norm"))
+    got = blocking.tfidf_blocking(side(40, "S1"), side(60, "S2"), "name_norm", 3, "name_tfidf")
+    wanted = [(f"S1-{k}", t, 1.0, n) for k in range(40) for n, t in enumerate(sorted(f"S2-{k}" for k in range(60))[:3], 1)]
+    assert sorted(tuple(r)[:4] for r in got.collect()) == sorted(wanted)
+    assert max(rows.count() for rows in kept) < 2400
+
+
 def test_no_token_is_too_frequent(spark):
     """20 001 targets share a token, which no limit on frequency may leave out."""
     side = lambda rows: rows.withColumns({"country_norm": F.lit("us"), "address_norm": F.lit(""), "address_numbers": F.lit("")})
