@@ -76,6 +76,16 @@ def test_products_are_not_stored(spark, monkeypatch):
     assert max(rows.count() for rows in kept) < 2400
 
 
+def test_the_union_stores_no_products(spark, monkeypatch):
+    kept, write = [], blocking.stored
+    monkeypatch.setattr(blocking, "stored", lambda rows: kept.append(write(rows)) or kept[-1])
+    words = {c: F.lit("word") for c in ("name_norm", "address_norm", "combined_norm")} | {"country_norm": F.lit("us"), "address_numbers": F.lit("")}
+    side = lambda n, source: spark.range(n).select(F.lit(source).alias("target_source"), F.concat(F.lit(f"{source}-"), F.col("id").cast("string")).alias("entity_id")).withColumns(words)
+    got = blocking.union_candidates(side(40, "S1"), side(60, "S2"), blocking.BlockingConfig(name_top_k=2, address_top_k=2, combined_top_k=2, token_top_k=2)).collect()
+    assert {r["source1_entity_id"] for r in got} == {f"S1-{k}" for k in range(40)}
+    assert max(rows.count() for rows in kept) < 2400
+
+
 def test_no_token_is_too_frequent(spark):
     """20 001 targets share a token, which no limit on frequency may leave out."""
     side = lambda rows: rows.withColumns({"country_norm": F.lit("us"), "address_norm": F.lit(""), "address_numbers": F.lit("")})
