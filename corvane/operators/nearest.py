@@ -23,7 +23,7 @@ LEAST, MOST = 250, 8000
 FOUND = "source1_entity_id string, candidate_entity_id string, score double"
 
 
-def met(s1: DataFrame, targets: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], chunks: int = 16) -> DataFrame:
+def met(s1: DataFrame, targets: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], chunks: int = 16, found: str = FOUND) -> DataFrame:
     """``work`` on rows (country_norm, chunk, side, target_source, entity_id, ...): of each chunk the S1 records (side 0), then targets (side 1) by source and id.
 
     Both frames have (country_norm, entity_id) and the same further columns, targets also ``target_source``.
@@ -36,7 +36,7 @@ def met(s1: DataFrame, targets: DataFrame, work: Callable[[Iterator[pa.RecordBat
     rows = side(mine, 0, F.lit("")).unionByName(side(theirs, 1, F.col("target_source")))
     parts = int(s1.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(parts, "country_norm", "chunk").sortWithinPartitions("country_norm", "chunk", "side", "target_source", "entity_id")
-    return rows.mapInArrow(work, FOUND)
+    return rows.mapInArrow(work, found)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, pa.RecordBatch]]:
@@ -254,3 +254,181 @@ def _each(chunk: Callable) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
             yield from now.done()
 
     return work
+
+
+def _letters(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of all texts, where each text begins, and its length."""
+    found = np.frombuffer("".join(texts.to_pylist()).encode("utf-32-le"), np.uint32).astype(np.int64)
+    sizes = np.asarray(pc.utf8_length(texts)).astype(np.int64)
+    return found, np.cumsum(sizes) - sizes, sizes
+
+
+class Distances:
+    """Levenshtein distances of some texts to others, many pairs at once: a bit for each letter of the former, in words of 64."""
+
+    def __init__(self, texts: pa.Array):
+        found, starts, self.sizes = _letters(texts)
+        self.known, letter = np.unique(found, return_inverse=True)
+        row = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        place = np.arange(len(found)) - starts[row]
+        self.width = len(self.known) + 1
+        self.table = np.zeros((max(1, -(-int(self.sizes.max(initial=0)) // 64)), len(self.sizes) * self.width), np.uint64)
+        np.bitwise_or.at(self.table, (place // 64, row * self.width + letter), np.uint64(1) << (place % 64).astype(np.uint64))
+
+    def numbered(self, letters: np.ndarray) -> np.ndarray:
+        """The letters' numbers here; those that no text has share the last one."""
+        if not len(self.known):
+            return np.zeros(len(letters), np.int64)
+        at = np.minimum(np.searchsorted(self.known, letters), len(self.known) - 1)
+        return np.where(self.known[at] == letters, at, len(self.known))
+
+    def to(self, rows: np.ndarray, letters: np.ndarray, starts: np.ndarray, sizes: np.ndarray, most: int = 1 << 14) -> np.ndarray:
+        """Distances of texts ``rows`` to stretches of numbered letters."""
+        found = np.empty(len(rows), np.int64)
+        # texts of like length pass together
+        order = np.lexsort((-sizes, self.sizes[rows] > 64))
+        for at in range(0, len(order), most):
+            some = order[at : at + most]
+            some = some[np.argsort(-sizes[some], kind="stable")]
+            found[some] = self._to(rows[some], letters, starts[some], sizes[some])
+        return found
+
+    def _to(self, rows: np.ndarray, letters: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        mine, base, one = self.sizes[rows], rows * self.width, np.uint64(1)
+        words = max(1, -(-int(mine.max(initial=0)) // 64))
+        up, down = np.full((words, len(rows)), ~np.uint64(0)), np.zeros((words, len(rows)), np.uint64)
+        steps = np.arange(int(sizes.max(initial=0)))
+        for step, n in zip(steps.tolist(), (len(rows) - np.searchsorted(sizes[::-1], steps, side="right")).tolist()):
+            cell = base[:n] + letters[starts[:n] + step]
+            more, less = one, None
+            for w in range(words):
+                p, m, equal = up[w, :n], down[w, :n], self.table[w][cell]
+                either = equal | m
+                if less is not None:
+                    equal |= less
+                across = (((equal & p) + p) ^ p) | equal
+                plus, minus = m | ~(across | p), p & across
+                out = (plus >> np.uint64(63), minus >> np.uint64(63)) if w + 1 < words else None
+                plus, minus = (plus << one) | more, minus << one
+                if less is not None:
+                    minus |= less
+                up[w, :n], down[w, :n] = minus | ~(either | plus), plus & either
+                if out:
+                    more, less = out
+        found = sizes.copy()
+        for w in range(words):
+            left = np.clip(mine - 64 * w, 0, 64).astype(np.uint64)
+            mask = np.where(left == 64, ~np.uint64(0), (one << (left % np.uint64(64))) - one)
+            found += np.bitwise_count(up[w] & mask).astype(np.int64) - np.bitwise_count(down[w] & mask).astype(np.int64)
+        return found
+
+
+#: Cells of a table of letters, and pairs that share a key, counted with each key, that are held at once.
+CELLS, MEETINGS = 1 << 22, 1 << 22
+COUNTED = "source1_entity_id string, n long, best double"
+
+
+def counted_by_key(weights: tuple[float, float]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """COUNTED: how many targets share a key, and the best of their scores, a sum of the names' and the addresses' Levenshtein similarities by weight.
+
+    Rows have ``keys`` (numbers, each once), ``name`` and ``address``.  All pairs are counted; a pair whose score can't exceed its
+    record's best, by lengths or by the names alone, is not compared further.
+    """
+
+    class Group:
+        """Some of a chunk's S1 records."""
+
+        def __init__(self, rows: pa.Table):
+            one = lambda c: rows.column(c).combine_chunks()
+            self.ids = one("entity_id")
+            flat, row = _lists(one("keys"))
+            order = np.argsort(np.asarray(flat), kind="stable")
+            self.keys, self.row = np.asarray(flat)[order], row[order]
+            self.texts = [Distances(one(c)) for c in ("name", "address")]
+            self.n, self.best = np.zeros(len(self.ids), np.int64), np.full(len(self.ids), -1.0)
+
+        def meet(self, keys: np.ndarray, row: np.ndarray, size: int, texts: list) -> None:
+            """``keys`` of a block, sorted, and their rows."""
+            first, n = np.searchsorted(keys, self.keys), np.searchsorted(keys, self.keys, side="right")
+            n -= first
+            # some S1 records at a time
+            count = np.bincount(self.row, n, len(self.ids)).astype(np.int64)
+            numbered = [(d.numbered(letters), starts, sizes) for d, (letters, starts, sizes) in zip(self.texts, texts)]
+            share = np.maximum(np.cumsum(count) // MEETINGS, np.arange(len(count)) * size // (4 * MEETINGS))
+            edges = [0, *(np.flatnonzero(np.diff(share)) + 1).tolist(), len(count)]
+            for a, b in zip(edges, edges[1:]):
+                here = np.flatnonzero((self.row >= a) & (self.row < b) & (n > 0))
+                if not len(here):
+                    continue
+                each = n[here]
+                at = np.repeat(first[here] - (np.cumsum(each) - each), each) + np.arange(each.sum())
+                both = np.zeros((b - a, size), bool)
+                both[np.repeat(self.row[here] - a, each), row[at]] = True
+                self.n[a:b] += both.sum(1)
+                i, j = np.nonzero(both)
+                self.compare(i + a, j, numbered)
+
+        def compare(self, i: np.ndarray, j: np.ndarray, numbered: list) -> None:
+            name, address = self.texts
+            for at in range(0, len(i), 1 << 17):
+                a, b = i[at : at + (1 << 17)], j[at : at + (1 << 17)]
+                likely = [_similarity(np.abs(d.sizes[a] - sizes[b]), d.sizes[a], sizes[b]) for d, (_, _, sizes) in zip(self.texts, numbered)]
+                hope = weights[0] * likely[0] + weights[1] * likely[1] > self.best[a] - 1e-12
+                a, b, most = a[hope], b[hope], likely[1][hope]
+                (letters, starts, sizes), theirs = numbered
+                names = _similarity(name.to(a, letters, starts[b], sizes[b]), name.sizes[a], sizes[b])
+                hope = np.flatnonzero(weights[0] * names + weights[1] * most > self.best[a] - 1e-12)
+                # the likeliest of each record first, so that it spares the others
+                likely = (weights[0] * names + weights[1] * most)[hope]
+                order = np.lexsort((-likely, a[hope]))
+                top = np.ones(len(order), bool)
+                top[1:] = a[hope][order][1:] != a[hope][order][:-1]
+                for some in (hope[order[top]], hope[order[~top]]):
+                    some = some[weights[0] * names[some] + weights[1] * most[some] > self.best[a[some]] - 1e-12]
+                    letters, starts, sizes = theirs
+                    found = weights[0] * names[some] + weights[1] * _similarity(address.to(a[some], letters, starts[b[some]], sizes[b[some]]), address.sizes[a[some]], sizes[b[some]])
+                    np.maximum.at(self.best, a[some], found)
+
+    class Chunk:
+        def __init__(self):
+            self.ids, self.rows, self.groups = 0, [], None
+
+        def mine(self, rows: pa.RecordBatch) -> None:
+            self.ids += rows.num_rows
+            self.rows.append(rows)
+
+        def begin(self) -> None:
+            rows = pa.Table.from_batches(self.rows)
+            # texts of like length share a table of letters, as large as the longest needs
+            cells = [np.asarray(pc.utf8_length(rows.column(c).combine_chunks())).astype(np.int64) for c in ("name", "address")]
+            order = np.argsort(np.maximum(*cells), kind="stable")
+            self.groups, at, self.rows = [], 0, None
+            rows, longest = rows.take(pa.array(order)), np.maximum(*cells)[order]
+            while at < len(order):
+                n = np.arange(1, len(order) - at + 1)
+                # no more letters than there are code points in use
+                fits = n * np.minimum(np.cumsum(longest[at:]), 1 << 12) * (longest[at:] // 64 + 1) <= 64 * CELLS
+                n = max(1, int(np.argmin(fits)) if not fits.all() else len(fits))
+                self.groups.append(Group(rows.slice(at, n).combine_chunks()))
+                at += n
+
+        def meet(self, rows: pa.RecordBatch) -> None:
+            if self.groups is None:
+                self.begin()
+            flat, row = _lists(rows.column("keys"))
+            order = np.argsort(np.asarray(flat), kind="stable")
+            texts = [_letters(rows.column(c)) for c in ("name", "address")]
+            for g in self.groups:
+                g.meet(np.asarray(flat)[order], row[order], rows.num_rows, texts)
+
+        def done(self) -> Iterator[pa.RecordBatch]:
+            for g in self.groups or []:
+                met = np.flatnonzero(g.n)
+                yield pa.RecordBatch.from_arrays([g.ids.take(pa.array(met)), pa.array(g.n[met]), pa.array(g.best[met])], ["source1_entity_id", "n", "best"])
+
+    return _each(Chunk)
+
+
+def _similarity(distance: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    most = np.maximum(a, b)
+    return np.where(most == 0, 1.0, 1.0 - distance / np.maximum(most, 1))

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -94,3 +95,54 @@ def test_no_token_is_too_frequent(spark):
     got = blocking.token_blocking(s1, targets, top_k=2).orderBy("token_rank").collect()
     # the 40 first with one token in common are scored, and of equal scores the last win
     assert [(r["candidate_entity_id"], round(r["token_score"], 6)) for r in got] == [("S2-00039", 0.333333), ("S2-00038", 0.333333)]
+
+
+def levenshtein(a, b):
+    last = list(range(len(b) + 1))
+    for i, c in enumerate(a):
+        now = [i + 1]
+        for j, d in enumerate(b):
+            now.append(min(last[j] + (c != d), last[j + 1] + 1, now[-1] + 1))
+        last = now
+    return last[-1]
+
+
+def test_distances_of_texts_in_words_of_64():
+    r = random.Random(1)
+    text = lambda n: "".join(r.choice("abñ𝔸") for _ in range(n))
+    a, b = [text(n) for n in (0, 1, 5, 63, 64, 65, 128, 130)], [text(n) + "z" * (n % 2) for n in (0, 1, 7, 64, 70, 150)]
+    d = nearest.Distances(pa.array(a))
+    letters, starts, sizes = nearest._letters(pa.array(b))
+    i, j = np.divmod(np.arange(len(a) * len(b)), len(b))
+    assert d.to(i, d.numbered(letters), starts[j], sizes[j], most=11).tolist() == [levenshtein(a[x], b[y]) for x, y in zip(i, j)]
+
+
+def test_keyed_scores_count_all_pairs_and_store_none(spark, monkeypatch):
+    """All 40 records share a name with all 60 targets; the best address counts, whatever block and group it is in."""
+    kept, write = [], blocking.stored
+    monkeypatch.setattr(blocking, "stored", lambda rows: kept.append(write(rows)) or kept[-1])
+    id = F.col("id").cast("string")
+    side = lambda n, source: spark.range(n).select(F.lit(source).alias("target_source"), F.concat(F.lit(f"{source}-"), id).alias("entity_id"), F.lit("us").alias("country_norm"), F.lit("same name").alias("name_norm"), F.concat(F.lit("road "), id).alias("address_norm"), F.lit("").alias("address_numbers"))
+    got = blocking.keyed_scores(side(40, "S1"), blocking.KeyIndex.of(side(60, "S2"))).collect()
+    assert {(r["source1_entity_id"], r["n"], r["best"]) for r in got} == {(f"S1-{k}", 60, 1.0) for k in range(40)}
+    assert max(rows.count() for rows in kept) < 2400
+
+
+def test_keyed_scores_by_blocks_and_groups(monkeypatch):
+    r = random.Random(3)
+    text = lambda: "".join(r.choice("abc ") for _ in range(r.choice((0, 4, 9, 70))))
+    record = lambda: (r.choice("xy"), {"keys": r.sample(range(40), r.randrange(1, 4)), "name": text(), "address": text()})
+    s1, targets = {f"S1-{k}": record() for k in range(30)}, {f"S{r.choice('23')}-{k}": record() for k in range(150)}
+    monkeypatch.setattr(nearest, "BLOCK", 13)
+    monkeypatch.setattr(nearest, "CELLS", 40)
+    monkeypatch.setattr(nearest, "MEETINGS", 20)
+    kind = pa.struct([("keys", pa.list_(pa.int32())), ("name", pa.string()), ("address", pa.string())])
+    flat = [pa.RecordBatch.from_arrays([*b.columns[:5], *b.columns[5].flatten()], [c for c, _ in KEYS] + ["keys", "name", "address"]) for b in batches(s1, targets, kind, 17)]
+    found = {x["source1_entity_id"]: (x["n"], round(x["best"], 9)) for batch in nearest.counted_by_key((0.7, 0.3))(iter(flat)) for x in batch.to_pylist()}
+    like = lambda a, b: 1.0 if not a and not b else 1.0 - levenshtein(a, b) / max(len(a), len(b))
+    wanted = {}
+    for s, (country, x) in s1.items():
+        scores = [0.7 * like(x["name"], y["name"]) + 0.3 * like(x["address"], y["address"]) for c, y in targets.values() if c == country and {*x["keys"]} & {*y["keys"]}]
+        if scores:
+            wanted[s] = (len(scores), round(max(scores), 9))
+    assert found == wanted
