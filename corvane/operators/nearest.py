@@ -23,17 +23,20 @@ LEAST, MOST = 250, 8000
 FOUND = "source1_entity_id string, candidate_entity_id string, score double"
 
 
-def met(s1: DataFrame, targets: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], chunks: int = 16, found: str = FOUND) -> DataFrame:
+def met(s1: DataFrame, targets: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], chunks: int = 16, found: str = FOUND, terms: DataFrame | None = None) -> DataFrame:
     """``work`` on rows (country_norm, chunk, side, target_source, entity_id, ...): of each chunk the S1 records (side 0), then targets (side 1) by source and id.
 
-    Both frames have (country_norm, entity_id) and the same further columns, targets also ``target_source``.
+    Both frames have (country_norm, entity_id) and the same further columns, targets also ``target_source``.  ``terms``, with the same
+    columns, are what a country's chunks must know before (side -1).
     """
     n = s1.groupBy("country_norm").agg(F.ceil(F.count("*") / F.greatest(F.lit(LEAST), F.least(F.lit(MOST), F.count("*") / chunks))).cast("int").alias("_n"))
     mine = s1.drop("target_source").join(n, "country_norm").withColumn("chunk", F.pmod(F.xxhash64("entity_id"), F.col("_n")).cast("int"))
-    theirs = targets.join(n, "country_norm").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    everywhere = lambda rows: rows.join(n, "country_norm").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
     more = [c for c in targets.columns if c not in ("country_norm", "target_source", "entity_id")]
     side = lambda rows, k, source: rows.select("country_norm", "chunk", F.lit(k).alias("side"), source.alias("target_source"), "entity_id", *more)
-    rows = side(mine, 0, F.lit("")).unionByName(side(theirs, 1, F.col("target_source")))
+    rows = side(mine, 0, F.lit("")).unionByName(side(everywhere(targets), 1, F.col("target_source")))
+    if terms is not None:
+        rows = rows.unionByName(side(everywhere(terms), -1, F.lit("")))
     parts = int(s1.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(parts, "country_norm", "chunk").sortWithinPartitions("country_norm", "chunk", "side", "target_source", "entity_id")
     return rows.mapInArrow(work, found)
@@ -174,7 +177,10 @@ def largest_products(top_k: int, digits: int = 9) -> Callable[[Iterator[pa.Recor
     Rows have ``terms`` (numbers, each once), ``counts`` and ``norm``, S1 records also ``weights`` of the terms; a place of
     a vector is count times weight by norm.
     """
+    return _each(_products(top_k, digits))
 
+
+def _products(top_k: int, digits: int) -> type:
     class Chunk:
         def __init__(self):
             self.ids, self.rows, self.known, self.n, self.best = [], [], [], 0, None
@@ -235,6 +241,115 @@ def largest_products(top_k: int, digits: int = 9) -> Callable[[Iterator[pa.Recor
             if self.best is not None:
                 yield from _emitted(self.ids, pa.chunked_array(self.known), zip(range(len(self.ids)), self.best.place, self.best.value))
 
+    return Chunk
+
+
+class Grams:
+    """Codes of the n-grams inside words, exact, by an alphabet.  In a text each word stands between spaces of its own."""
+
+    def __init__(self, letters: np.ndarray, ngrams: tuple[int, int]):
+        self.known, (self.least, self.most) = np.unique(letters), ngrams
+        # 0 stands for no letter, the last number for letters that aren't known
+        self.base = len(self.known) + 2
+        self.small = self.base**self.most < 1 << 63
+
+    def coded(self, letters: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Codes of the stretches of ``n`` letters from the places ``at``."""
+        number = np.searchsorted(self.known, letters)
+        number[number == len(self.known)] = 0
+        number = np.append(np.where(self.known[number] == letters, number + 1, len(self.known) + 1) if len(self.known) else np.ones(len(letters), np.int64), 0)
+        each = (np.where(k < n, number[np.minimum(at + k, len(letters))], 0) for k in range(self.most))
+        if not self.small:
+            return np.ascontiguousarray(np.stack([*each], axis=1).astype(np.uint32)).view(f"U{self.most}").ravel()
+        code = np.zeros(len(at), np.int64)
+        for x in each:
+            code = code * self.base + x
+        return code
+
+    def windows(self, letters: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place, length, row) of every n-gram; a word shorter than the least n counts once as a whole."""
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        begins = np.zeros(len(letters), bool)
+        begins[1:] = (letters[1:] == 32) & (letters[:-1] == 32)
+        begins[starts[sizes > 0]] = True
+        word = np.cumsum(begins) - 1
+        left = np.append(np.flatnonzero(begins)[1:], len(letters))[word] - np.arange(len(letters))
+        at = [np.flatnonzero(begins & (left < self.least))]
+        n = [left[at[0]]]
+        for k in range(self.least, self.most + 1):
+            at.append(np.flatnonzero(left >= k))
+            n.append(np.full(len(at[-1]), k))
+        at = np.concatenate(at)
+        return at, np.concatenate(n), row[at]
+
+
+GRAMS = "country_norm string, gram string, df long, cf long"
+
+
+def counted_grams(ngrams: tuple[int, int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """GRAMS: in how many of a batch's texts of a country each n-gram is, and how often; rows are (country_norm, text)."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, BLOCK):
+                rows = batch.slice(start, BLOCK)
+                names = pc.unique(rows.column("country_norm"))
+                country = pc.index_in(rows.column("country_norm"), names).to_numpy(zero_copy_only=False).astype(np.int64)
+                letters, starts, sizes = _letters(rows.column("text"))
+                grams = Grams(letters, ngrams)
+                at, n, row = grams.windows(letters, starts, sizes)
+                codes, first, gram = np.unique(grams.coded(letters, at, n), return_index=True, return_inverse=True)
+                if not len(codes):
+                    continue
+                text = letters.astype(np.uint32).tobytes().decode("utf-32-le")
+                spelled = pa.array([text[a : a + k] for a, k in zip(at[first].tolist(), n[first].tolist())], pa.string())
+                once = np.unique(row * len(codes) + gram)
+                place, cf = np.unique(country[row] * len(codes) + gram, return_counts=True)
+                df = np.unique(country[once // len(codes)] * len(codes) + once % len(codes), return_counts=True)[1]
+                yield pa.RecordBatch.from_arrays([names.take(pa.array(place // len(codes))), spelled.take(pa.array(place % len(codes))), pa.array(df), pa.array(cf)], ["country_norm", "gram", "df", "cf"])
+
+    return work
+
+
+def largest_cosines(top_k: int, ngrams: tuple[int, int], digits: int = 9) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``largest_products`` of the vectors of ``text``: terms are rows with the n-gram as their id and its ``weight``."""
+
+    class Chunk(_products(top_k, digits)):
+        def __init__(self):
+            super().__init__()
+            self.learnt, self.grams = [], None
+
+        def learn(self, rows: pa.RecordBatch) -> None:
+            self.learnt.append(rows.select(["entity_id", "weight"]))
+
+        def vectors(self, rows: pa.RecordBatch) -> pa.RecordBatch:
+            if self.grams is None:
+                spelled, weight = (pa.chunked_array([b.column(k) for b in self.learnt], kind).combine_chunks() for k, kind in enumerate((pa.string(), pa.float64())))
+                letters, starts, sizes = _letters(spelled)
+                self.grams = Grams(letters, ngrams)
+                codes = self.grams.coded(letters, starts, sizes)
+                order = np.argsort(codes)
+                self.codes, self.weights, self.learnt = codes[order], np.asarray(weight)[order], []
+            letters, starts, sizes = _letters(rows.column("text"))
+            at, n, row = self.grams.windows(letters, starts, sizes)
+            code, terms = self.grams.coded(letters, at, n), len(self.codes)
+            term = np.searchsorted(self.codes, code)
+            term[term == terms] = 0
+            have = self.codes[term] == code if terms else np.zeros(len(code), bool)
+            both, count = np.unique(row[have] * max(terms, 1) + term[have], return_counts=True)
+            row, term = both // max(terms, 1), both % max(terms, 1)
+            weight = self.weights[term]
+            norm = np.sqrt(np.bincount(row, (count * weight) ** 2, rows.num_rows))
+            offsets = pa.array(np.searchsorted(row, np.arange(rows.num_rows + 1)).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (term.astype(np.int32), count.astype(np.int32), weight)]
+            return pa.RecordBatch.from_arrays([rows.column("entity_id"), lists[0], lists[1], pa.array(norm), lists[2]], ["entity_id", "terms", "counts", "norm", "weights"])
+
+        def mine(self, rows: pa.RecordBatch) -> None:
+            super().mine(self.vectors(rows))
+
+        def meet(self, rows: pa.RecordBatch) -> None:
+            super().meet(self.vectors(rows))
+
     return _each(Chunk)
 
 
@@ -246,7 +361,9 @@ def _each(chunk: Callable) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
                 if now is not None:
                     yield from now.done()
                 at, now = key, chunk()
-            if not side:
+            if side < 0:
+                now.learn(rows)
+            elif not side:
                 now.mine(rows)
             elif now.ids:
                 now.meet(rows)

@@ -146,3 +146,42 @@ def test_keyed_scores_by_blocks_and_groups(monkeypatch):
         if scores:
             wanted[s] = (len(scores), round(max(scores), 9))
     assert found == wanted
+
+
+def grams_of(word, least, most):
+    w, out = f" {word} ", []
+    for n in range(least, most + 1):
+        if n == least or len(w) >= n:
+            out += [w[i : i + n] for i in range(max(len(w) - n + 1, 1))]
+    return out
+
+
+def test_counted_grams_by_batches(monkeypatch):
+    """Grams of two lengths, of words shorter than the least, and of an alphabet too large for one number."""
+    monkeypatch.setattr(nearest, "BLOCK", 1000)
+    r = random.Random(2)
+    for letters, ngrams in (("abé", (3, 5)), ("abé", (5, 6)), ([chr(x) for x in range(0x4E00, 0x4E00 + 9000)], (3, 5))):
+        texts = [(r.choice("xy"), ["".join(r.choice(letters) for _ in range(r.randrange(1, 8))) for _ in range(r.randrange(5))]) for _ in range(2200)]
+        wanted = {}
+        for c, words in texts:
+            found = [g for w in words for g in grams_of(w, *ngrams)]
+            for g in found:
+                wanted.setdefault((c, g), [0, 0])[1] += 1
+            for g in {*found}:
+                wanted[c, g][0] += 1
+        batch = pa.RecordBatch.from_pydict({"country_norm": [c for c, _ in texts], "text": ["".join(f" {w} " for w in words) for _, words in texts]})
+        got = {}
+        for b in nearest.counted_grams(ngrams)(iter([batch])):
+            for x in b.to_pylist():
+                n = got.setdefault((x["country_norm"], x["gram"]), [0, 0])
+                n[0], n[1] = n[0] + x["df"], n[1] + x["cf"]
+        assert got == wanted
+
+
+def test_no_row_or_list_of_a_records_grams_is_stored(spark, monkeypatch):
+    kept, write = [], blocking.stored
+    monkeypatch.setattr(blocking, "stored", lambda rows: kept.append(write(rows)) or kept[-1])
+    side = lambda n, source: spark.range(n).select(F.lit(source).alias("target_source"), F.concat(F.lit(f"{source}-"), F.col("id").cast("string")).alias("entity_id"), F.lit("us").alias("country_norm"), F.lit("some longer name").alias("name_norm"))
+    got = blocking.tfidf_blocking(side(3, "S1"), side(60, "S2"), "name_norm", 2, "b").collect()
+    assert sorted((r["source1_entity_id"], r["candidate_entity_id"], r["b_score"]) for r in got) == [(f"S1-{k}", f"S2-{c}", 1.0) for k in range(3) for c in (0, 1)]
+    assert max(rows.count() for rows in kept) == len({g for w in ("some", "longer", "name") for g in grams_of(w, 3, 5)})
