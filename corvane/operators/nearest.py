@@ -15,6 +15,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.bits import Distances
+from ..functions.bits import letters_of as _letters
+
 #: Targets of a block, the least share of a block that makes a term's postings a full row, and the most products held at once.
 BLOCK, FULL, PRODUCTS = 4096, 1 / 16, 1 << 23
 #: The bounds of a chunk's size: targets are sent to each chunk of their country.
@@ -373,73 +376,6 @@ def _each(chunk: Callable) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
     return work
 
 
-def _letters(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Code points of all texts, where each text begins, and its length."""
-    found = np.frombuffer("".join(texts.to_pylist()).encode("utf-32-le"), np.uint32).astype(np.int64)
-    sizes = np.asarray(pc.utf8_length(texts)).astype(np.int64)
-    return found, np.cumsum(sizes) - sizes, sizes
-
-
-class Distances:
-    """Levenshtein distances of some texts to others, many pairs at once: a bit for each letter of the former, in words of 64."""
-
-    def __init__(self, texts: pa.Array):
-        found, starts, self.sizes = _letters(texts)
-        self.known, letter = np.unique(found, return_inverse=True)
-        row = np.repeat(np.arange(len(self.sizes)), self.sizes)
-        place = np.arange(len(found)) - starts[row]
-        self.width = len(self.known) + 1
-        self.table = np.zeros((max(1, -(-int(self.sizes.max(initial=0)) // 64)), len(self.sizes) * self.width), np.uint64)
-        np.bitwise_or.at(self.table, (place // 64, row * self.width + letter), np.uint64(1) << (place % 64).astype(np.uint64))
-
-    def numbered(self, letters: np.ndarray) -> np.ndarray:
-        """The letters' numbers here; those that no text has share the last one."""
-        if not len(self.known):
-            return np.zeros(len(letters), np.int64)
-        at = np.minimum(np.searchsorted(self.known, letters), len(self.known) - 1)
-        return np.where(self.known[at] == letters, at, len(self.known))
-
-    def to(self, rows: np.ndarray, letters: np.ndarray, starts: np.ndarray, sizes: np.ndarray, most: int = 1 << 14) -> np.ndarray:
-        """Distances of texts ``rows`` to stretches of numbered letters."""
-        found = np.empty(len(rows), np.int64)
-        # texts of like length pass together
-        order = np.lexsort((-sizes, self.sizes[rows] > 64))
-        for at in range(0, len(order), most):
-            some = order[at : at + most]
-            some = some[np.argsort(-sizes[some], kind="stable")]
-            found[some] = self._to(rows[some], letters, starts[some], sizes[some])
-        return found
-
-    def _to(self, rows: np.ndarray, letters: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        mine, base, one = self.sizes[rows], rows * self.width, np.uint64(1)
-        words = max(1, -(-int(mine.max(initial=0)) // 64))
-        up, down = np.full((words, len(rows)), ~np.uint64(0)), np.zeros((words, len(rows)), np.uint64)
-        steps = np.arange(int(sizes.max(initial=0)))
-        for step, n in zip(steps.tolist(), (len(rows) - np.searchsorted(sizes[::-1], steps, side="right")).tolist()):
-            cell = base[:n] + letters[starts[:n] + step]
-            more, less = one, None
-            for w in range(words):
-                p, m, equal = up[w, :n], down[w, :n], self.table[w][cell]
-                either = equal | m
-                if less is not None:
-                    equal |= less
-                across = (((equal & p) + p) ^ p) | equal
-                plus, minus = m | ~(across | p), p & across
-                out = (plus >> np.uint64(63), minus >> np.uint64(63)) if w + 1 < words else None
-                plus, minus = (plus << one) | more, minus << one
-                if less is not None:
-                    minus |= less
-                up[w, :n], down[w, :n] = minus | ~(either | plus), plus & either
-                if out:
-                    more, less = out
-        found = sizes.copy()
-        for w in range(words):
-            left = np.clip(mine - 64 * w, 0, 64).astype(np.uint64)
-            mask = np.where(left == 64, ~np.uint64(0), (one << (left % np.uint64(64))) - one)
-            found += np.bitwise_count(up[w] & mask).astype(np.int64) - np.bitwise_count(down[w] & mask).astype(np.int64)
-        return found
-
-
 #: Cells of a table of letters, and pairs that share a key, counted with each key, that are held at once.
 CELLS, MEETINGS = 1 << 22, 1 << 22
 COUNTED = "source1_entity_id string, n long, best double"

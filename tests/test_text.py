@@ -1,3 +1,6 @@
+import random
+
+import pandas as pd
 from pyspark.sql import functions as F
 
 from corvane.functions import similarity as S
@@ -103,3 +106,19 @@ def test_set_similarities(spark):
     grams = lambda: S.char_ngrams(F.col("x"))
     assert one(spark, grams(), x="ab") == ["ab"] and one(spark, grams(), x="") == [] and one(spark, grams(), x="abcd") == ["abc", "bcd"]
     assert one(spark, S.levenshtein_similarity(F.col("x"), F.col("y")), x="", y="") == 1.0
+
+
+def test_similarities_of_many_pairs_are_those_of_each():
+    """Empty and equal texts, letters outside the first plane, and texts of 63 to 210 letters, beyond a word of bits and difflib's limit."""
+    r = random.Random(5)
+
+    def text():
+        if r.random() < 0.3:
+            return "".join(r.choice("abñ𝔸 ") for _ in range(r.choice((0, 1, 2, 9, 63, 64, 65, 210))))
+        return " ".join(r.choice(("ab", "ba", "http", "tion", "example", "org", "en", "1234", "html", "a")) for _ in range(r.randrange(1, 12)))
+
+    pool = [text() for _ in range(60)]
+    a, b = [pd.Series([r.choice(pool) for _ in range(900)]) for _ in "ab"]
+    for many, one in ((S._indels, S.indel), (S._token_sorts, S.token_sort), (S._token_sets, S.token_set), (S._jaro_winklers, S.jaro_winkler), (S._sequence_ratios, S.sequence_ratio)):
+        assert many(a, b).tolist() == [one(*p) for p in zip(a, b)]
+        assert many(a[:0], b[:0]).tolist() == []
