@@ -1,4 +1,6 @@
+import hashlib
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -265,6 +267,50 @@ def test_all_features_have_names(spark, small):
     assert rows.where(" or ".join(f"f_{f} is null" for f in features.FEATURES)).count() == 0
 
 
+def test_features_are_worked_on_once(spark, small):
+    """Sets are made for records, not for pairs; string similarities go to Python once; no expression is repeated to see if it is finite."""
+    s1, tgt = map(tables.stored, small)
+    pairs = tables.stored(rules.fuzzy_rules(s1, tgt).select(*features.PAIR).withColumn("label", F.lit(1)))
+    rows = features.pair_features(pairs, s1, tgt, keep=("label",))
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    spark.conf.unset("spark.sql.debug.maxToStringFields")
+    above, _, below = plan.partition("Join")
+    assert plan.count("ArrowEvalPython") == 1
+    assert "array_distinct" not in above and "array_distinct" in below
+    assert above.count("levenshtein(") == 2
+    assert rows.columns[:3] == [*features.PAIR, "label"]
+    known = spark.createDataFrame([(s1.first()["entity_id"], "nowhere")], "source1_entity_id string, candidate_entity_id string")
+    got = features.pair_features(known, s1, tgt).first().asDict()
+    assert got["f_shared_name_tokens"] == got["f_name_char3gram_jaccard"] == got["f_number_conflict"] == got["f_candidate_name_token_count"] == 0.0
+
+
+def test_training_reads_all_rows_in_few_partitions(spark, monkeypatch):
+    r = random.Random(3)
+    made = [(f"s{k}", f"c{k}", r.choice("ab"), int(k % 3 == 0), k % 3 + r.random()) for k in range(240)]
+    rows = spark.createDataFrame(made, "source1_entity_id string, candidate_entity_id string, country_norm string, label int, f_name_jaccard double").repartition(40)
+    seen = []
+    fit = model.GBTClassifier.fit
+    monkeypatch.setattr(model.GBTClassifier, "fit", lambda self, df: seen.append((df.count(), df.rdd.getNumPartitions(), df._jdf.queryExecution().optimizedPlan().toString())) or fit(self, df))
+    for per_positive, n in ((6.0, 240), (0, 240), (1.0, 160)):
+        model.train(rows, per_positive, maxIter=1)
+        assert seen[-1][:2] == (n, min(seen[-1][1], spark.sparkContext.defaultParallelism))
+        assert "Window" not in seen[-1][2]
+    wanted = {(a, b) for a, b, *_ in made}
+    got = model.transferred(rows).collect()
+    assert {(x[0], x[1]) for x in got} == wanted and len(got) == 240 and all((x["probability"] > 0.5) == (x["label"] == 1) for x in got)
+
+
+def test_a_negative_beyond_the_limit_is_not_sorted(spark):
+    rows = [(f"s{k}", f"c{k}", int(k < 2)) for k in range(9000)]
+    made = spark.createDataFrame(rows, "source1_entity_id string, candidate_entity_id string, label int")
+    got = sampling.downsampled(made, 6.0)
+    order = sorted((hashlib.md5(f"{s}|{c}|42".encode()).hexdigest(), s, c) for s, c, y in rows if not y)[:12]
+    assert {(x[0], x[1]) for x in got.where("label = 0").collect()} == {x[1:] for x in order}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "_before" in plan and re.search(r"_before#\d+L? < _most", plan)
+
+
 def test_train_link_validate(spark, small, tmp_path):
     s1, tgt = small
     raw = lambda rows: rows.select(*tables.RECORD, "target_source")
