@@ -288,13 +288,13 @@ def test_features_are_worked_on_once(spark, small):
 def test_training_reads_all_rows_in_few_partitions(spark, monkeypatch):
     r = random.Random(3)
     made = [(f"s{k}", f"c{k}", r.choice("ab"), int(k % 3 == 0), k % 3 + r.random()) for k in range(240)]
-    rows = spark.createDataFrame(made, "source1_entity_id string, candidate_entity_id string, country_norm string, label int, f_name_jaccard double").repartition(40)
+    rows = spark.createDataFrame(made, "source1_entity_id string, candidate_entity_id string, country_norm string, label int, f_name_jaccard double").repartition(8 * spark.sparkContext.defaultParallelism)
     seen = []
     fit = model.GBTClassifier.fit
     monkeypatch.setattr(model.GBTClassifier, "fit", lambda self, df: seen.append((df.count(), df.rdd.getNumPartitions(), df._jdf.queryExecution().optimizedPlan().toString())) or fit(self, df))
     for per_positive, n in ((6.0, 240), (0, 240), (1.0, 160)):
         model.train(rows, per_positive, maxIter=1)
-        assert seen[-1][:2] == (n, min(seen[-1][1], spark.sparkContext.defaultParallelism))
+        assert seen[-1][:2] == (n, min(seen[-1][1], 4 * spark.sparkContext.defaultParallelism))
         assert "Window" not in seen[-1][2]
     wanted = {(a, b) for a, b, *_ in made}
     got = model.transferred(rows).collect()
@@ -311,6 +311,14 @@ def test_a_negative_beyond_the_limit_is_not_sorted(spark):
     assert "_before" in plan and re.search(r"_before#\d+L? < _most", plan)
 
 
+def test_a_loaded_model_is_compared_row_by_row(spark, monkeypatch):
+    """Rows that stand twice stay two rows, as in the SQL."""
+    row = ("s", "c", "a", 1, 1.0)
+    rows = spark.createDataFrame([row, row, ("s", "d", "a", 0, 0.0)], "source1_entity_id string, candidate_entity_id string, country_norm string, label int, f_name_jaccard double")
+    monkeypatch.setattr(queries, "_labelled", lambda spark, sf: rows)
+    assert sorted(tuple(x) for x in queries.s16_model_load(spark, None).collect()) == [("s", "c", True), ("s", "c", True), ("s", "d", True)]
+
+
 def test_train_link_validate(spark, small, tmp_path):
     s1, tgt = small
     raw = lambda rows: rows.select(*tables.RECORD, "target_source")
