@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -301,6 +302,23 @@ def test_training_reads_all_rows_in_few_partitions(spark, monkeypatch):
     assert {(x[0], x[1]) for x in got} == wanted and len(got) == 240 and all((x["probability"] > 0.5) == (x["label"] == 1) for x in got)
 
 
+def test_models_of_few_rows_are_trained_side_by_side(spark, monkeypatch):
+    """And the models of many rows one after the other, with the same rows."""
+    r = random.Random(3)
+    made = [(f"s{k}", f"c{k}", "abc"[k % 3], int(k % 2), r.random()) for k in range(30)]
+    rows = spark.createDataFrame(made, "source1_entity_id string, candidate_entity_id string, country_norm string, label int, f_name_jaccard double")
+    for most, together in ((1000, 3), (30, 1)):
+        meet = threading.Barrier(together)
+
+        class Fixed:
+            predict = staticmethod(lambda part: part.withColumn("probability", F.lit(0.5)))
+
+        monkeypatch.setattr(model, "AT_ONCE", most)
+        monkeypatch.setattr(model, "train", lambda part: meet.wait(30) is None or Fixed)
+        got = model.transferred(rows).collect()
+        assert sorted(x[1] for x in got) == sorted(x[1] for x in made)
+
+
 def test_a_negative_beyond_the_limit_is_not_sorted(spark):
     rows = [(f"s{k}", f"c{k}", int(k < 2)) for k in range(9000)]
     made = spark.createDataFrame(rows, "source1_entity_id string, candidate_entity_id string, label int")
